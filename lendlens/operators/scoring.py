@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -73,13 +75,22 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25
     Fitting is distributed: the imputer means and string-index label counts
     are aggregations, and the regression optimiser aggregates gradients
     across partitions (tree aggregation), so no step collects the data.
+    The training table, pruned to the model inputs, is persisted
+    (memory, spilling to disk) for the duration of the fit only: the
+    pipeline stages and the optimiser pass over it several times.
     """
-    prepared = prepare_features(train).where(F.col(LABEL_COL).isNotNull())
-    preprocessor = Pipeline(stages=_feature_stages(prepared)).fit(prepared)
-    features = preprocessor.transform(prepared).select(
-        F.col(FEATURES_COL), F.col(LABEL_COL).cast("double").alias("label"))
-    model = LogisticRegression(featuresCol=FEATURES_COL, labelCol="label",
-                               maxIter=max_iter, regParam=reg_param).fit(features)
+    inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
+    prepared = (prepare_features(train.select(*inputs, LABEL_COL))
+                .where(F.col(LABEL_COL).isNotNull())
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        preprocessor = Pipeline(stages=_feature_stages(prepared)).fit(prepared)
+        features = preprocessor.transform(prepared).select(
+            F.col(FEATURES_COL), F.col(LABEL_COL).cast("double").alias("label"))
+        model = LogisticRegression(featuresCol=FEATURES_COL, labelCol="label",
+                                   maxIter=max_iter, regParam=reg_param).fit(features)
+    finally:
+        prepared.unpersist()
     if path is None:
         base = checkpoint_dir(train.sparkSession).rstrip("/")
         path = f"{base}/risk-model-{uuid.uuid4().hex}"

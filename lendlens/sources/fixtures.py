@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import (BUREAU_COLS, CATEGORICAL_COLS, FLAG_COLS, ID_COL,
                       NUMERIC_COLS)
+from .readers import spread
 
 # --- Fixed values: fixture column expressions (see FIXTURES.md) -------------
 # name -> SQL expression over ``orders o JOIN customer c``; ``{weekday}`` is
@@ -103,8 +104,14 @@ def application_exprs(dialect: str = "spark", with_label: bool = True) -> list[s
     return out
 
 
+# Fact tables are spread over the cluster by their key when their files scan
+# as fewer tasks than there are cores (``readers.spread``).
+_FACT_KEYS = {"orders": "o_orderkey", "events": "event_id"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, _FACT_KEYS[name]) if name in _FACT_KEYS else df
 
 
 def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,31 @@ from pyspark.sql import functions as F
 from ..schema import APPLICANT_SCHEMA, APPLICATION_SCHEMA, ID_COL
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan that is coarser than the cluster.
+
+    A source of few, large, unsplittable files (one parquet row group, one
+    gzip CSV) scans as fewer tasks than there are cores, and every row-level
+    step before the first shuffle then runs on that many cores only. When
+    the scan has fewer partitions than ``defaultParallelism`` it is
+    hash-partitioned by ``keys`` (deterministic placement, safe to retry);
+    otherwise -- the normal case for a large table -- it is returned as is
+    and no shuffle is added.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
     reader = spark.read.schema(schema)
     if fmt == "csv":
         # Malformed values become null (PERMISSIVE) instead of failing the job.
-        return reader.option("header", "true").option("mode", "PERMISSIVE").csv(path)
-    return reader.format(fmt).load(path)
+        df = reader.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    else:
+        df = reader.format(fmt).load(path)
+    return spread(df, ID_COL)
 
 
 def read_applications(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
