@@ -30,13 +30,24 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
+def _read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """CSV with a header: columns are matched by name, not position (an
+    application file has its own column order and many more columns), read
+    as text and cast to the schema type. A malformed value becomes null, a
+    missing column a typed null. No schema-inference pass is made."""
+    raw = spark.read.option("header", "true").csv(path)
+    present = set(raw.columns)
+    return raw.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in present
+         else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
+
+
 def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        # Malformed values become null (PERMISSIVE) instead of failing the job.
-        df = reader.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+        df = _read_csv(spark, path, schema)
     else:
-        df = reader.format(fmt).load(path)
+        df = spark.read.schema(schema).format(fmt).load(path)
     return spread(df, ID_COL)
 
 
