@@ -23,6 +23,7 @@ from ..functions import derive as D
 from ..functions.labels import UNKNOWN
 from ..schema import CATEGORICAL_COLS, FLAG_COLS, LABEL_COL, NUMERIC_COLS
 from ..session import checkpoint_dir
+from ..sources.readers import spread
 
 FEATURES_COL = "features"
 SCORE_COL = "risk_score"
@@ -77,10 +78,12 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25
     across partitions (tree aggregation), so no step collects the data.
     The training table, pruned to the model inputs, is persisted
     (memory, spilling to disk) for the duration of the fit only: the
-    pipeline stages and the optimiser pass over it several times.
+    pipeline stages and the optimiser pass over it several times. A coarse
+    input (fewer partitions than cores) is spread first so every pass runs
+    on all cores.
     """
     inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
-    prepared = (prepare_features(train.select(*inputs, LABEL_COL))
+    prepared = (prepare_features(spread(train.select(*inputs, LABEL_COL)))
                 .where(F.col(LABEL_COL).isNotNull())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -130,8 +133,9 @@ def with_risk_score(predictions: DataFrame, probability_col: str = "probability"
 def score(df: DataFrame, preprocessor: PipelineModel, model) -> DataFrame:
     """Score every row of an applicant table: preparation, preprocessing
     pipeline, classifier, then the class-1 probability as ``risk_score``.
-    The input columns are kept; ML working columns are dropped."""
-    prepared = prepare_features(df)
+    The input columns are kept; ML working columns are dropped. Scoring is a
+    map-only job; a coarse input is spread over the cores first."""
+    prepared = prepare_features(spread(df))
     transformed = model.transform(preprocessor.transform(prepared))
     scored = with_risk_score(transformed)
     keep = list(prepared.columns) + [SCORE_COL, "prediction"]

@@ -8,6 +8,7 @@ oracle text lives in ``plans.oracle``; column names agree one to one.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,12 +61,30 @@ def client_lookup(spark, sf_dir):
     return found.select("SK_ID_CURR", "found", "AMT_CREDIT", "NAME_CONTRACT_TYPE")
 
 
+def _model_path(spark, sf_dir: str) -> str:
+    """Where the model fitted on ``sf_dir`` is saved: the shared checkpoint
+    folder of this application (one folder per training source)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/lendlens-risk-model-{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+
+
+def fit_risk_model(spark, sf_dir):
+    """Fit preprocessing + logistic regression on the labelled portfolio,
+    save both, and score the training rows with the fitted pair. The model
+    is ours (no artefact ships), so this has no SQL oracle."""
+    apps = fx.applications(spark, sf_dir)
+    pre, model, _ = scoring.fit_risk_model(apps, path=_model_path(spark, sf_dir))
+    return scoring.score(apps, pre, model).select("SK_ID_CURR", "TARGET", "risk_score", "prediction")
+
+
 def score_portfolio(spark, sf_dir):
-    """Fit + save the model on the labelled portfolio, load it back, score
-    every applicant. Model values are ours, so this has no SQL oracle."""
-    ensure_checkpoint_dir(spark)
-    _, _, path = scoring.fit_risk_model(fx.applications(spark, sf_dir))
-    pre, model = scoring.load_risk_model(path)
+    """Load the saved preprocessing pipeline and model (fitting them first
+    when none is saved for this source) and score every applicant."""
+    path = _model_path(spark, sf_dir)
+    try:
+        pre, model = scoring.load_risk_model(path)
+    except Exception:  # nothing saved yet for this source
+        pre, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
     scored = scoring.score(fx.applicants(spark, sf_dir), pre, model)
     return decisions.with_risk_level(scored).select(
         "SK_ID_CURR", "risk_score", "prediction", "risk_level")
@@ -121,6 +140,17 @@ def feedback_levels(spark, sf_dir):
                        F.try_element_at("custom_dimensions", F.lit("k")).alias("k"))
 
 
+def feedback_json(spark, sf_dir):
+    """The same records as JSON bodies (nulls are absent keys in
+    ``to_json``) parsed back by the JSON ingestion path."""
+    recs = fx.feedback_records(spark, sf_dir)
+    bodies = recs.select("event_id", F.to_json(F.struct(
+        "message", "custom_dimensions", "is_positive")).alias("value"))
+    parsed = feedback.parse_feedback(bodies)
+    return parsed.select("event_id", "message", "level", "malformed",
+                         F.try_element_at("custom_dimensions", F.lit("k")).alias("k"))
+
+
 QUERIES: dict[str, Query] = {
     "portfolio_filter": portfolio_filter,
     "age_band": _analysis(1),
@@ -136,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "family_children_matrix": family_children_matrix,
     "prepare_features": prepare_features,
     "client_lookup": client_lookup,
+    "fit_risk_model": fit_risk_model,
     "score_portfolio": score_portfolio,
     "fallback_score": fallback_score,
     "score_report": score_report,
@@ -146,4 +177,5 @@ QUERIES: dict[str, Query] = {
     "segment_filter": segment_filter,
     "risk_level_summary": risk_level_summary,
     "feedback": feedback_levels,
+    "feedback_json": feedback_json,
 }

@@ -257,6 +257,13 @@ SELECT event_id, coalesce(message, 'Message vide') AS message,
 FROM feedback
 """
 
+_FEEDBACK_JSON = """
+SELECT event_id, coalesce(message, 'Message vide') AS message,
+       CASE WHEN coalesce(is_positive, true) THEN 'INFO' ELSE 'ERROR' END AS level,
+       false AS malformed, json_extract_string(props, '$.k') AS k
+FROM feedback
+"""
+
 
 def _apps(body: str, **kw) -> str:
     return _APPS + "\n" + body.format(rate=_RATE, **kw)
@@ -291,4 +298,5 @@ def oracle_sql() -> dict[str, str]:
         "segment_filter": _SCORED + _SEGMENT.format(level=_LEVEL),
         "risk_level_summary": _SCORED + "\n" + _SUMMARY.format(level=_LEVEL),
         "feedback": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK,
+        "feedback_json": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK_JSON,
     }

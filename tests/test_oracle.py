@@ -21,7 +21,7 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(SQL) <= set(E.queries())
-    assert set(E.queries()) - set(SQL) == {"score_portfolio"}
+    assert set(E.queries()) - set(SQL) == {"fit_risk_model", "score_portfolio"}
 
 
 def test_entry(spark):
@@ -30,7 +30,8 @@ def test_entry(spark):
     assert df.count() == 5
 
 
-def test_score_portfolio_rows(spark, sf_dir):
-    df = E.queries()["score_portfolio"](spark, sf_dir)
+@pytest.mark.parametrize("name", ["fit_risk_model", "score_portfolio"])
+def test_model_queries_rows(spark, sf_dir, name):
+    df = E.queries()[name](spark, sf_dir)
     assert df.count() == 1500
     assert df.where("risk_score < 0 OR risk_score > 1 OR risk_score IS NULL").count() == 0
