@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lendlens.operators.ntile import exact_ntile, global_row_number
 
 
-def _reference(df, k):
+def _window_ntile(df, k):
     w = Window.orderBy(F.col("r").asc_nulls_first(), F.col("id"))
     return {row["id"]: row["t"] for row in
             df.select("id", F.ntile(k).over(w).alias("t")).collect()}
@@ -25,12 +25,12 @@ def _ours(df, k, slices=None):
 def test_matches_window_ntile(spark, values, k, slices):
     rows = [(i * 3 + 1, None if v is None else v / 2) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "id long, r double")
-    assert _ours(df, k, slices) == _reference(df, k)
+    assert _ours(df, k, slices) == _window_ntile(df, k)
 
 
 def test_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(1, 0.5), (2, None), (3, 0.1)], "id long, r double")
-    assert _ours(df, 5) == _reference(df, 5) == {2: 1, 3: 2, 1: 3}
+    assert _ours(df, 5) == _window_ntile(df, 5) == {2: 1, 3: 2, 1: 3}
 
 
 def test_heavy_tie_is_spread_over_slices(spark):
@@ -38,7 +38,7 @@ def test_heavy_tie_is_spread_over_slices(spark):
     # (ratio, id) still splits them across slices; results stay exact.
     rows = [(i, None if i % 3 == 0 else float(i % 17)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, r double")
-    assert _ours(df, 5, slices=8) == _reference(df, 5)
+    assert _ours(df, 5, slices=8) == _window_ntile(df, 5)
     ranked = global_row_number(df, ["r"], "id", out_col="rn", num_slices=8)
     got = sorted(r["rn"] for r in ranked.select("rn").collect())
     assert got == list(range(1, 3001))
