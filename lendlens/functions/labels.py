@@ -130,6 +130,9 @@ STAMP = {
 DATE_FORMAT = "dd/MM/yyyy"
 TIME_FORMAT = "HH:mm"
 
+# --- Fixed values: answer for an id that is not in the portfolio ------------
+CLIENT_NOT_FOUND = "Client ID %d non trouvé dans les données"
+
 # --- Fixed values: feedback defaults and levels -----------------------------
 FEEDBACK_EMPTY_MESSAGE = "Message vide"
 FEEDBACK_LEVEL_POSITIVE = "INFO"

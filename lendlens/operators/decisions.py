@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.bands import risk_level
 from ..schema import ID_COL
+from .filters import lookup
+from .scoring import score_report
 
 
 def _literal_map(mapping: dict) -> Column:
@@ -37,9 +39,6 @@ def with_risk_level(df: DataFrame, score_col: str = "risk_score",
     return df.withColumn(out_col, risk_level(score_col))
 
 
-_REC_FIELDS = ("decision", "explanation", "alternative", "risk_level", "action_plan")
-
-
 def _recommendation_map() -> Column:
     entries = {}
     for rec in L.RECOMMENDATIONS:
@@ -117,3 +116,29 @@ def risk_level_summary(scored: DataFrame, score_col: str = "risk_score",
                   .agg(F.count(F.lit(1)).alias("CLIENT_COUNT"),
                        F.round(F.avg(score_col), 4).alias("AVG_SCORE"),
                        F.round(F.sum(credit_col), 2).alias("TOTAL_CREDIT")))
+
+
+_INFO_FIELDS = ("gender", "age", "children_count", "income", "credit_amount", "income_type",
+                "education_type", "family_status", "housing_type", "years_employed")
+_STAMP_FIELDS = ("analysis_date", "analysis_time", *L.STAMP.keys())
+
+
+def client_response(scored: DataFrame, ids, run_ts: dt.datetime,
+                    id_col: str = ID_COL) -> DataFrame:
+    """The per-client answer for requested ids, one row per id, as one plan:
+    lookup (with not-found report) -> client report -> display formatting
+    -> recommendation -> run stamp. A missing id gets ``found = false`` and
+    the not-found message in ``error``; its other fields are null.
+
+    ``ids`` is a list (pushed down as ``IN``) or a DataFrame of ids.
+    """
+    looked = lookup(scored, ids, id_col, report_missing=True)
+    answer = stamp(recommend(format_client(score_report(looked, keep=("found",)))), run_ts)
+    found = F.col("found")
+    return answer.select(
+        "client_id", "found",
+        F.when(~found, F.format_string(L.CLIENT_NOT_FOUND, F.col("client_id"))).alias("error"),
+        F.when(found, F.struct(*_INFO_FIELDS)).alias("client_info"),
+        F.when(found, F.struct("risk_score", "predicted_default")).alias("prediction"),
+        F.when(found, F.col("recommendation")).alias("recommendation"),
+        F.when(found, F.struct(*_STAMP_FIELDS)).alias("metadata"))

@@ -144,11 +144,12 @@ def score(df: DataFrame, preprocessor: PipelineModel, model) -> DataFrame:
 
 # --- Client report (the per-client answer, for every scored row) -------------
 
-def score_report(scored: DataFrame) -> DataFrame:
+def score_report(scored: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flat report per scored client: identity fields, age in completed
     years, tenure (null and 'not employed' -> 0), amounts, score and the
-    predicted class. Conversions keep nulls."""
+    predicted class. Conversions keep nulls; ``keep`` columns pass through."""
     return scored.select(
+        *keep,
         F.col("SK_ID_CURR").alias("client_id"),
         F.col("CODE_GENDER").alias("gender"),
         D.age_whole_years("DAYS_BIRTH").alias("age"),

@@ -113,6 +113,16 @@ def format_client(spark, sf_dir):
     return decisions.format_client(scoring.score_report(fx.scored(spark, sf_dir)))
 
 
+def client_response(spark, sf_dir):
+    """The full answer for the requested ids (found or not), flattened."""
+    resp = decisions.client_response(fx.scored(spark, sf_dir), list(fx.REQUESTED_IDS), RUN_TS)
+    return resp.select(
+        "client_id", "found", "error", "client_info.*", "prediction.*",
+        F.col("recommendation.risk_level").alias("risk_level"),
+        F.col("recommendation.decision").alias("decision"),
+        "metadata.analysis_date", "metadata.analysis_time", "metadata.version")
+
+
 def stamp(spark, sf_dir):
     report = scoring.score_report(fx.scored(spark, sf_dir)).select("client_id")
     return decisions.stamp(report, RUN_TS)
@@ -173,6 +183,7 @@ QUERIES: dict[str, Query] = {
     "recommend": recommend,
     "format_client": format_client,
     "stamp": stamp,
+    "client_response": client_response,
     "client_dossier": client_dossier,
     "segment_filter": segment_filter,
     "risk_level_summary": risk_level_summary,

@@ -191,8 +191,7 @@ SELECT SK_ID_CURR, risk_score, risk_level,
 FROM lv
 """
 
-_FORMAT = """,
-r AS (SELECT {report} FROM scored)
+_FORMAT_SELECT = """
 SELECT client_id,
   CASE gender WHEN 'M' THEN 'Homme' WHEN 'F' THEN 'Femme' ELSE gender END AS gender,
   age, children_count,
@@ -220,6 +219,26 @@ SELECT client_id,
 FROM r
 """
 
+_FORMAT = ",\nr AS (SELECT {report} FROM scored)" + _FORMAT_SELECT
+
+_RESPONSE = """,
+r AS (SELECT {report} FROM scored),
+f AS ({fmt}),
+ids AS (SELECT CAST(id AS BIGINT) AS id FROM (VALUES (0), (1), (7), (97), (1499), (-1)) AS t(id))
+SELECT i.id AS client_id, f.client_id IS NOT NULL AS found,
+  CASE WHEN f.client_id IS NULL THEN printf('Client ID %d non trouvé dans les données', i.id) END AS error,
+  f.gender, f.age, f.children_count, f.income, f.credit_amount, f.income_type,
+  f.education_type, f.family_status, f.housing_type, f.years_employed,
+  f.risk_score, f.predicted_default,
+  {level} AS risk_level,
+  CASE {level} WHEN 'Élevé' THEN 'Refus recommandé' WHEN 'Moyen' THEN 'Acceptation conditionnelle'
+               WHEN 'Faible' THEN 'Acceptation recommandée' END AS decision,
+  CASE WHEN f.client_id IS NOT NULL THEN strftime(TIMESTAMP '2024-06-03 14:05:00', '%d/%m/%Y') END AS analysis_date,
+  CASE WHEN f.client_id IS NOT NULL THEN strftime(TIMESTAMP '2024-06-03 14:05:00', '%H:%M') END AS analysis_time,
+  CASE WHEN f.client_id IS NOT NULL THEN '1.2.3' END AS version
+FROM ids i LEFT JOIN f ON f.client_id = i.id
+"""
+
 _STAMP = """
 SELECT SK_ID_CURR AS client_id,
   strftime(TIMESTAMP '2024-06-03 14:05:00', '%d/%m/%Y') AS analysis_date,
@@ -293,6 +312,8 @@ def oracle_sql() -> dict[str, str]:
         "recommend": _SCORED + _RECOMMEND.format(level=_LEVEL),
         "format_client": _SCORED + _FORMAT.format(report=report),
         "stamp": _SCORED + "\n" + _STAMP,
+        "client_response": _SCORED + _RESPONSE.format(
+            report=report, fmt=_FORMAT_SELECT, level=_LEVEL.replace("risk_score", "f.risk_score")),
         "client_dossier": _SCORED + _DOSSIER.format(identities=duckdb_identities_cte(),
                                                      level=_LEVEL),
         "segment_filter": _SCORED + _SEGMENT.format(level=_LEVEL),

@@ -61,3 +61,17 @@ def test_risk_level_summary(spark):
     out = {r["risk_level"]: r for r in decisions.risk_level_summary(df).collect()}
     assert out["Élevé"]["CLIENT_COUNT"] == 2 and out["Élevé"]["TOTAL_CREDIT"] == 6.0
     assert out[None]["AVG_SCORE"] is None
+
+
+def test_client_response(spark, sf_dir):
+    resp = decisions.client_response(fx.scored(spark, sf_dir), [1, -1], dt.datetime(2024, 1, 9, 7, 3))
+    out = {r["client_id"]: r for r in resp.collect()}
+    assert out[-1]["found"] is False
+    assert out[-1]["error"] == "Client ID -1 non trouvé dans les données"
+    assert out[-1]["client_info"] is None and out[-1]["recommendation"] is None
+    hit = out[1]
+    assert hit["found"] and hit["error"] is None
+    assert hit["client_info"]["gender"] in ("Homme", "Femme")
+    assert hit["prediction"]["risk_score"] == 0.053
+    assert hit["recommendation"]["risk_level"] == "Faible"
+    assert hit["metadata"]["analysis_date"] == "09/01/2024"
