@@ -201,3 +201,83 @@ def as_records(df: DataFrame, col: str = "record") -> DataFrame:
     """One JSON text per result row (the records form of a cohort result);
     the caller writes or collects it."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(col))
+
+
+# --- Whole dashboard in one scan ------------------------------------------------
+
+REPORT_ANALYSES = (1, 3, 4, 5, 6, 7, 8)  # every analysis without a global rank
+
+_REPORT_MEASURES = (
+    ("CLIENT_COUNT", _count),
+    ("DEFAULT_RATE", lambda: D.default_rate()),
+    ("AVG_INCOME", _avg_rounded("AMT_INCOME_TOTAL", 0)),
+    ("AVG_CREDIT", _avg_rounded("AMT_CREDIT", 0)),
+)
+_MEASURE_ALIASES = {"APPLICATION_COUNT": "CLIENT_COUNT"}
+
+
+def cohort_report(df: DataFrame, analyses=REPORT_ANALYSES, min_credit=None,
+                  max_credit=None, min_income=None) -> DataFrame:
+    """Several analyses from ONE scan and ONE shuffle, in long form.
+
+    The derived keys of all requested analyses are projected once, then a
+    ``GROUPING SETS`` aggregate (one set per analysis) computes count,
+    default rate and mean amounts for every set; the expand and partial
+    aggregation happen map-side, so the shuffle carries only group rows.
+    Each analysis's floor and relabels are applied afterwards. Output:
+    ``ANALYSIS, KEY1, KEY2`` (text keys; ``KEY2`` for the two-key analyses),
+    ``CLIENT_COUNT, DEFAULT_RATE`` and ``AVG_INCOME`` / ``AVG_CREDIT`` where
+    the analysis reports them (else null). The ranked analysis (2) needs a
+    global order and is not part of the report.
+    """
+    specs = [spec(a) for a in analyses]
+    if any(s.prepare is not None for s in specs):
+        raise ValueError("the ranked analysis cannot share the grouping scan")
+    base = portfolio_filter(df, min_credit, max_credit, min_income)
+    derived = {n: fn() for s in specs for n, fn in s.derived}
+    base = base.withColumns(derived) if derived else base
+    keys = list(dict.fromkeys(k for s in specs for k in s.keys))
+    sets = [[F.col(k) for k in s.keys] for s in specs]
+    grouped = base.groupingSets(sets, *[F.col(k) for k in keys]).agg(
+        *[fn().alias(n) for n, fn in _REPORT_MEASURES],
+        F.grouping_id(*[F.col(k) for k in keys]).alias("_gid"))
+
+    # One projection over the single aggregate (separate filtered branches
+    # would each be planned as their own scan). grouping_id has a bit set for
+    # every key NOT in the set, first key = highest bit.
+    gid = {s.number: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s.keys)
+           for s in specs}
+    g = F.col("_gid")
+
+    def by_analysis(value_of) -> Column:
+        expr = None
+        for s in specs:
+            v = value_of(s)
+            if v is None:
+                continue
+            expr = F.when(g == gid[s.number], v) if expr is None else expr.when(g == gid[s.number], v)
+        return expr if expr is not None else F.lit(None)
+
+    def key(s: CohortSpec, i: int) -> Column | None:
+        if len(s.keys) <= i:
+            return None
+        after = dict(s.after)
+        k = s.keys[i]
+        return (after[k]() if k in after else F.col(k)).cast("string")
+
+    def reports(name: str):
+        return lambda s: F.col(name) if any(_MEASURE_ALIASES.get(n, n) == name
+                                              for n, _ in s.measures) else None
+
+    keep = F.lit(True)
+    for s in specs:
+        if s.min_count is not None:
+            col, floor = s.min_count
+            keep = keep & ~((g == gid[s.number]) & (F.col(_MEASURE_ALIASES.get(col, col)) <= floor))
+    return grouped.where(keep).select(
+        by_analysis(lambda s: F.lit(s.number)).cast("int").alias("ANALYSIS"),
+        by_analysis(lambda s: key(s, 0)).cast("string").alias("KEY1"),
+        by_analysis(lambda s: key(s, 1)).cast("string").alias("KEY2"),
+        F.col("CLIENT_COUNT"), F.col("DEFAULT_RATE"),
+        by_analysis(reports("AVG_INCOME")).cast("double").alias("AVG_INCOME"),
+        by_analysis(reports("AVG_CREDIT")).cast("double").alias("AVG_CREDIT"))

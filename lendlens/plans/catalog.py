@@ -43,6 +43,11 @@ def portfolio_filter(spark, sf_dir):
             .select("SK_ID_CURR", "AMT_CREDIT", "AMT_INCOME_TOTAL", "TARGET"))
 
 
+def cohort_report(spark, sf_dir):
+    """Analyses 1 and 3-8 from one scan (GROUPING SETS), long form."""
+    return cohorts.cohort_report(fx.applications(spark, sf_dir))
+
+
 def contract_realty_matrix(spark, sf_dir):
     return cohorts.contract_realty_matrix(fx.applications(spark, sf_dir))
 
@@ -172,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "contract_realty": _analysis(6),
     "family_children": _analysis(7),
     "weekday": _analysis(8),
+    "cohort_report": cohort_report,
     "contract_realty_matrix": contract_realty_matrix,
     "family_children_matrix": family_children_matrix,
     "prepare_features": prepare_features,

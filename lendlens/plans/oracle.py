@@ -283,6 +283,49 @@ SELECT event_id, coalesce(message, 'Message vide') AS message,
 FROM feedback
 """
 
+_REPORT = """,
+a AS (
+  SELECT TARGET, AMT_INCOME_TOTAL, AMT_CREDIT, NAME_INCOME_TYPE, NAME_CONTRACT_TYPE,
+         FLAG_OWN_REALTY, NAME_FAMILY_STATUS, CNT_CHILDREN, WEEKDAY_APPR_PROCESS_START,
+         CASE WHEN -DAYS_BIRTH / 365.25e0 < 25 THEN '< 25 ans'
+              WHEN -DAYS_BIRTH / 365.25e0 < 35 THEN '25-35 ans'
+              WHEN -DAYS_BIRTH / 365.25e0 < 45 THEN '35-45 ans'
+              WHEN -DAYS_BIRTH / 365.25e0 < 55 THEN '45-55 ans' ELSE '> 55 ans' END AS AGE_GROUP,
+         CASE WHEN y < 1 THEN '< 1 an' WHEN y < 3 THEN '1-3 ans' WHEN y < 5 THEN '3-5 ans'
+              WHEN y < 10 THEN '5-10 ans' ELSE '> 10 ans' END AS EMPLOYMENT_LENGTH,
+         CASE WHEN n = 0 THEN 'Aucune demande' WHEN n <= 2 THEN '1-2 demandes'
+              WHEN n <= 5 THEN '3-5 demandes' WHEN n <= 10 THEN '6-10 demandes'
+              ELSE '> 10 demandes' END AS ENQUIRY_GROUP
+  FROM (SELECT *,
+          CASE WHEN DAYS_EMPLOYED = 365243 THEN 0e0 ELSE -DAYS_EMPLOYED / 365.25e0 END AS y,
+          coalesce(AMT_REQ_CREDIT_BUREAU_HOUR, 0) + coalesce(AMT_REQ_CREDIT_BUREAU_DAY, 0)
+        + coalesce(AMT_REQ_CREDIT_BUREAU_WEEK, 0) + coalesce(AMT_REQ_CREDIT_BUREAU_MON, 0)
+        + coalesce(AMT_REQ_CREDIT_BUREAU_QRT, 0) + coalesce(AMT_REQ_CREDIT_BUREAU_YEAR, 0) AS n
+        FROM applications) x
+)
+SELECT 1 AS ANALYSIS, AGE_GROUP AS KEY1, CAST(NULL AS VARCHAR) AS KEY2, count(*) AS CLIENT_COUNT,
+       {rate}, CAST(NULL AS DOUBLE) AS AVG_INCOME, CAST(NULL AS DOUBLE) AS AVG_CREDIT
+FROM a GROUP BY AGE_GROUP
+UNION ALL
+SELECT 3, NAME_INCOME_TYPE, NULL, count(*), {rate}, round(avg(AMT_INCOME_TOTAL), 0), NULL
+FROM a GROUP BY NAME_INCOME_TYPE HAVING count(*) > 100
+UNION ALL
+SELECT 4, EMPLOYMENT_LENGTH, NULL, count(*), {rate}, NULL, NULL FROM a GROUP BY EMPLOYMENT_LENGTH
+UNION ALL
+SELECT 5, ENQUIRY_GROUP, NULL, count(*), {rate}, NULL, NULL FROM a GROUP BY ENQUIRY_GROUP
+UNION ALL
+SELECT 6, NAME_CONTRACT_TYPE,
+       CASE FLAG_OWN_REALTY WHEN 'Y' THEN 'Propriétaire' WHEN 'N' THEN 'Non propriétaire' END,
+       count(*), {rate}, NULL, round(avg(AMT_CREDIT), 0)
+FROM a GROUP BY NAME_CONTRACT_TYPE, FLAG_OWN_REALTY
+UNION ALL
+SELECT 7, NAME_FAMILY_STATUS, CAST(CNT_CHILDREN AS VARCHAR), count(*), {rate}, NULL, NULL
+FROM a GROUP BY NAME_FAMILY_STATUS, CNT_CHILDREN HAVING count(*) > 50
+UNION ALL
+SELECT 8, WEEKDAY_APPR_PROCESS_START, NULL, count(*), {rate}, NULL, round(avg(AMT_CREDIT), 0)
+FROM a GROUP BY WEEKDAY_APPR_PROCESS_START
+"""
+
 
 def _apps(body: str, **kw) -> str:
     return _APPS + "\n" + body.format(rate=_RATE, **kw)
@@ -303,6 +346,7 @@ def oracle_sql() -> dict[str, str]:
         "contract_realty": _apps(_CONTRACT_GROUPS),
         "family_children": _apps(_FAMILY_GROUPS),
         "weekday": _apps(_WEEKDAY),
+        "cohort_report": _APPS + _REPORT.format(rate=_RATE),
         "contract_realty_matrix": _APPS + _CONTRACT_MATRIX.format(groups=contract),
         "family_children_matrix": _APPS + _FAMILY_MATRIX.format(groups=family),
         "prepare_features": _APPS + "\n" + duckdb_prepared_select(),

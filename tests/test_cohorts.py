@@ -121,3 +121,28 @@ def test_lookup_reports_missing(spark, sf_dir):
 def test_empty_input(spark):
     out = cohorts.analyse(_apps(spark, []), 3)
     assert out.collect() == []
+
+
+def test_cohort_report_equals_separate_analyses(spark, sf_dir):
+    apps = fx.applications(spark, sf_dir)
+    kw = dict(min_credit=50000)
+    rep = cohorts.cohort_report(apps, **kw).collect()
+    for number in cohorts.REPORT_ANALYSES:
+        s = cohorts.spec(number)
+        count_col = "APPLICATION_COUNT" if number == 8 else "CLIENT_COUNT"
+        want = sorted(
+            (None if r[s.keys[0]] is None else str(r[s.keys[0]]),
+             None if len(s.keys) < 2 or r[s.keys[1]] is None else str(r[s.keys[1]]),
+             r[count_col], r["DEFAULT_RATE"])
+            for r in cohorts.analyse(apps, number, **kw).collect())
+        got = sorted((r["KEY1"], r["KEY2"], r["CLIENT_COUNT"], r["DEFAULT_RATE"])
+                     for r in rep if r["ANALYSIS"] == number)
+        assert got == want, number
+    with pytest.raises(ValueError):
+        cohorts.cohort_report(apps, analyses=(1, 2))
+
+
+def test_cohort_report_is_one_scan(spark, sf_dir):
+    plan = cohorts.cohort_report(fx.applications(spark, sf_dir))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # orders + customer, once each
