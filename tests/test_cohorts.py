@@ -123,6 +123,10 @@ def test_empty_input(spark):
     assert out.collect() == []
 
 
+def _nulls_first(t):
+    return tuple((v is not None, "" if v is None else str(v)) for v in t)
+
+
 def test_cohort_report_equals_separate_analyses(spark, sf_dir):
     apps = fx.applications(spark, sf_dir)
     kw = dict(min_credit=50000)
@@ -130,13 +134,13 @@ def test_cohort_report_equals_separate_analyses(spark, sf_dir):
     for number in cohorts.REPORT_ANALYSES:
         s = cohorts.spec(number)
         count_col = "APPLICATION_COUNT" if number == 8 else "CLIENT_COUNT"
-        want = sorted(
+        want = sorted((
             (None if r[s.keys[0]] is None else str(r[s.keys[0]]),
              None if len(s.keys) < 2 or r[s.keys[1]] is None else str(r[s.keys[1]]),
              r[count_col], r["DEFAULT_RATE"])
-            for r in cohorts.analyse(apps, number, **kw).collect())
-        got = sorted((r["KEY1"], r["KEY2"], r["CLIENT_COUNT"], r["DEFAULT_RATE"])
-                     for r in rep if r["ANALYSIS"] == number)
+            for r in cohorts.analyse(apps, number, **kw).collect()), key=_nulls_first)
+        got = sorted(((r["KEY1"], r["KEY2"], r["CLIENT_COUNT"], r["DEFAULT_RATE"])
+                      for r in rep if r["ANALYSIS"] == number), key=_nulls_first)
         assert got == want, number
     with pytest.raises(ValueError):
         cohorts.cohort_report(apps, analyses=(1, 2))
