@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.bands import risk_level
 from ..schema import ID_COL
@@ -87,8 +86,10 @@ def lookup(df: DataFrame, ids, id_col: str = ID_COL,
         if not report_missing:
             return narrowed
         id_type = df.schema[id_col].dataType
-        ids_df = spark.createDataFrame(
-            [(v,) for v in values], T.StructType([T.StructField(id_col, id_type, True)]))
+        # The requested ids as a literal array exploded in the JVM (no rows
+        # shipped from Python).
+        ids_df = spark.range(1).select(F.explode(F.array(
+            *[F.lit(v).cast(id_type) for v in values])).alias(id_col))
         right = narrowed
     else:
         ids_df = ids.select(id_col)

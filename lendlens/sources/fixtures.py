@@ -144,12 +144,6 @@ def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "CAST(NULL AS STRING) AS photo_url"))
 
 
-def requested_ids(spark: SparkSession) -> DataFrame:
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField(ID_COL, T.LongType(), False)])
-    return spark.createDataFrame([(i,) for i in REQUESTED_IDS], schema)
-
-
 def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feedback bodies as typed records; ``custom_dimensions`` parsed from
     the JSON ``props`` text."""

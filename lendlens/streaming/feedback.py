@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import labels as L
@@ -105,7 +104,3 @@ def write_feedback(df: DataFrame, path: str, checkpoint: str | None = None,
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start(path)
 
-
-def feedback_schema() -> T.StructType:
-    from ..schema import FEEDBACK_SCHEMA
-    return FEEDBACK_SCHEMA
