@@ -20,6 +20,21 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark simple type name -> DuckDB type name of the same values.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_problems(sdf, rel) -> list[str]:
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck_types.get(f.name) != want:
+            out.append(f"type of {f.name}: spark {want} vs duckdb {duck_types.get(f.name)}")
+    return out
+
+
 def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return (0, "")
@@ -39,6 +54,9 @@ def compare(sdf, con, sql) -> list[str]:
     d_cols, d_rows = rel.columns, rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return [f"columns differ: {sorted(s_cols)} vs {sorted(d_cols)}"]
+    typing = type_problems(sdf, rel)
+    if typing:
+        return typing
     order = sorted(s_cols)
     a, b = rows(s_cols, s_rows, order), rows(d_cols, d_rows, order)
     if len(a) != len(b):
