@@ -230,9 +230,11 @@ def cohort_report(df: DataFrame, analyses=REPORT_ANALYSES, min_credit=None,
     the analysis reports them (else null). The ranked analysis (2) needs a
     global order and is not part of the report.
     """
-    specs = [spec(a) for a in analyses]
+    specs = list({spec(a).number: spec(a) for a in analyses}.values())
     if any(s.prepare is not None for s in specs):
         raise ValueError("the ranked analysis cannot share the grouping scan")
+    if len({frozenset(s.keys) for s in specs}) != len(specs):
+        raise ValueError("analyses with the same keys cannot share one grouping set")
     base = portfolio_filter(df, min_credit, max_credit, min_income)
     derived = {n: fn() for s in specs for n, fn in s.derived}
     base = base.withColumns(derived) if derived else base

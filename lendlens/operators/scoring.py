@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import derive as D
 from ..functions.labels import UNKNOWN
-from ..schema import CATEGORICAL_COLS, FLAG_COLS, LABEL_COL, NUMERIC_COLS
+from ..schema import CATEGORICAL_COLS, FLAG_COLS, ID_COL, LABEL_COL, NUMERIC_COLS
 from ..session import checkpoint_dir
 from ..sources.readers import spread
 
@@ -51,6 +51,12 @@ def prepare_features(df: DataFrame) -> DataFrame:
     return df.select(*exprs)
 
 
+def _spread_by_id(df: DataFrame) -> DataFrame:
+    """Spread a coarse input over the cores, hashed on the client id when
+    the table has one (deterministic placement on retries)."""
+    return spread(df, ID_COL) if ID_COL in df.columns else spread(df)
+
+
 def _feature_stages(df: DataFrame) -> list:
     nums = [c for c in NUMERIC_COLS if c in df.columns]
     cats = [c for c in CATEGORICAL_COLS if c in df.columns]
@@ -83,7 +89,7 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25
     on all cores.
     """
     inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
-    prepared = (prepare_features(spread(train.select(*inputs, LABEL_COL)))
+    prepared = (prepare_features(_spread_by_id(train).select(*inputs, LABEL_COL))
                 .where(F.col(LABEL_COL).isNotNull())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -135,7 +141,7 @@ def score(df: DataFrame, preprocessor: PipelineModel, model) -> DataFrame:
     pipeline, classifier, then the class-1 probability as ``risk_score``.
     The input columns are kept; ML working columns are dropped. Scoring is a
     map-only job; a coarse input is spread over the cores first."""
-    prepared = prepare_features(spread(df))
+    prepared = prepare_features(_spread_by_id(df))
     transformed = model.transform(preprocessor.transform(prepared))
     scored = with_risk_score(transformed)
     keep = list(prepared.columns) + [SCORE_COL, "prediction"]

@@ -22,8 +22,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     the scan has fewer partitions than ``defaultParallelism`` it is
     hash-partitioned by ``keys`` (deterministic placement, safe to retry);
     otherwise -- the normal case for a large table -- it is returned as is
-    and no shuffle is added.
+    and no shuffle is added. Streams are returned as they are.
     """
+    if df.isStreaming:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
