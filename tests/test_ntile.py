@@ -49,3 +49,17 @@ def test_tiles_are_balanced(spark):
     counts = (exact_ntile(df, 5, ["r"], "id", out_col="t").groupBy("t").count()
               .orderBy("t").collect())
     assert [c["count"] for c in counts] == [201, 201, 201, 200, 200]
+
+
+def test_range_slices_stay_balanced_under_a_hot_tie(spark):
+    # One value (null) holds a third of the rows; slicing on the full key
+    # (ratio, id) splits it, so no slice is much larger than n / slices.
+    n, slices = 30000, 8
+    df = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 11).cast("double"))
+         .alias("r"))
+    ranged = df.repartitionByRange(slices, F.col("r").asc_nulls_first(), F.col("id"))
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == n
+    assert max(sizes) < 2 * n / slices   # the hot tie alone would be n / 3
