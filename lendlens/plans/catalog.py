@@ -22,6 +22,7 @@ from ..streaming import feedback
 # Fixed parameters of the example queries.
 FILTER_EXAMPLE = {"min_credit": 100000, "max_credit": 300000, "min_income": 0}
 FLOOR_EXAMPLE = {"min_credit": 484000}
+QUINTILE_FILTER_EXAMPLE = {"min_credit": 50000, "min_income": 20000}
 SEGMENT_EXAMPLE = {"segment": "Working", "product": "Cash loans", "risk_levels": ["Élevé", "Moyen"]}
 RUN_TS = dt.datetime(2024, 6, 3, 14, 5, 0)
 
@@ -48,6 +49,11 @@ def cohort_report(spark, sf_dir):
     return cohorts.cohort_report(fx.applications(spark, sf_dir))
 
 
+def age_band_records(spark, sf_dir):
+    """The age-band result as JSON records (one text per group)."""
+    return cohorts.as_records(cohorts.analyse(fx.applications(spark, sf_dir), 1))
+
+
 def contract_realty_matrix(spark, sf_dir):
     return cohorts.contract_realty_matrix(fx.applications(spark, sf_dir))
 
@@ -170,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "portfolio_filter": portfolio_filter,
     "age_band": _analysis(1),
     "credit_income_quintile": _analysis(2),
+    "credit_income_quintile_filtered": _analysis(2, **QUINTILE_FILTER_EXAMPLE),
     "income_type": _analysis(3),
     "income_type_filtered": _analysis(3, **FLOOR_EXAMPLE),
     "employment_band": _analysis(4),
@@ -178,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "family_children": _analysis(7),
     "weekday": _analysis(8),
     "cohort_report": cohort_report,
+    "age_band_records": age_band_records,
     "contract_realty_matrix": contract_realty_matrix,
     "family_children_matrix": family_children_matrix,
     "prepare_features": prepare_features,

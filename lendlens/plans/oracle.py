@@ -41,7 +41,7 @@ _QUINTILE = """,
 base AS (
   SELECT SK_ID_CURR, TARGET,
          round(AMT_CREDIT / NULLIF(AMT_INCOME_TOTAL, 0), 2) AS CREDIT_INCOME_RATIO
-  FROM applications
+  FROM applications {where}
 ),
 tiles AS (
   SELECT *, ntile(5) OVER (ORDER BY CREDIT_INCOME_RATIO ASC NULLS FIRST, SK_ID_CURR ASC) AS q
@@ -338,7 +338,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "portfolio_filter": _apps(_FILTER),
         "age_band": _apps(_AGE),
-        "credit_income_quintile": _apps(_QUINTILE),
+        "credit_income_quintile": _apps(_QUINTILE, where=""),
+        "credit_income_quintile_filtered": _apps(
+            _QUINTILE, where="WHERE AMT_CREDIT >= 50000 AND AMT_INCOME_TOTAL >= 20000"),
         "income_type": _apps(_INCOME, where=""),
         "income_type_filtered": _apps(_INCOME, where="WHERE AMT_CREDIT >= 484000"),
         "employment_band": _apps(_EMPLOYMENT),
@@ -347,6 +349,9 @@ def oracle_sql() -> dict[str, str]:
         "family_children": _apps(_FAMILY_GROUPS),
         "weekday": _apps(_WEEKDAY),
         "cohort_report": _APPS + _REPORT.format(rate=_RATE),
+        "age_band_records": _APPS + ",\nab AS (" + _AGE.format(rate=_RATE) + ")\n"
+            "SELECT CAST(to_json(struct_pack(AGE_GROUP := AGE_GROUP, CLIENT_COUNT := CLIENT_COUNT, "
+            "DEFAULT_RATE := DEFAULT_RATE)) AS VARCHAR) AS record FROM ab",
         "contract_realty_matrix": _APPS + _CONTRACT_MATRIX.format(groups=contract),
         "family_children_matrix": _APPS + _FAMILY_MATRIX.format(groups=family),
         "prepare_features": _APPS + "\n" + duckdb_prepared_select(),
