@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -172,6 +173,26 @@ def feedback_json(spark, sf_dir):
                          F.try_element_at("custom_dimensions", F.lit("k")).alias("k"))
 
 
+def feedback_stream(spark, sf_dir):
+    """End-to-end streaming ingestion: the feedback bodies are written as
+    JSON lines into the shared checkpoint folder, a Structured Streaming job
+    (text source -> parse -> parquet sink partitioned by level, checkpointed,
+    ``availableNow``) ingests them, and the sink's content is returned."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedback-{uuid.uuid4().hex}"
+    recs = fx.feedback_records(spark, sf_dir)
+    (recs.select(F.to_json(F.struct("event_id", "message", "custom_dimensions",
+                                    "is_positive")).alias("value"))
+         .write.text(f"{base}/incoming"))
+    raw = spark.readStream.format("text").load(f"{base}/incoming")
+    raw = raw.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("long"))
+    query = feedback.write_feedback(feedback.parse_feedback(raw), f"{base}/sink",
+                                    checkpoint=f"{base}/stream-checkpoint")
+    query.awaitTermination()
+    return (spark.read.parquet(f"{base}/sink")
+            .select("event_id", "message", "level", "malformed",
+                    F.try_element_at("custom_dimensions", F.lit("k")).alias("k")))
+
+
 QUERIES: dict[str, Query] = {
     "portfolio_filter": portfolio_filter,
     "age_band": _analysis(1),
@@ -203,4 +224,5 @@ QUERIES: dict[str, Query] = {
     "risk_level_summary": risk_level_summary,
     "feedback": feedback_levels,
     "feedback_json": feedback_json,
+    "feedback_stream": feedback_stream,
 }

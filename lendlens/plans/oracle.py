@@ -369,4 +369,5 @@ def oracle_sql() -> dict[str, str]:
         "risk_level_summary": _SCORED + "\n" + _SUMMARY.format(level=_LEVEL),
         "feedback": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK,
         "feedback_json": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK_JSON,
+        "feedback_stream": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK_JSON,
     }
