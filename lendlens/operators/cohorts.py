@@ -158,10 +158,21 @@ def run_spec(s: CohortSpec, df: DataFrame) -> DataFrame:
     return out
 
 
+_FILTER_KEYS = ("min_credit", "max_credit", "min_income")
+
+
 def analyse(df: DataFrame, analysis: int | str = 1, min_credit=None, max_credit=None,
-            min_income=None) -> DataFrame:
-    """Run one cohort analysis on the portfolio after the amount filters."""
+            min_income=None, filters: Mapping | None = None) -> DataFrame:
+    """Run one cohort analysis on the portfolio after the amount filters,
+    given as keywords or as a ``filters`` mapping with the same keys."""
     s = spec(analysis)
+    if filters:
+        unknown = set(filters) - set(_FILTER_KEYS)
+        if unknown:
+            raise ValueError(f"unknown filters {sorted(unknown)}; expected {_FILTER_KEYS}")
+        min_credit = filters.get("min_credit", min_credit)
+        max_credit = filters.get("max_credit", max_credit)
+        min_income = filters.get("min_income", min_income)
     return run_spec(s, portfolio_filter(df, min_credit, max_credit, min_income))
 
 

@@ -150,3 +150,11 @@ def test_cohort_report_is_one_scan(spark, sf_dir):
     plan = cohorts.cohort_report(fx.applications(spark, sf_dir))._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("FileScan parquet") == 2  # orders + customer, once each
+
+
+def test_filters_mapping_equals_keywords(spark, sf_dir):
+    apps = fx.applications(spark, sf_dir)
+    a = cohorts.analyse(apps, 3, filters={"min_credit": 100000, "min_income": 0}).collect()
+    assert sorted(a) == sorted(cohorts.analyse(apps, 3, min_credit=100000).collect())
+    with pytest.raises(ValueError):
+        cohorts.analyse(apps, 3, filters={"credit": 1})
