@@ -27,7 +27,8 @@ def _summary(plan: str) -> list[str]:
     for m in re.finditer(r"FileScan parquet \S*\[([^\]]*)\].*?Location: \S+\(\d+ paths\)\[([^\]]*)\]"
                          r".*?PushedFilters: \[(.*?)(?:\]|\.\.\.), ReadSchema", plan):
         cols = re.sub(r"#\d+L?", "", m.group(1))
-        table = os.path.basename(m.group(2)).replace(".parquet", "")
+        path = m.group(2).split(",")[0].rstrip(".")
+        table = os.path.basename(path.rstrip("/")).replace(".parquet", "") or path
         out.append(f"scan `{table}` columns [{cols}] pushed [{m.group(3)}]")
     for kind in ("Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
                  "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
