@@ -69,3 +69,19 @@ def test_score_response_nested(spark):
         "housing_type string, years_employed double, risk_score double, predicted_default int")
     r = scoring.score_response(df).first()
     assert r["client_info"]["gender"] == "F" and r["prediction"]["risk_score"] == 0.3
+
+
+def test_api_predict_and_dataviz(spark, sf_dir, fitted):
+    import datetime as dt
+
+    from lendlens import api
+    pre, model, _ = fitted
+    out = {r["client_id"]: r for r in api.predict(
+        fx.applicants(spark, sf_dir), [7, 123456789], pre, model, dt.datetime(2024, 5, 1, 9, 0)).collect()}
+    assert out[7]["found"] and 0.0 <= out[7]["prediction"]["risk_score"] <= 1.0
+    assert out[7]["recommendation"]["decision"] in (
+        "Refus recommandé", "Acceptation conditionnelle", "Acceptation recommandée")
+    assert out[123456789]["error"] == "Client ID 123456789 non trouvé dans les données"
+    result, meta = api.dataviz(fx.applications(spark, sf_dir))
+    assert meta["analysis_type"] == 2 and meta["chart_type"] == "scatter"
+    assert result.count() == 5
