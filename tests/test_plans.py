@@ -53,3 +53,17 @@ def test_quintile_has_no_single_partition_row_window(spark, sf_dir):
     assert windows
     for w in windows:
         assert "_ln_rows" in w
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"fit_risk_model", "score_portfolio",
+                                                             "feedback_stream"}))
+def test_no_python_evaluation(spark, sf_dir, name):
+    plan = _plan(E.queries()[name](spark, sf_dir))
+    assert "EvalPython" not in plan and "PythonUDF" not in plan
+
+
+def test_scoring_plan_stays_in_the_jvm(spark, sf_dir, tmp_path):
+    from lendlens.operators import scoring
+    pre, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=str(tmp_path / "m"))
+    plan = _plan(scoring.score(fx.applicants(spark, sf_dir), pre, model))
+    assert "EvalPython" not in plan and "PythonUDF" not in plan
