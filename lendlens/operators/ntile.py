@@ -13,9 +13,10 @@ whole table into one task. Here the same numbers come from a distributed plan:
 3. The positioned rows are checkpointed to the shared checkpoint folder, so
    slice membership is frozen: the two consumers below read identical data
    even if an executor is lost and work is redone.
-4. Slice sizes: one row per slice (bounded by the slice count we choose), a
-   running sum gives each slice's offset and the grand total; that table is
-   broadcast (its size is the slice count, a parameter, not the data).
+4. Slice sizes: one row per slice (at most ``spark.sql.shuffle.partitions``
+   slices, or the count given), a running sum gives each slice's offset and
+   the grand total; that table is broadcast (its size is the slice count, a
+   setting, not the data).
 5. Global row number = offset + position + 1; ``ntile`` follows from the row
    number and the total with the standard formula (the first ``n mod k``
    tiles hold one extra row).
@@ -50,11 +51,14 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], tie_col: str,
     Optionally add the total row count as ``total_col``."""
     spark = df.sparkSession
     checkpoint_dir(spark)  # fail early, and never on a machine-local folder
-    slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_key(c) for c in (*order_cols, tie_col)]
+    # Without a slice count AQE sizes the slices to the data (it merges
+    # adjacent ranges only, so slice order stays key order); the count is at
+    # most spark.sql.shuffle.partitions.
+    ranged = (df.repartitionByRange(num_slices, *keys) if num_slices
+              else df.repartitionByRange(*keys))
 
-    positioned = (df.repartitionByRange(slices, *keys)
-                    .sortWithinPartitions(*keys)
+    positioned = (ranged.sortWithinPartitions(*keys)
                     .withColumn("_ln_pos", F.monotonically_increasing_id()))
     positioned = positioned.checkpoint(eager=True)
     positioned = positioned.select(

@@ -63,3 +63,14 @@ def test_range_slices_stay_balanced_under_a_hot_tie(spark):
     sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) == n
     assert max(sizes) < 2 * n / slices   # the hot tie alone would be n / 3
+
+
+def test_default_slices_adapt_to_data(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = [(i, None if i % 4 == 0 else float(i % 13)) for i in range(2000)]
+        df = spark.createDataFrame(rows, "id long, r double")
+        assert _ours(df, 7) == _window_ntile(df, 7)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
