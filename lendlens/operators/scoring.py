@@ -121,6 +121,16 @@ def load_risk_model(path: str) -> tuple[PipelineModel, LogisticRegressionModel]:
     return load_preprocessor(f"{path}/preprocessor"), load_model(f"{path}/model")
 
 
+def risk_model_saved(spark, path: str) -> bool:
+    """Whether ``fit_risk_model`` artefacts exist under ``path`` (any Hadoop
+    file system: local, HDFS, object store)."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    jpath = sc._jvm.org.apache.hadoop.fs.Path
+    return all(jpath(f"{path}/{part}/metadata").getFileSystem(conf).exists(jpath(f"{path}/{part}/metadata"))
+               for part in ("preprocessor", "model"))
+
+
 def fallback_score(df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
     """Score from the hard prediction when no probability exists:
     positive prediction -> 0.75, otherwise 0.25."""

@@ -93,9 +93,9 @@ def score_portfolio(spark, sf_dir):
     """Load the saved preprocessing pipeline and model (fitting them first
     when none is saved for this source) and score every applicant."""
     path = _model_path(spark, sf_dir)
-    try:
+    if scoring.risk_model_saved(spark, path):
         pre, model = scoring.load_risk_model(path)
-    except Exception:  # nothing saved yet for this source
+    else:
         pre, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
     scored = scoring.score(fx.applicants(spark, sf_dir), pre, model)
     return decisions.with_risk_level(scored).select(
