@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import labels as L
 
 _DIMS_TYPE = "map<string,string>"
-_BODY_TYPE = "struct<message:string,is_positive:boolean>"
+_BODY_TYPE = "struct<message:string,custom_dimensions:map<string,string>,is_positive:boolean>"
 
 
 def _level(positive: Column) -> Column:
@@ -51,20 +51,20 @@ def parse_feedback(df: DataFrame, text_col: str = "value") -> DataFrame:
     Absent keys take the defaults; a key that is present with JSON ``null``
     keeps null (and a null flag is negative), as a dictionary lookup with a
     default would. Lines that are not a JSON object are kept with
-    ``malformed = true`` and the raw text in ``_corrupt_record``.
+    ``malformed = true`` and the raw text in ``_corrupt_record``. Two parses
+    per line: the top-level key names, and the typed body.
     """
     raw = F.col(text_col)
-    keys = F.from_json(raw, _DIMS_TYPE)            # presence of each key
-    body = F.from_json(raw, _BODY_TYPE)            # typed values
-    dims_text = F.try_element_at(keys, F.lit("custom_dimensions"))
-    has = lambda k: F.coalesce(F.map_contains_key(keys, F.lit(k)), F.lit(False))
+    keys = F.json_object_keys(raw)                 # null unless a JSON object
+    body = F.from_json(raw, _BODY_TYPE)
+    has = lambda k: F.coalesce(F.array_contains(keys, F.lit(k)), F.lit(False))
     empty = F.create_map().cast(_DIMS_TYPE)
     positive = F.when(has("is_positive"), body["is_positive"]).otherwise(F.lit(True))
     out = df.withColumns({
         "malformed": keys.isNull(),
         "message": F.when(has("message"), body["message"]).otherwise(
             F.lit(L.FEEDBACK_EMPTY_MESSAGE)),
-        "custom_dimensions": F.when(has("custom_dimensions"), F.from_json(dims_text, _DIMS_TYPE))
+        "custom_dimensions": F.when(has("custom_dimensions"), body["custom_dimensions"])
                               .otherwise(empty),
         "is_positive": positive,
     })

@@ -22,6 +22,7 @@ def test_parse_defaults_and_nulls(spark, tmp_path):
         json.dumps({}),
         json.dumps({"message": None, "is_positive": None, "custom_dimensions": None}),
         json.dumps({"message": "bad", "is_positive": False}),
+        json.dumps({"message": "odd dims", "custom_dimensions": "text", "is_positive": True}),
         "{not json",
     ])
     rows = feedback.read_feedback(spark, src).collect()
@@ -36,6 +37,8 @@ def test_parse_defaults_and_nulls(spark, tmp_path):
     assert ok["custom_dimensions"] == {"k": "1"}
     empty = [r for r in rows if r["message"] == "Message vide"][0]
     assert empty["custom_dimensions"] == {}
+    odd = [r for r in rows if r["message"] == "odd dims"][0]   # other fields survive
+    assert odd["level"] == "INFO" and odd["custom_dimensions"] is None
 
 
 def test_table_records(spark, sf_dir):
