@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import labels as L
+from ..sources.readers import spread
 
 _DIMS_TYPE = "map<string,string>"
 _BODY_TYPE = "struct<message:string,custom_dimensions:map<string,string>,is_positive:boolean>"
@@ -52,8 +53,10 @@ def parse_feedback(df: DataFrame, text_col: str = "value") -> DataFrame:
     keeps null (and a null flag is negative), as a dictionary lookup with a
     default would. Lines that are not a JSON object are kept with
     ``malformed = true`` and the raw text in ``_corrupt_record``. Two parses
-    per line: the top-level key names, and the typed body.
+    per line: the top-level key names, and the typed body. A coarse batch
+    input is spread over the cores first (parsing is the heavy per-row step).
     """
+    df = spread(df)
     raw = F.col(text_col)
     keys = F.json_object_keys(raw)                 # null unless a JSON object
     body = F.from_json(raw, _BODY_TYPE)
