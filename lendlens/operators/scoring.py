@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from ..functions import derive as D
 from ..functions.labels import UNKNOWN
-from ..schema import CATEGORICAL_COLS, FLAG_COLS, ID_COL, LABEL_COL, NUMERIC_COLS
+from ..schema import CATEGORICAL_COLS, FLAG_COLS, LABEL_COL, NUMERIC_COLS
 from ..session import checkpoint_dir
-from ..sources.readers import spread
 
 FEATURES_COL = "features"
 SCORE_COL = "risk_score"
@@ -51,12 +50,6 @@ def prepare_features(df: DataFrame) -> DataFrame:
     return df.select(*exprs)
 
 
-def _spread_by_id(df: DataFrame) -> DataFrame:
-    """Spread a coarse input over the cores, hashed on the client id when
-    the table has one (deterministic placement on retries)."""
-    return spread(df, ID_COL) if ID_COL in df.columns else spread(df)
-
-
 def _feature_stages(df: DataFrame) -> list:
     nums = [c for c in NUMERIC_COLS if c in df.columns]
     cats = [c for c in CATEGORICAL_COLS if c in df.columns]
@@ -84,12 +77,12 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25
     across partitions (tree aggregation), so no step collects the data.
     The training table, pruned to the model inputs, is persisted
     (memory, spilling to disk) for the duration of the fit only: the
-    pipeline stages and the optimiser pass over it several times. A coarse
-    input (fewer partitions than cores) is spread first so every pass runs
-    on all cores.
+    pipeline stages and the optimiser pass over it several times (read the
+    source with ``readers.read_applications``, which spreads a coarse scan,
+    so every pass runs on all cores).
     """
     inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
-    prepared = (prepare_features(_spread_by_id(train).select(*inputs, LABEL_COL))
+    prepared = (prepare_features(train.select(*inputs, LABEL_COL))
                 .where(F.col(LABEL_COL).isNotNull())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -150,8 +143,8 @@ def score(df: DataFrame, preprocessor: PipelineModel, model) -> DataFrame:
     """Score every row of an applicant table: preparation, preprocessing
     pipeline, classifier, then the class-1 probability as ``risk_score``.
     The input columns are kept; ML working columns are dropped. Scoring is a
-    map-only job; a coarse input is spread over the cores first."""
-    prepared = prepare_features(_spread_by_id(df))
+    map-only job: it runs with the input's partitioning."""
+    prepared = prepare_features(df)
     transformed = model.transform(preprocessor.transform(prepared))
     scored = with_risk_score(transformed)
     keep = list(prepared.columns) + [SCORE_COL, "prediction"]

@@ -1,7 +1,10 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
 Every query reads the driver tables under ``sf_dir`` (through the fixture
-views in ``sources.fixtures``) and runs over all rows. The matching DuckDB
+views in ``sources.fixtures``) and runs over all rows. Queries with heavy
+per-row work (model fit and scoring, wide report projections, the seven-way
+expand of the dashboard report, JSON parsing) ask the views to spread a
+coarse fact-table scan over the cores; light aggregations read it as is. The matching DuckDB
 oracle text lives in ``plans.oracle``; column names agree one to one.
 """
 
@@ -47,7 +50,7 @@ def portfolio_filter(spark, sf_dir):
 
 def cohort_report(spark, sf_dir):
     """Analyses 1 and 3-8 from one scan (GROUPING SETS), long form."""
-    return cohorts.cohort_report(fx.applications(spark, sf_dir))
+    return cohorts.cohort_report(fx.applications(spark, sf_dir, spread_scan=True))
 
 
 def age_band_records(spark, sf_dir):
@@ -64,7 +67,7 @@ def family_children_matrix(spark, sf_dir):
 
 
 def prepare_features(spark, sf_dir):
-    return scoring.prepare_features(fx.applications(spark, sf_dir))
+    return scoring.prepare_features(fx.applications(spark, sf_dir, spread_scan=True))
 
 
 def client_lookup(spark, sf_dir):
@@ -84,7 +87,7 @@ def fit_risk_model(spark, sf_dir):
     """Fit preprocessing + logistic regression on the labelled portfolio,
     save both, and score the training rows with the fitted pair. The model
     is ours (no artefact ships), so this has no SQL oracle."""
-    apps = fx.applications(spark, sf_dir)
+    apps = fx.applications(spark, sf_dir, spread_scan=True)
     pre, model, _ = scoring.fit_risk_model(apps, path=_model_path(spark, sf_dir))
     return scoring.score(apps, pre, model).select("SK_ID_CURR", "TARGET", "risk_score", "prediction")
 
@@ -96,8 +99,9 @@ def score_portfolio(spark, sf_dir):
     if scoring.risk_model_saved(spark, path):
         pre, model = scoring.load_risk_model(path)
     else:
-        pre, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
-    scored = scoring.score(fx.applicants(spark, sf_dir), pre, model)
+        pre, model, _ = scoring.fit_risk_model(
+            fx.applications(spark, sf_dir, spread_scan=True), path=path)
+    scored = scoring.score(fx.applicants(spark, sf_dir, spread_scan=True), pre, model)
     return decisions.with_risk_level(scored).select(
         "SK_ID_CURR", "risk_score", "prediction", "risk_level")
 
@@ -108,7 +112,7 @@ def fallback_score(spark, sf_dir):
 
 
 def score_report(spark, sf_dir):
-    return scoring.score_report(fx.scored(spark, sf_dir))
+    return scoring.score_report(fx.scored(spark, sf_dir, spread_scan=True))
 
 
 def recommend(spark, sf_dir):
@@ -122,12 +126,13 @@ def recommend(spark, sf_dir):
 
 
 def format_client(spark, sf_dir):
-    return decisions.format_client(scoring.score_report(fx.scored(spark, sf_dir)))
+    return decisions.format_client(scoring.score_report(fx.scored(spark, sf_dir, spread_scan=True)))
 
 
 def client_response(spark, sf_dir):
     """The full answer for the requested ids (found or not), flattened."""
-    resp = decisions.client_response(fx.scored(spark, sf_dir), list(fx.REQUESTED_IDS), RUN_TS)
+    resp = decisions.client_response(fx.scored(spark, sf_dir, spread_scan=True),
+                                     list(fx.REQUESTED_IDS), RUN_TS)
     return resp.select(
         "client_id", "found", "error", "client_info.*", "prediction.*",
         F.col("recommendation.risk_level").alias("risk_level"),
@@ -165,7 +170,7 @@ def feedback_levels(spark, sf_dir):
 def feedback_json(spark, sf_dir):
     """The same records as JSON bodies (nulls are absent keys in
     ``to_json``) parsed back by the JSON ingestion path."""
-    recs = fx.feedback_records(spark, sf_dir)
+    recs = fx.feedback_records(spark, sf_dir, spread_scan=True)
     bodies = recs.select("event_id", F.to_json(F.struct(
         "message", "custom_dimensions", "is_positive")).alias("value"))
     parsed = feedback.parse_feedback(bodies)
@@ -179,7 +184,7 @@ def feedback_stream(spark, sf_dir):
     (text source -> parse -> parquet sink partitioned by level, checkpointed,
     ``availableNow``) ingests them, and the sink's content is returned."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedback-{uuid.uuid4().hex}"
-    recs = fx.feedback_records(spark, sf_dir)
+    recs = fx.feedback_records(spark, sf_dir, spread_scan=True)
     (recs.select(F.to_json(F.struct("event_id", "message", "custom_dimensions",
                                     "is_positive")).alias("value"))
          .write.text(f"{base}/incoming"))

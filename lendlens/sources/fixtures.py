@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import (BUREAU_COLS, CATEGORICAL_COLS, FLAG_COLS, ID_COL,
                       NUMERIC_COLS)
+from .readers import spread
 
 # --- Fixed values: fixture column expressions (see FIXTURES.md) -------------
 # name -> SQL expression over ``orders o JOIN customer c``; ``{weekday}`` is
@@ -115,24 +116,33 @@ _TABLE_SCHEMAS = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(_TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+# Keys of the fact tables, used when a coarse scan is spread over the cores.
+_FACT_KEYS = {"orders": "o_orderkey", "events": "event_id"}
 
 
-def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").alias("o")
+def _table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
+    """One driver table. With ``spread_scan`` a fact table whose scan is
+    coarser than the cluster is hash-partitioned by its key (checked on the
+    raw scan only; a no-op for a large table). Queries doing heavy per-row
+    work set it; light aggregations do not need it."""
+    df = spark.read.schema(_TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, _FACT_KEYS[name]) if spread_scan and name in _FACT_KEYS else df
+
+
+def _orders_customers(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+    o = _table(spark, sf_dir, "orders", spread_scan).alias("o")
     c = _table(spark, sf_dir, "customer").alias("c")
     return o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
 
 
-def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+def applications(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """Labelled portfolio (44 columns), one row per order."""
-    return _orders_customers(spark, sf_dir).selectExpr(*application_exprs("spark"))
+    return _orders_customers(spark, sf_dir, spread_scan).selectExpr(*application_exprs("spark"))
 
 
-def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
+def applicants(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """Scoring input: the same rows without ``TARGET``."""
-    return _orders_customers(spark, sf_dir).selectExpr(
+    return _orders_customers(spark, sf_dir, spread_scan).selectExpr(
         *application_exprs("spark", with_label=False))
 
 
@@ -144,20 +154,20 @@ def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "CAST(NULL AS STRING) AS photo_url"))
 
 
-def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feedback_records(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """Feedback bodies as typed records; ``custom_dimensions`` parsed from
     the JSON ``props`` text."""
-    ev = _table(spark, sf_dir, "events")
+    ev = _table(spark, sf_dir, "events", spread_scan)
     return ev.selectExpr(
         *[f"{e} AS {n}" for n, e in _FEEDBACK_EXPRS],
         "from_json(props, 'map<string,string>') AS custom_dimensions")
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """Prepared applicants with a deterministic stand-in ``risk_score`` and
     ``prediction``, so decision rules can be checked without a model."""
     from ..operators.scoring import prepare_features
-    base = prepare_features(applications(spark, sf_dir))
+    base = prepare_features(applications(spark, sf_dir, spread_scan))
     return (base.selectExpr("*", f"{_RISK_SCORE_EXPR} AS risk_score")
                 .selectExpr("*", f"{_PREDICTION_EXPR} AS prediction"))
 

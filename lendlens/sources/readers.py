@@ -23,6 +23,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     hash-partitioned by ``keys`` (deterministic placement, safe to retry);
     otherwise -- the normal case for a large table -- it is returned as is
     and no shuffle is added. Streams are returned as they are.
+
+    Apply it to a source scan only: counting partitions plans the DataFrame,
+    and for a plan with joins or aggregations adaptive execution would run
+    its shuffle stages just to answer.
     """
     if df.isStreaming:
         return df

@@ -53,10 +53,8 @@ def parse_feedback(df: DataFrame, text_col: str = "value") -> DataFrame:
     keeps null (and a null flag is negative), as a dictionary lookup with a
     default would. Lines that are not a JSON object are kept with
     ``malformed = true`` and the raw text in ``_corrupt_record``. Two parses
-    per line: the top-level key names, and the typed body. A coarse batch
-    input is spread over the cores first (parsing is the heavy per-row step).
+    per line: the top-level key names, and the typed body.
     """
-    df = spread(df)
     raw = F.col(text_col)
     keys = F.json_object_keys(raw)                 # null unless a JSON object
     body = F.from_json(raw, _BODY_TYPE)
@@ -88,7 +86,8 @@ def read_feedback(spark: SparkSession, path: str, streaming: bool = False,
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         raw = reader.load(path)
     else:
-        raw = spark.read.text(path)
+        # parsing is the heavy per-row step: spread a coarse batch scan first
+        raw = spread(spark.read.text(path))
     return parse_feedback(raw)
 
 
