@@ -45,3 +45,31 @@ def test_persist_base(spark, sf_dir):
         assert base.is_cached and base.count() == 1500
     finally:
         base.unpersist()
+
+
+def test_write_result_and_nested_response_as_json(spark, sf_dir, tmp_path):
+    import json
+    import os
+
+    from lendlens.operators.scoring import score_report, score_response
+    from lendlens.sources.sinks import write_result
+    out = str(tmp_path / "responses")
+    write_result(score_response(score_report(fx.scored(spark, sf_dir))), out, fmt="json")
+    lines = [json.loads(line) for f in sorted(os.listdir(out)) if f.endswith(".json")
+             for line in open(os.path.join(out, f), encoding="utf-8")]
+    assert len(lines) == 1500
+    first = lines[0]
+    assert set(first) == {"client_id", "client_info", "prediction"}
+    assert set(first["prediction"]) <= {"risk_score", "predicted_default"}
+
+
+def test_write_result_partitioned(spark, sf_dir, tmp_path):
+    import os
+
+    from lendlens.operators import cohorts
+    from lendlens.sources.sinks import write_result
+    out = str(tmp_path / "report")
+    write_result(cohorts.cohort_report(fx.applications(spark, sf_dir)), out, partition_by=["ANALYSIS"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("ANALYSIS=")) == \
+        [f"ANALYSIS={n}" for n in (1, 3, 4, 5, 6, 7, 8)]
+    assert spark.read.parquet(out).count() == cohorts.cohort_report(fx.applications(spark, sf_dir)).count()
