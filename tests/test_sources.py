@@ -73,3 +73,16 @@ def test_write_result_partitioned(spark, sf_dir, tmp_path):
     assert sorted(d for d in os.listdir(out) if d.startswith("ANALYSIS=")) == \
         [f"ANALYSIS={n}" for n in (1, 3, 4, 5, 6, 7, 8)]
     assert spark.read.parquet(out).count() == cohorts.cohort_report(fx.applications(spark, sf_dir)).count()
+
+
+def test_spread_leaves_parallel_scans_alone(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(0, 4000, numPartitions=16).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert readers.spread(df, "id") is df          # already >= defaultParallelism tasks
+    one = str(tmp_path / "one")
+    spark.range(0, 4000, numPartitions=1).write.parquet(one)
+    coarse = spark.read.parquet(one)
+    spread = readers.spread(coarse, "id")
+    assert spread is not coarse
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
