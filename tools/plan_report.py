@@ -75,8 +75,11 @@ def main() -> None:
         for line in _summary(initial):
             print(f"- {line}")
         if name not in SKIP_EXECUTION:
-            df.write.format("noop").mode("overwrite").save()
+            # run this DataFrame's own execution (rows stay in the JVM) so the
+            # adaptive plan it finished with can be read back
+            df._jdf.collectAsList()
             final = df._jdf.queryExecution().executedPlan().toString()
+            final = final.split("== Initial Plan ==")[0]
             joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)", final)
             if joins:
                 print(f"- after AQE: {', '.join(joins)}")
