@@ -67,7 +67,8 @@ def _feature_stages(df: DataFrame) -> list:
 
 
 def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25,
-                   reg_param: float = 0.01) -> tuple[PipelineModel, LogisticRegressionModel, str]:
+                   reg_param: float = 0.01, tol: float = 1e-4
+                   ) -> tuple[PipelineModel, LogisticRegressionModel, str]:
     """Fit the preprocessing pipeline and a logistic regression on a labelled
     portfolio and save both under ``path`` (default: a fresh folder in the
     shared checkpoint location). Returns (preprocessor, model, path).
@@ -79,7 +80,9 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25
     (memory, spilling to disk) for the duration of the fit only: the
     pipeline stages and the optimiser pass over it several times (read the
     source with ``readers.read_applications``, which spreads a coarse scan,
-    so every pass runs on all cores).
+    so every pass runs on all cores). Every optimiser iteration is a full
+    pass over the data, so it stops at a practical convergence tolerance
+    (``tol`` on the relative loss change; ``max_iter`` is only a ceiling).
     """
     inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
     prepared = (prepare_features(train.select(*inputs, LABEL_COL))
@@ -90,7 +93,7 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25
         features = preprocessor.transform(prepared).select(
             F.col(FEATURES_COL), F.col(LABEL_COL).cast("double").alias("label"))
         model = LogisticRegression(featuresCol=FEATURES_COL, labelCol="label",
-                                   maxIter=max_iter, regParam=reg_param).fit(features)
+                                   maxIter=max_iter, regParam=reg_param, tol=tol).fit(features)
     finally:
         prepared.unpersist()
     if path is None:
