@@ -1 +1 @@
-
+"""Column expressions: derived measures, band ladders, fixed label values."""

@@ -1 +1 @@
-
+"""Table operators: filters, cohort analyses, distributed ntile, scoring, decisions."""

@@ -1 +1 @@
-
+"""Sources and sinks: readers with explicit schemas, fixture views, result writers."""

@@ -1 +1 @@
-
+"""Feedback ingestion for batch DataFrames and Structured Streaming."""
