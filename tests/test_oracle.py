@@ -35,3 +35,18 @@ def test_model_queries_rows(spark, sf_dir, name):
     df = E.queries()[name](spark, sf_dir)
     assert df.count() == 1500
     assert df.where("risk_score < 0 OR risk_score > 1 OR risk_score IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("name", ["credit_income_quintile", "cohort_report", "format_client",
+                                  "feedback_json", "client_response"])
+def test_results_do_not_depend_on_session_settings(spark, sf_dir, con, name):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "37",
+                "spark.sql.ansi.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert compare(E.queries()[name](spark, sf_dir), con, SQL[name]) == []
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
