@@ -159,3 +159,14 @@ def test_filters_mapping_equals_keywords(spark, sf_dir):
     assert sorted(map(tuple, a), key=_nulls_first) == sorted(map(tuple, b), key=_nulls_first)
     with pytest.raises(ValueError):
         cohorts.analyse(apps, 3, filters={"credit": 1})
+
+
+def test_dataviz_entry_point(spark, sf_dir):
+    from lendlens import api
+    apps = fx.applications(spark, sf_dir)
+    result, meta = api.dataviz(apps, "6", {"min_credit": 100000, "max_credit": 400000})
+    assert meta["filters"] == {"min_credit": 100000, "max_credit": 400000}
+    assert meta["group_col"] == "FLAG_OWN_REALTY" and meta["analysis_type"] == 6
+    direct = cohorts.analyse(apps, 6, min_credit=100000, max_credit=400000)
+    assert sorted(map(tuple, result.collect()), key=_nulls_first) == \
+        sorted(map(tuple, direct.collect()), key=_nulls_first)
