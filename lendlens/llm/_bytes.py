@@ -70,11 +70,11 @@ def blocks(array: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES
 
 def table(separators: bytes, lower: bool) -> np.ndarray:
     """Byte table for ``words``: 0 for separators, else the byte plus one
-    (A-Z as a-z when ``lower``)."""
+    (A-Z as a-z when ``lower``, before separators are looked at)."""
     out = np.arange(1, 257, dtype=np.uint16)
-    if lower:
-        out[65:91] += 32
     out[list(separators)] = 0
+    if lower:
+        out[65:91] = out[97:123]
     return out
 
 

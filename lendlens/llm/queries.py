@@ -3,8 +3,10 @@ over whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import _shared as S
-from . import arrow_tokens, packing
+from . import arrow_tokens, decontaminate, minhash, packing
 
 
 def op7_packing(spark, sf_dir):
@@ -13,6 +15,24 @@ def op7_packing(spark, sf_dir):
     return packing.pack(docs, keep_ids=False)
 
 
+def op8_decontaminate(spark, sf_dir):
+    """Words of all documents that occur in windows of benchmark items."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = decontaminate.find_hits(docs, items)
+    names = F.array_sort(F.transform("hits.items", lambda x: x.cast("string")))
+    return hits.select(
+        "doc_id", F.col("hits.n_words").alias("n_words"), decontaminate.n_hit().alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.size("hits.spans") > 0).alias("contaminated"))
+
+
+def op9_minhash(spark, sf_dir):
+    """Near-duplicate classes of all documents."""
+    return minhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_arrow_tokens(spark, sf_dir):
     """Ids of all documents written as Arrow stream files and read back. The
     files go once their digests are written."""
@@ -26,6 +46,8 @@ def op10_arrow_tokens(spark, sf_dir):
 
 QUERIES = {
     "op7_packing": op7_packing,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_minhash": op9_minhash,
     "op10_arrow_tokens": op10_arrow_tokens,
 }
 
