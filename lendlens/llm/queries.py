@@ -6,7 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, minhash, packing
+from . import arrow_tokens, decontaminate, minhash, packing, substring_dedup
+
+
+def op5_superkmer_dedup(spark, sf_dir):
+    """Passages of 35 words that occur elsewhere, removed from all documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return substring_dedup.remove_repeated(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op7_packing(spark, sf_dir):
@@ -45,6 +52,7 @@ def op10_arrow_tokens(spark, sf_dir):
 
 
 QUERIES = {
+    "op5_superkmer_dedup": op5_superkmer_dedup,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
     "op9_minhash": op9_minhash,
