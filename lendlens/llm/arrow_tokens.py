@@ -117,7 +117,7 @@ def write_tokens(df: DataFrame, uri: str, id_col: str = "doc_id", text_col: str
     path = tokenizer or T.default_tokenizer()
     S.make(uri)
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    parts = (rows.repartitionByRange(shards or S.partitions(df.sparkSession), "doc_id", "text")
+    parts = (rows.repartitionByRange(shards or S.partitions(df.sparkSession), "doc_id")
              .sortWithinPartitions("doc_id", "text"))
     manifest = parts.mapInArrow(lambda it: _write_shard(it, uri, path, seq_len, end_id), MANIFEST)
     return sorted(tuple(r) for r in manifest.collect())
