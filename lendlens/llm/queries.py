@@ -6,7 +6,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, minhash, packing, substring_dedup
+from . import arrow_tokens, decontaminate, minhash, packing, quality, substring_dedup
+
+
+def op2_quality_qda(spark, sf_dir):
+    """Quality score of every document; labels of a fifth of the ids are never learnt from."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    described = S.materialised(quality.describe(docs), "quality-statistics")
+    model = quality.fit(described, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(described, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op5_superkmer_dedup(spark, sf_dir):
@@ -52,6 +62,7 @@ def op10_arrow_tokens(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_quality_qda": op2_quality_qda,
     "op5_superkmer_dedup": op5_superkmer_dedup,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
