@@ -6,7 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, minhash, packing, quality, substring_dedup
+from . import arrow_tokens, decontaminate, minhash, packing, pii, quality, substring_dedup
+
+
+def op1_pii_boosting(spark, sf_dir):
+    """Personal data in every document: base spans, and those the trees add."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    spotted = S.materialised(pii.spot(docs), "pii-spotted")
+    return pii.judged(spotted, pii.fit(spotted))
 
 
 def op2_quality_qda(spark, sf_dir):
@@ -62,6 +69,7 @@ def op10_arrow_tokens(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii_boosting": op1_pii_boosting,
     "op2_quality_qda": op2_quality_qda,
     "op5_superkmer_dedup": op5_superkmer_dedup,
     "op7_packing": op7_packing,
