@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, minhash, packing, pii, quality, substring_dedup
+from . import arrow_tokens, decontaminate, minhash, packing, pii, quality, substring_dedup, warc
 
 
 def op1_pii_boosting(spark, sf_dir):
@@ -26,6 +26,17 @@ def op2_quality_qda(spark, sf_dir):
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_warc_revisits(spark, sf_dir):
+    """Every page as a WARC record, repeated payloads as revisits, read back.
+    The archives go once their digests are written."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    uri = S.shared_folder(spark, "warc")
+    manifest = warc.write_archives(pages, uri)
+    out = S.materialised(warc.read_archives(manifest, with_payload=False).drop("url"), "warc-digests")
+    S.remove(uri)
+    return out
+
+
 def op5_superkmer_dedup(spark, sf_dir):
     """Passages of 35 words that occur elsewhere, removed from all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -71,6 +82,7 @@ def op10_arrow_tokens(spark, sf_dir):
 QUERIES = {
     "op1_pii_boosting": op1_pii_boosting,
     "op2_quality_qda": op2_quality_qda,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_superkmer_dedup": op5_superkmer_dedup,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
@@ -78,4 +90,16 @@ QUERIES = {
     "op10_arrow_tokens": op10_arrow_tokens,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc_revisits": """
+        WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h,
+                          octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+             f AS (SELECT h, min(page_id) AS original FROM p GROUP BY h)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                 1 + ((('0x' || substr(p.h, (5 * (i // 4) + 1)::INT, 5))::BIGINT
+                       >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+               CASE WHEN original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN original <> page_id THEN original END AS refers_to
+        FROM p JOIN f USING (h)""",
+}
