@@ -26,6 +26,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
@@ -270,9 +271,9 @@ def _cut(batches, text_at: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hits = batch.column(batch.schema.get_field_index("hits")).field("spans")
         texts = batch.column(text_at)
-        if pa.compute.max(pa.compute.list_value_length(hits)).as_py():
+        if pc.max(pc.list_value_length(hits)).as_py():
             out = texts.to_pylist()
-            for i in np.flatnonzero(pa.compute.list_value_length(hits).to_numpy(zero_copy_only=False)):
+            for i in np.flatnonzero(pc.list_value_length(hits).to_numpy(zero_copy_only=False)):
                 raw, at, kept = out[i].encode("utf-8"), 0, []
                 for span in hits[int(i)].as_py():
                     kept.append(raw[at:span["start_byte"]])

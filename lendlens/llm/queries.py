@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, minhash, packing, pii, quality, substring_dedup, warc
+from . import arrow_tokens, decontaminate, embedding_dedup, minhash, packing, pii, quality, substring_dedup, warc
 
 
 def op1_pii_boosting(spark, sf_dir):
@@ -44,6 +44,11 @@ def op5_superkmer_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_pivot_embeddings(spark, sf_dir):
+    """Near-duplicate classes of all embeddings of equal label."""
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_packing(spark, sf_dir):
     """Pieces of all documents packed into windows of 1024 ids."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -84,6 +89,7 @@ QUERIES = {
     "op2_quality_qda": op2_quality_qda,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_superkmer_dedup": op5_superkmer_dedup,
+    "op6_pivot_embeddings": op6_pivot_embeddings,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
     "op9_minhash": op9_minhash,

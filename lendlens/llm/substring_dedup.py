@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -244,7 +245,7 @@ def _remove(batches) -> Iterator[pa.RecordBatch]:
             change = np.zeros(len(starts) + 1, np.int64)
             if spans.null_count < len(spans):
                 flat = spans.flatten()
-                counts = pa.compute.fill_null(pa.compute.list_value_length(spans), 0).to_numpy()
+                counts = pc.fill_null(pc.list_value_length(spans), 0).to_numpy()
                 base = np.repeat(first[:-1], counts)
                 np.add.at(change, base + flat.field("start").to_numpy(), 1)
                 np.add.at(change, base + flat.field("end").to_numpy(), -1)
