@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, embedding_dedup, minhash, packing, pii, quality, substring_dedup, warc
+from . import arrow_tokens, decontaminate, embedding_dedup, licences, minhash, packing, pii, quality, substring_dedup, warc
 
 
 def op1_pii_boosting(spark, sf_dir):
@@ -26,6 +26,24 @@ def op2_quality_qda(spark, sf_dir):
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def _as_files(docs):
+    """Documents as a file tree: source/lang/hundred/name. Some ids are the
+    licence files of their hundred, language or source."""
+    i = F.col("doc_id")
+    lang, hundred = F.concat_ws("/", "source", "lang"), F.floor(i / 100).cast("string")
+    return docs.withColumn("path", (
+        F.when(i % 2000 == 11, F.concat_ws("/", "source", F.concat(F.lit("LICENSE-"), i.cast("string"))))
+        .when(i % 500 == 7, F.concat_ws("/", lang, F.concat(F.lit("LICENSE-"), i.cast("string"))))
+        .when(i % 100 == 0, F.concat_ws("/", lang, hundred, F.lit("LICENSE")))
+        .otherwise(F.concat_ws("/", lang, hundred, F.concat(i.cast("string"), F.lit(".txt"))))))
+
+
+def op3_licence_scan(spark, sf_dir):
+    """Licence of every document in a file tree of all documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return licences.scan(_as_files(docs), keep=("doc_id",))
+
+
 def op4_warc_revisits(spark, sf_dir):
     """Every page as a WARC record, repeated payloads as revisits, read back.
     The archives go once their digests are written."""
@@ -87,6 +105,7 @@ def op10_arrow_tokens(spark, sf_dir):
 QUERIES = {
     "op1_pii_boosting": op1_pii_boosting,
     "op2_quality_qda": op2_quality_qda,
+    "op3_licence_scan": op3_licence_scan,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_superkmer_dedup": op5_superkmer_dedup,
     "op6_pivot_embeddings": op6_pivot_embeddings,
@@ -96,7 +115,55 @@ QUERIES = {
     "op10_arrow_tokens": op10_arrow_tokens,
 }
 
+def _licence_sql() -> str:
+    """The licence scan in DuckDB SQL, with the same fixed templates."""
+    values = ", ".join("({}, '{}', '{}')".format(i, licence, text.replace("'", "''"))
+                       for i, (licence, text) in enumerate(licences.TEMPLATES))
+    lower = "translate({}, '" + licences.UPPER + "', '" + licences.LOWER + "')"
+    return f"""
+        WITH templates(template, licence, text) AS (VALUES {values}),
+        tt AS (SELECT template, licence, unnest(regexp_extract_all({lower.format('text')}, '{licences.TOKEN}')) AS token
+               FROM templates),
+        tc AS (SELECT template, licence, token, count(*) AS tf FROM tt GROUP BY ALL),
+        total AS (SELECT count(*) AS n FROM templates),
+        idf AS (SELECT token, ln((1.0 + any_value(n)) / (1 + count(*))) + 1 AS idf FROM tc, total GROUP BY token),
+        tw AS (SELECT template, licence, token, tf * idf AS w,
+                      sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY template)) AS norm FROM tc JOIN idf USING (token)),
+        files AS (SELECT doc_id, text, CASE
+              WHEN doc_id % 2000 = 11 THEN concat_ws('/', source, 'LICENSE-' || doc_id)
+              WHEN doc_id % 500 = 7 THEN concat_ws('/', source, lang, 'LICENSE-' || doc_id)
+              WHEN doc_id % 100 = 0 THEN concat_ws('/', source, lang, (doc_id // 100)::VARCHAR, 'LICENSE')
+              ELSE concat_ws('/', source, lang, (doc_id // 100)::VARCHAR, doc_id || '.txt') END AS path FROM documents),
+        units AS (SELECT path, row_number() OVER () AS unit, col FROM (
+              SELECT path, unnest(string_split(regexp_replace({lower.format('text')},
+                     '{licences.SENTENCE_END}', '\\1' || chr(10), 'g'), chr(10))) AS col FROM files)
+              WHERE regexp_matches(col, '{licences.LICENSING}')),
+        q AS (SELECT path, unit, token, count(*) AS tf FROM (
+              SELECT path, unit, unnest(regexp_extract_all(col, '{licences.TOKEN}')) AS token FROM units) GROUP BY ALL),
+        qw AS (SELECT path, unit, q.token, tf * coalesce(idf, ln(1.0 + n) + 1) AS w
+               FROM q LEFT JOIN idf USING (token), total),
+        qn AS (SELECT path, unit, sqrt(sum(w * w)) AS norm FROM qw GROUP BY ALL),
+        cosines AS (SELECT path, licence, round(sum(qw.w * tw.w) / (any_value(qn.norm) * any_value(tw.norm)), 6) AS cosine
+              FROM qw JOIN tw USING (token) JOIN qn USING (path, unit) GROUP BY path, unit, template, licence),
+        own AS (SELECT path, licence AS own_licence, cosine FROM cosines WHERE cosine >= {licences.THRESHOLD}
+                QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, licence) = 1),
+        listed AS (SELECT doc_id, path, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir
+                   FROM files),
+        declared AS (SELECT regexp_replace(path, '/[^/]*$', '') AS prefix, own_licence AS inherited FROM own
+              WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licences.LICENCE_FILE}')
+              QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY cosine DESC, path) = 1),
+        nearest AS (SELECT dir, prefix, inherited FROM (SELECT DISTINCT dir FROM listed) d
+              JOIN declared ON prefix = '' OR dir = prefix OR starts_with(dir, prefix || '/')
+              QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(prefix) DESC) = 1)
+        SELECT doc_id, path, own_licence, cosine, coalesce(own_licence, inherited) AS licence,
+               CASE WHEN own_licence IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited'
+                    ELSE 'none' END AS origin,
+               CASE WHEN own_licence IS NULL THEN prefix END AS inherited_from
+        FROM listed LEFT JOIN own USING (path) LEFT JOIN nearest USING (dir)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_licence_scan": _licence_sql(),
     "op4_warc_revisits": """
         WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h,
                           octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
