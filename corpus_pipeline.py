@@ -1,25 +1,75 @@
-"""Corpus pipeline: raw documents to packed training sequences."""
+"""Corpus pipeline: raw documents to packed training sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; the next
+stage reads what it wrote. All but the last return the columns of documents.
+A stage's statistics, models and duplicate groups come from its own input.
+"""
 
 from __future__ import annotations
 
-from lendlens.llm import packing
+from pyspark.sql import functions as F
+
+from lendlens.llm import _shared, decontaminate, minhash, packing, pii, quality
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _columns(df):
+    """The columns of documents, with the length of the text as it is now."""
+    return df.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
+
+
+def keep_quality(spark, docs, sf_dir):
+    """Documents that the quality classifier accepts."""
+    docs = docs.select(*COLUMNS)
+    described = _shared.materialised(quality.describe(docs), "quality-statistics")
+    model = quality.fit(described, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_good(docs, model)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each near-duplicate group: the one with the smallest id."""
+    docs = docs.select(*COLUMNS)
+    others = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    # rows that repeat an id are one document
+    named = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return named.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+
+
+def remove_benchmark(spark, docs, sf_dir):
+    """Benchmark passages cut out; documents that mostly consist of them go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _columns(decontaminate.decontaminate(docs.select(*COLUMNS), items))
+
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+def redact_personal_data(spark, docs, sf_dir):
+    """Personal data replaced by its kind."""
+    docs = docs.select(*COLUMNS)
+    judge = pii.fit(_shared.materialised(pii.spot(docs), "pii-spotted"))
+    return _columns(pii.redact(docs, judge))
 
 
 def pack(spark, docs, sf_dir):
-    """Windows of 1024 ids."""
+    """Windows of 1024 token ids."""
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontaminate", remove_benchmark),
+    ("personal_data", redact_personal_data),
+    ("packing", pack),
+]
 
 
 def run(spark, sf_dir):
+    """All stages over documents, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = _shared.materialised(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
+# The quality model, the MinHash index and the tokenizer have no SQL form.
 ORACLE_SQL = None
