@@ -9,13 +9,18 @@ bucket keys.
 
 Equal sets are one class from the start (found by a 128-bit fingerprint), so
 exact copies never meet in a bucket. Inside a bucket candidates are stars: every
-class is compared with a hub (the member that meets most others in buckets),
-which bounds the pairs by the members. Classes whose component is then known
-need no further comparison. Where a bucket still spans several components,
-rounds with 1, 2, 4, ... further hubs follow until every member has been a
-hub or the bucket is one component, so no pair that shares a bucket and could
-still join two components stays untested. Links are confirmed on the full
-sets.
+class is compared with the hub (the member that meets most others in buckets),
+which bounds the pairs by the members.
+
+Two members of a star that both link with its hub are in one component. A link
+of a member x that doesn't reach the hub is found from differences: let D be a
+member's symmetric difference with the hub's set. As |x^y| = |D_x| + |D_y| -
+2 |D_x & D_y|, and D_x is larger than a link to the hub allows, x can only link
+with members whose D shares more than a known number of elements with D_x. So
+those D are indexed by their rarest elements (prefix filter, with the
+positional bound), which finds every such link without comparing all members
+of the star. Links are confirmed on the full sets; a pair that shares a bucket
+is never lost.
 
 Defined cases: null, empty and blank texts have the empty set and link with
 nothing; fewer than five words are one shingle; rows with equal texts are one
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _bytes as B
@@ -138,19 +143,55 @@ def _sets(batches, shingle: int) -> Iterator[pa.RecordBatch]:
                                              names=["rep", "set"])
 
 
-def _similar(x: Column, y: Column, percent: int) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+def _linked(both: Column, x: Column, y: Column, percent: int) -> Column:
+    return both * 100 >= (x + y - both) * percent
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    return (pairs.join(sets.select(F.col("rep").alias(a), F.col("set").alias("set_a")), a)
+            .join(sets.select(F.col("rep").alias(b), F.col("set").alias("set_b")), b))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Mark the pairs (a, b) whose full sets reach the threshold."""
-    return S.materialised(
-        pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
-        .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
-        .select("a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("i"),
-                (F.size("set_a") + F.size("set_b")).alias("s"))
-        .select("a", "b", (F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).alias("linked")),
-        "minhash-pairs")
+    """``pairs`` (a, b) with whether their full sets reach the threshold."""
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return _with_sets(pairs, sets, "a", "b").select(
+        *pairs.columns, _linked(both, F.size("set_a"), F.size("set_b"), percent).alias("linked"))
+
+
+def _past_the_hub(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of a star, of different components and not both
+    linked with the hub, whose differences to the hub share an indexed element.
+
+    stars: a (hub), b (member), linked, component (of the member).
+    """
+    p = percent
+    size = F.col("missing") + F.col("added")
+    # least shared elements of D with any partner: for a member that misses the
+    # hub (role x), and for a partner y of such a member
+    need_x = F.greatest(F.lit(1), F.ceil((size * (100 + p) - (100 - p) * (F.col("n") + F.col("hub_n")))
+                                         / (2 * (100 + p))))
+    need_y = F.floor((100 * F.col("missing") + p * F.col("added")) / (100 + p)) + 1
+    differing = _with_sets(stars, sets, "a", "b").select(
+        F.col("a").alias("hub"), "b", "linked", "component",
+        F.size("set_a").alias("hub_n"), F.size("set_b").alias("n"),
+        F.array_except("set_a", "set_b").alias("gone"), F.array_except("set_b", "set_a").alias("new"))
+    elements = S.materialised(differing.select(
+        "hub", "b", "linked", "component", "hub_n", "n", F.size("gone").alias("missing"),
+        F.size("new").alias("added"), F.explode(F.concat("gone", "new")).alias("e")), "minhash-differences")
+    common = elements.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("often"))
+    # rarest first; what only one member has is placed too, but can't be shared
+    order = Window.partitionBy("hub", "b").orderBy("often", "e")
+    placed = (elements.join(common, ["hub", "e"]).withColumn("place", F.row_number().over(order))
+              .where("often > 1").withColumns({"d": size, "last_x": size - need_x + 1, "last_y": size - need_y + 1}))
+    placed = S.materialised(placed.where("place <= greatest(last_x, last_y)"), "minhash-differences")
+    x = placed.where(~F.col("linked") & (F.col("place") <= F.col("last_x"))).alias("x")
+    y = placed.where(F.col("place") <= F.col("last_y")).alias("y")
+    reach = 1 + F.least(F.col("x.d") - F.col("x.place"), F.col("y.d") - F.col("y.place"))
+    needed = ((F.col("x.d") + F.col("y.d")) * (100 + p) - (100 - p) * (F.col("x.n") + F.col("y.n")))
+    return (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.e") == F.col("y.e"))
+                   & (F.col("x.component") != F.col("y.component")) & (reach * 2 * (100 + p) >= needed))
+            .select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct())
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -165,55 +206,34 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .agg(F.min("doc_id").alias("rep")), "minhash-classes")
     leads = (signed.where("n_shingles > 0").join(classes.withColumnRenamed("rep", "doc_id"),
                                                  ["fp1", "fp2", "doc_id"])
-             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands").distinct())
-    banded = leads.select(F.explode("bands").alias("bucket"), "rep", "n")
+             .select(F.col("doc_id").alias("rep"), "bands").distinct())
+    banded = leads.select(F.explode("bands").alias("bucket"), "rep")
     shared = S.materialised(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
                             .where("size > 1"), "minhash-buckets")
     members = S.materialised(banded.join(shared, "bucket"), "minhash-members")
     met = members.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("met"))
-    members = S.materialised(members.join(met, "rep"), "minhash-members")
-
-    wanted = members.select("rep").distinct()
+    hubs = (members.join(met, "rep").groupBy("bucket")
+            .agg(F.max(F.struct("met", (-F.col("rep")).alias("rep"))).alias("h"))
+            .select("bucket", (-F.col("h.rep")).alias("a")))
     sets = S.materialised(
-        docs.join(wanted, docs.doc_id == wanted.rep).select("rep", "text")
+        docs.join(met.select("rep"), docs.doc_id == F.col("rep")).select("rep", "text")
         .mapInArrow(lambda it: _sets(it, shingle), "rep long, set array<long>")
         .dropDuplicates(["rep"]), "minhash-sets")
-
-    hubs = (members.groupBy("bucket")
-            .agg(F.max(F.struct("met", (-F.col("rep")).alias("rep"), "n")).alias("h"))
-            .select("bucket", (-F.col("h.rep")).alias("hub"), F.col("h.n").alias("hub_n")))
-    pairs = (members.join(hubs, "bucket").where(F.col("rep") != F.col("hub"))
-             .where(_similar(F.col("n"), F.col("hub_n"), percent))
-             .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-    tested = _confirm(pairs, sets, percent)
-    found = G.components(tested.where("linked"))
-
-    begin = 0
-    largest = members.agg(F.max("size")).first()[0] or 0
-    while begin < largest:
-        end = 2 * begin + 1
-        placed = (members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                  .withColumn("component", F.coalesce("component", "rep")))
-        split = (placed.groupBy("bucket")
-                 .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .where("lo < hi").select("bucket"))
-        # every member of a bucket has a slot below its size, so all become hubs in the end
-        slot = F.pmod(F.xxhash64("rep"), F.col("size"))
-        open_ = S.materialised(placed.join(split, "bucket").withColumn("slot", slot), "minhash-open")
-        if open_.isEmpty():
-            break
-        hub = (open_.where((F.col("slot") >= begin) & (F.col("slot") < end))
-               .select("bucket", F.col("rep").alias("hub"), F.col("n").alias("hub_n"),
-                       F.col("component").alias("hub_component")))
-        pairs = (open_.join(hub, "bucket").where("component != hub_component")
-                 .where(_similar(F.col("n"), F.col("hub_n"), percent))
-                 .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-                 .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        more = _confirm(pairs, sets, percent)
-        if not more.where("linked").isEmpty():
-            found = G.components(tested.where("linked").unionByName(more.where("linked")))
-        tested = tested.unionByName(more)
-        begin = end
+    stars = (members.join(hubs, "bucket").where(F.col("rep") != F.col("a"))
+             .select("a", F.col("rep").alias("b")).distinct())
+    stars = S.materialised(_confirm(stars, sets, percent), "minhash-stars")
+    linked = stars.where("linked").select("a", "b")
+    found = G.components(linked)
+
+    named = found.select(F.col("node").alias("b"), "component")
+    placed = stars.join(named, "b", "left").withColumn("component", F.coalesce("component", "b"))
+    # stars whose members aren't all of one component yet
+    apart = (placed.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select("a"))
+    further = S.materialised(
+        _confirm(_past_the_hub(placed.join(apart, "a"), sets, percent), sets, percent), "minhash-further")
+    if not further.where("linked").isEmpty():
+        found = G.components(linked.unionByName(further.where("linked").select("a", "b")))
     return (signed.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"], "left")
             .join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .withColumn("component_id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
