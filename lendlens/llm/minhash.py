@@ -148,8 +148,10 @@ def _linked(both: Column, x: Column, y: Column, percent: int) -> Column:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
-    return (pairs.join(sets.select(F.col("rep").alias(a), F.col("set").alias("set_a")), a)
-            .join(sets.select(F.col("rep").alias(b), F.col("set").alias("set_b")), b))
+    """Both sets of each pair. Pairs and sets grow with the input, so neither
+    is broadcast: the plan is the same at every size."""
+    return (pairs.join(sets.select(F.col("rep").alias(a), F.col("set").alias("set_a")).hint("merge"), a)
+            .join(sets.select(F.col("rep").alias(b), F.col("set").alias("set_b")).hint("merge"), b))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -216,7 +218,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .agg(F.max(F.struct("met", (-F.col("rep")).alias("rep"))).alias("h"))
             .select("bucket", (-F.col("h.rep")).alias("a")))
     sets = S.materialised(
-        docs.join(met.select("rep"), docs.doc_id == F.col("rep")).select("rep", "text")
+        docs.join(met.select("rep").hint("merge"), docs.doc_id == F.col("rep")).select("rep", "text")
         .mapInArrow(lambda it: _sets(it, shingle), "rep long, set array<long>")
         .dropDuplicates(["rep"]), "minhash-sets")
     stars = (members.join(hubs, "bucket").where(F.col("rep") != F.col("a"))
