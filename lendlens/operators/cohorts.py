@@ -9,14 +9,14 @@ output order. ``analyse`` turns a spec into one lazy Catalyst plan:
 
 All measures are algebraic (count, avg), so Spark aggregates map-side before
 the shuffle: a key holding a third of all rows costs one partial row per
-task, never a hot reducer. The credit/income quintile (analysis 2) first
-ranks the whole filtered table with the distributed exact ``ntile``.
+task, never a hot reducer. The credit/income quintile (analysis 2) aggregates
+per tile without ranking the table (``tiles.tile_sums``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from ..functions import derive as D
 from ..functions import labels as L
 from ..schema import ID_COL
 from .filters import portfolio_filter
-from .ntile import exact_ntile
+from .tiles import tile_sums
 
 ColumnFn = Callable[[], Column]
 
@@ -47,7 +47,7 @@ class CohortSpec:
     chart_type: str
     axes: Mapping[str, str]
     derived: tuple[tuple[str, ColumnFn], ...] = ()
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+    compute: Callable[[DataFrame], DataFrame] | None = None  # instead of grouping by the keys
     min_count: tuple[str, int] | None = None
     after: tuple[tuple[str, ColumnFn], ...] = ()
     order_by: tuple[str, ...] = ()
@@ -62,11 +62,15 @@ class CohortSpec:
         return cols + [n for n, _ in self.after if n not in cols]
 
 
-def _rank_ratio(df: DataFrame) -> DataFrame:
-    """Credit/income ratio and its quintile over the whole filtered table
-    (ties broken by client id so the tiles are repeatable)."""
-    narrow = df.select(ID_COL, "TARGET", D.credit_income_ratio().alias("CREDIT_INCOME_RATIO"))
-    return exact_ntile(narrow, 5, ["CREDIT_INCOME_RATIO"], ID_COL, out_col="RATIO_CATEGORY")
+def _ratio_quintiles(df: DataFrame) -> DataFrame:
+    """Count, mean ratio and default rate per quintile of the credit/income
+    ratio over the whole filtered table (ties broken by client id so the
+    tiles are repeatable)."""
+    sums = tile_sums(df, 5, D.credit_income_ratio(), F.col(ID_COL), D.is_default())
+    return sums.select(
+        F.col("tile").alias("RATIO_CATEGORY"), F.col("n").alias("COUNT"),
+        F.round(F.try_divide("s", "m"), 2).alias("AVG_RATIO"),
+        F.round(F.col("d") / F.col("n") * 100, 2).alias("DEFAULT_RATE"))
 
 
 _RATE = ("DEFAULT_RATE", lambda: D.default_rate())
@@ -79,7 +83,7 @@ SPECS: dict[int, CohortSpec] = {s.number: s for s in (
         chart_type="bar", axes={"x_col": "AGE_GROUP", "y_col": "DEFAULT_RATE"}),
     CohortSpec(
         2, "credit_income_quintile", keys=("RATIO_CATEGORY",),
-        prepare=_rank_ratio,
+        compute=_ratio_quintiles,
         measures=(("COUNT", _count),
                   ("AVG_RATIO", _avg_rounded("CREDIT_INCOME_RATIO", 2)), _RATE),
         chart_type="scatter", axes={"x_col": "AVG_RATIO", "y_col": "DEFAULT_RATE"}),
@@ -142,8 +146,8 @@ def spec(analysis: int | str) -> CohortSpec:
 
 def run_spec(s: CohortSpec, df: DataFrame) -> DataFrame:
     """Apply one spec to an already filtered table."""
-    if s.prepare is not None:
-        df = s.prepare(df)
+    if s.compute is not None:
+        return s.compute(df)
     if s.derived:
         df = df.withColumns({n: fn() for n, fn in s.derived})
     out = df.groupBy(*s.keys).agg(*[fn().alias(n) for n, fn in s.measures])
@@ -185,27 +189,46 @@ def metadata(analysis: int | str, filters: Mapping | None = None) -> dict:
 
 # --- Chart-shaped results -----------------------------------------------------
 
+NULL_LABEL = "(null)"
+
+
+def _matrix(grouped: DataFrame, row: str, label: Column, value: Column, known) -> DataFrame:
+    """Chart shape of a grouped result: one row per ``row``, one column per
+    label. The columns are the known labels and, sorted after them, every
+    other label in the result; a null label has the column ``(null)``. The
+    other labels are read from the grouped result (a row per group), which
+    takes a job when the matrix is built."""
+    named = grouped.select(row, F.coalesce(label, F.lit(NULL_LABEL)).alias("_label"), value.alias("_value"))
+    others = [r[0] for r in named.select("_label").distinct().collect() if r[0] not in known]
+    return (named.groupBy(row).pivot("_label", [*known, *sorted(others)]).agg(F.sum("_value")))
+
+
 def contract_realty_matrix(df: DataFrame, **filters) -> DataFrame:
     """Grouped-bar shape of analysis 6: one row per contract type, one
-    default-rate column per ownership label. The pivot runs on the grouped
-    result (a handful of rows) with the label list given, so no extra job
-    looks for pivot values."""
-    grouped = analyse(df, 6, **filters)
-    return (grouped.groupBy("NAME_CONTRACT_TYPE")
-                   .pivot("FLAG_OWN_REALTY", list(L.REALTY_LABELS.values()))
-                   .agg(F.max("DEFAULT_RATE")))
+    default-rate column per ownership label; an unmapped flag is its own
+    label, so no group hides another."""
+    bare = replace(spec(6), after=())
+    grouped = run_spec(bare, portfolio_filter(df, **filters))
+    label = F.coalesce(D.realty_label(), F.col("FLAG_OWN_REALTY"))
+    return _matrix(grouped, "NAME_CONTRACT_TYPE", label, F.col("DEFAULT_RATE"),
+                   list(L.REALTY_LABELS.values()))
 
 
 def family_children_matrix(df: DataFrame, statuses=None, **filters) -> DataFrame:
     """Heat-map shape of analysis 7: one row per number of children, one
-    column per family status, cell = summed default rate of the groups that
-    passed the size floor (one group per cell, so the cell is its rate)."""
-    statuses = list(statuses or L.TRANSLATIONS["family_status"].keys())
-    grouped = analyse(df, 7, **filters)
-    return (grouped.groupBy("CNT_CHILDREN")
-                   .pivot("NAME_FAMILY_STATUS", statuses)
-                   .agg(F.sum("DEFAULT_RATE"))
-                   .orderBy("CNT_CHILDREN"))
+    column per family status (the usual ones or ``statuses`` first, then any
+    other in the result), cell = default rate of the group if it passed the
+    size floor."""
+    known = list(statuses or L.TRANSLATIONS["family_status"].keys())
+    return _matrix(analyse(df, 7, **filters), "CNT_CHILDREN", F.col("NAME_FAMILY_STATUS"),
+                   F.col("DEFAULT_RATE"), known).orderBy("CNT_CHILDREN")
+
+
+def matrix_cells(matrix: DataFrame) -> DataFrame:
+    """Long form of a chart matrix: its first column, ``LABEL`` and ``VALUE``
+    of every filled cell."""
+    row, *labels = matrix.columns
+    return matrix.unpivot([row], [f"`{c}`" for c in labels], "LABEL", "VALUE").where("VALUE is not null")
 
 
 def as_records(df: DataFrame, col: str = "record") -> DataFrame:
@@ -237,12 +260,13 @@ def cohort_report(df: DataFrame, analyses=REPORT_ANALYSES, min_credit=None,
     aggregation happen map-side, so the shuffle carries only group rows.
     Each analysis's floor and relabels are applied afterwards. Output:
     ``ANALYSIS, KEY1, KEY2`` (text keys; ``KEY2`` for the two-key analyses),
-    ``CLIENT_COUNT, DEFAULT_RATE`` and ``AVG_INCOME`` / ``AVG_CREDIT`` where
-    the analysis reports them (else null). The ranked analysis (2) needs a
+    ``CLIENT_COUNT, DEFAULT_RATE`` and ``AVG_INCOME`` / ``AVG_CREDIT`` /
+    ``WEEKDAY_ORDER`` where the analysis reports them (else null). An unknown
+    weekday fails the report as it fails analysis 8. The ranked analysis (2) needs a
     global order and is not part of the report.
     """
     specs = list({spec(a).number: spec(a) for a in analyses}.values())
-    if any(s.prepare is not None for s in specs):
+    if any(s.compute is not None for s in specs):
         raise ValueError("the ranked analysis cannot share the grouping scan")
     if len({frozenset(s.keys) for s in specs}) != len(specs):
         raise ValueError("analyses with the same keys cannot share one grouping set")
@@ -293,4 +317,6 @@ def cohort_report(df: DataFrame, analyses=REPORT_ANALYSES, min_credit=None,
         by_analysis(lambda s: key(s, 1)).cast("string").alias("KEY2"),
         F.col("CLIENT_COUNT"), F.col("DEFAULT_RATE"),
         by_analysis(reports("AVG_INCOME")).cast("double").alias("AVG_INCOME"),
-        by_analysis(reports("AVG_CREDIT")).cast("double").alias("AVG_CREDIT"))
+        by_analysis(reports("AVG_CREDIT")).cast("double").alias("AVG_CREDIT"),
+        by_analysis(lambda s: dict(s.after)["WEEKDAY_ORDER"]() if "WEEKDAY_ORDER" in dict(s.after) else None)
+        .cast("int").alias("WEEKDAY_ORDER"))

@@ -18,7 +18,7 @@ from ..functions import labels as L
 from ..functions.bands import risk_level
 from ..schema import ID_COL
 from .filters import lookup
-from .scoring import score_report
+from .scoring import CLIENT_INFO, score_report
 
 
 def _literal_map(mapping: dict) -> Column:
@@ -118,8 +118,6 @@ def risk_level_summary(scored: DataFrame, score_col: str = "risk_score",
                        F.round(F.sum(credit_col), 2).alias("TOTAL_CREDIT")))
 
 
-_INFO_FIELDS = ("gender", "age", "children_count", "income", "credit_amount", "income_type",
-                "education_type", "family_status", "housing_type", "years_employed")
 _STAMP_FIELDS = ("analysis_date", "analysis_time", *L.STAMP.keys())
 
 
@@ -138,7 +136,7 @@ def client_response(scored: DataFrame, ids, run_ts: dt.datetime,
     return answer.select(
         "client_id", "found",
         F.when(~found, F.format_string(L.CLIENT_NOT_FOUND, F.col("client_id"))).alias("error"),
-        F.when(found, F.struct(*_INFO_FIELDS)).alias("client_info"),
+        F.when(found, F.struct(*CLIENT_INFO)).alias("client_info"),
         F.when(found, F.struct("risk_score", "predicted_default")).alias("prediction"),
         F.when(found, F.col("recommendation")).alias("recommendation"),
         F.when(found, F.struct(*_STAMP_FIELDS)).alias("metadata"))

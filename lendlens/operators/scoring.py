@@ -16,6 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,42 +67,78 @@ def _feature_stages(df: DataFrame) -> list:
     ]
 
 
-def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 25,
-                   reg_param: float = 0.01, tol: float = 1e-4
+def fit_preprocessor(prepared: DataFrame) -> PipelineModel:
+    """Imputer, string indexer, one-hot encoder and vector assembler fitted on
+    prepared features (means and label counts are aggregations)."""
+    return Pipeline(stages=_feature_stages(prepared)).fit(prepared)
+
+
+def preprocessed_columns(df: DataFrame) -> tuple[list[str], list[str]]:
+    """Names of the imputed numeric and the indexed categorical columns that
+    the preprocessor adds to ``df``."""
+    return ([f"{c}__imp" for c in NUMERIC_COLS if c in df.columns],
+            [f"{c}__idx" for c in CATEGORICAL_COLS if c in df.columns])
+
+
+def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 100,
+                   reg_param: float = 0.01, tol: float = 1e-6
                    ) -> tuple[PipelineModel, LogisticRegressionModel, str]:
     """Fit the preprocessing pipeline and a logistic regression on a labelled
     portfolio and save both under ``path`` (default: a fresh folder in the
-    shared checkpoint location). Returns (preprocessor, model, path).
+    shared checkpoint location). Returns (preprocessor, model, path); the
+    model's ``summary.totalIterations`` says how long the optimiser took.
 
     Fitting is distributed: the imputer means and string-index label counts
     are aggregations, and the regression optimiser aggregates gradients
     across partitions (tree aggregation), so no step collects the data.
     The training table, pruned to the model inputs, is persisted
     (memory, spilling to disk) for the duration of the fit only: the
-    pipeline stages and the optimiser pass over it several times (read the
-    source with ``readers.read_applications``, which spreads a coarse scan,
-    so every pass runs on all cores). Every optimiser iteration is a full
-    pass over the data, so it stops at a practical convergence tolerance
-    (``tol`` on the relative loss change; ``max_iter`` is only a ceiling).
+    pipeline stages and the optimiser pass over it several times. The
+    optimiser runs to convergence; reaching ``max_iter`` first is an error.
     """
     inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
     prepared = (prepare_features(train.select(*inputs, LABEL_COL))
                 .where(F.col(LABEL_COL).isNotNull())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        preprocessor = Pipeline(stages=_feature_stages(prepared)).fit(prepared)
+        preprocessor = fit_preprocessor(prepared)
         features = preprocessor.transform(prepared).select(
             F.col(FEATURES_COL), F.col(LABEL_COL).cast("double").alias("label"))
         model = LogisticRegression(featuresCol=FEATURES_COL, labelCol="label",
                                    maxIter=max_iter, regParam=reg_param, tol=tol).fit(features)
     finally:
         prepared.unpersist()
+    if model.summary.totalIterations >= max_iter:
+        raise RuntimeError(f"the optimiser did not converge in {max_iter} iterations")
+    return preprocessor, model, save_risk_model(train.sparkSession, preprocessor, model, path)
+
+
+def save_risk_model(spark, preprocessor: PipelineModel, model: LogisticRegressionModel,
+                    path: str | None = None) -> str:
+    """Save both artefacts under ``path`` (default: a fresh folder in the
+    shared checkpoint location)."""
     if path is None:
-        base = checkpoint_dir(train.sparkSession).rstrip("/")
-        path = f"{base}/risk-model-{uuid.uuid4().hex}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/risk-model-{uuid.uuid4().hex}"
     preprocessor.write().overwrite().save(f"{path}/preprocessor")
     model.write().overwrite().save(f"{path}/model")
-    return preprocessor, model, path
+    return path
+
+
+def fixed_model(train: DataFrame, preprocessor: PipelineModel, coefficients: dict[str, float],
+                intercept: float) -> LogisticRegressionModel:
+    """A logistic regression with given coefficients per numeric or flag
+    column (0 for all others): its bounds leave the optimiser one point."""
+    prepared = prepare_features(train).where(F.col(LABEL_COL).isNotNull())
+    rows = preprocessor.transform(prepared).select(
+        F.col(FEATURES_COL), F.col(LABEL_COL).cast("double").alias("label"))
+    names = [c for c in (*NUMERIC_COLS, *FLAG_COLS) if c in train.columns]
+    size = rows.schema[FEATURES_COL].metadata["ml_attr"]["num_attrs"]
+    values = [coefficients.get(c, 0.0) for c in names] + [0.0] * (size - len(names))
+    bound, level = Matrices.dense(1, size, values), Vectors.dense([intercept])
+    return LogisticRegression(
+        featuresCol=FEATURES_COL, labelCol="label", maxIter=1, standardization=False,
+        lowerBoundsOnCoefficients=bound, upperBoundsOnCoefficients=bound,
+        lowerBoundsOnIntercepts=level, upperBoundsOnIntercepts=level).fit(rows)
 
 
 def load_preprocessor(path: str) -> PipelineModel:
@@ -117,16 +154,6 @@ def load_risk_model(path: str) -> tuple[PipelineModel, LogisticRegressionModel]:
     return load_preprocessor(f"{path}/preprocessor"), load_model(f"{path}/model")
 
 
-def risk_model_saved(spark, path: str) -> bool:
-    """Whether ``fit_risk_model`` artefacts exist under ``path`` (any Hadoop
-    file system: local, HDFS, object store)."""
-    sc = spark.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    jpath = sc._jvm.org.apache.hadoop.fs.Path
-    return all(jpath(f"{path}/{part}/metadata").getFileSystem(conf).exists(jpath(f"{path}/{part}/metadata"))
-               for part in ("preprocessor", "model"))
-
-
 def fallback_score(df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
     """Score from the hard prediction when no probability exists:
     positive prediction -> 0.75, otherwise 0.25."""
@@ -178,7 +205,7 @@ def score_report(scored: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-_CLIENT_INFO = ("gender", "age", "children_count", "income", "credit_amount", "income_type",
+CLIENT_INFO = ("gender", "age", "children_count", "income", "credit_amount", "income_type",
                 "education_type", "family_status", "housing_type", "years_employed")
 
 
@@ -187,5 +214,5 @@ def score_response(report: DataFrame) -> DataFrame:
     and a ``prediction`` struct; write it as JSON or parquet."""
     return report.select(
         "client_id",
-        F.struct(*[F.col(c) for c in _CLIENT_INFO]).alias("client_info"),
+        F.struct(*[F.col(c) for c in CLIENT_INFO]).alias("client_info"),
         F.struct("risk_score", "predicted_default").alias("prediction"))

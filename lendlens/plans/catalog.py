@@ -1,32 +1,33 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
 Every query reads the driver tables under ``sf_dir`` (through the fixture
-views in ``sources.fixtures``) and runs over all rows. Queries with heavy
-per-row work (model fit and scoring, wide report projections, the seven-way
-expand of the dashboard report, JSON parsing) ask the views to spread a
-coarse fact-table scan over the cores; light aggregations read it as is. The matching DuckDB
+views in ``sources.fixtures``) and runs over all rows. The matching DuckDB
 oracle text lives in ``plans.oracle``; column names agree one to one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cohorts, decisions, filters, scoring
-from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
+from ..sources import readers
+from ..sources.scratch import scratch_folder
 from ..streaming import feedback
 
 # Fixed parameters of the example queries.
 FILTER_EXAMPLE = {"min_credit": 100000, "max_credit": 300000, "min_income": 0}
 FLOOR_EXAMPLE = {"min_credit": 484000}
 QUINTILE_FILTER_EXAMPLE = {"min_credit": 50000, "min_income": 20000}
+# credit floor under which some family groups fall below the size floor of 50
+FAMILY_FLOOR_EXAMPLE = {"min_credit": 460000}
+FIXED_COEFFICIENTS = {"EXT_SOURCE_1": -1.25, "EXT_SOURCE_2": -2.0, "EXT_SOURCE_3": 0.75,
+                      "OWN_CAR_AGE": 0.03125, "AMT_GOODS_PRICE": 2.0 ** -20, "FLAG_OWN_CAR": 0.5}
+FIXED_INTERCEPT = 0.625
 SEGMENT_EXAMPLE = {"segment": "Working", "product": "Cash loans", "risk_levels": ["Élevé", "Moyen"]}
 RUN_TS = dt.datetime(2024, 6, 3, 14, 5, 0)
 
@@ -35,8 +36,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _analysis(number: int, **flt) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if number == 2:
-            ensure_checkpoint_dir(spark)
         return cohorts.analyse(fx.applications(spark, sf_dir), number, **flt)
     run.__name__ = f"analysis_{number}"
     return run
@@ -50,7 +49,7 @@ def portfolio_filter(spark, sf_dir):
 
 def cohort_report(spark, sf_dir):
     """Analyses 1 and 3-8 from one scan (GROUPING SETS), long form."""
-    return cohorts.cohort_report(fx.applications(spark, sf_dir, spread_scan=True))
+    return cohorts.cohort_report(fx.applications(spark, sf_dir))
 
 
 def age_band_records(spark, sf_dir):
@@ -67,7 +66,7 @@ def family_children_matrix(spark, sf_dir):
 
 
 def prepare_features(spark, sf_dir):
-    return scoring.prepare_features(fx.applications(spark, sf_dir, spread_scan=True))
+    return scoring.prepare_features(fx.applications(spark, sf_dir))
 
 
 def client_lookup(spark, sf_dir):
@@ -76,43 +75,123 @@ def client_lookup(spark, sf_dir):
     return found.select("SK_ID_CURR", "found", "AMT_CREDIT", "NAME_CONTRACT_TYPE")
 
 
-def _model_path(spark, sf_dir: str) -> str:
-    """Where the model fitted on ``sf_dir`` is saved: the shared checkpoint
-    folder of this application (one folder per training source)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/lendlens-risk-model-{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+def client_lookup_batch(spark, sf_dir):
+    """Lookup of a table of ids, some of them unknown."""
+    found = filters.lookup(fx.applicants(spark, sf_dir), fx.requested_ids(spark, sf_dir), report_missing=True)
+    return found.select("SK_ID_CURR", "found", "AMT_CREDIT", "NAME_CONTRACT_TYPE")
 
 
 def fit_risk_model(spark, sf_dir):
-    """Fit preprocessing + logistic regression on the labelled portfolio,
-    save both, and score the training rows with the fitted pair. The model
-    is ours (no artefact ships), so this has no SQL oracle."""
-    apps = fx.applications(spark, sf_dir, spread_scan=True)
-    pre, model, _ = scoring.fit_risk_model(apps, path=_model_path(spark, sf_dir))
-    return scoring.score(apps, pre, model).select("SK_ID_CURR", "TARGET", "risk_score", "prediction")
+    """Fit preprocessing and logistic regression on the labelled portfolio:
+    what was fitted and how long the optimiser took, per coefficient. The
+    model is ours (no artefact ships), so this has no SQL oracle."""
+    with scratch_folder(spark, "lendlens-model") as path:
+        _, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
+    facts = model.summary
+    rows = [(i, float(c), facts.totalIterations, float(facts.objectiveHistory[-1]))
+            for i, c in enumerate([model.intercept, *model.coefficients])]
+    return spark.createDataFrame(rows, "position int, coefficient double, iterations int, loss double")
+
+
+def fit_check(spark, sf_dir):
+    """At the optimum the mean score is the share of defaults, as the
+    intercept isn't penalised."""
+    apps = fx.applications(spark, sf_dir)
+    with scratch_folder(spark, "lendlens-model") as path:
+        pre, model, _ = scoring.fit_risk_model(apps, path=path)
+    return scoring.score(apps, pre, model).agg(
+        F.count(F.lit(1)).alias("CLIENT_COUNT"), F.round(F.avg("TARGET"), 3).alias("DEFAULT_SHARE"),
+        F.round(F.avg("risk_score"), 3).alias("MEAN_SCORE"))
+
+
+def preprocess_features(spark, sf_dir):
+    """Imputed numbers and category indexes of every application, from the
+    fitted preprocessing pipeline after saving and loading it."""
+    prepared = scoring.prepare_features(fx.applications(spark, sf_dir))
+    with scratch_folder(spark, "lendlens-preprocessor") as path:
+        scoring.fit_preprocessor(prepared).write().save(path)
+        pre = scoring.load_preprocessor(path)
+    numbers, indexes = scoring.preprocessed_columns(prepared)
+    return pre.transform(prepared).select(
+        "SK_ID_CURR", *[F.round(c, 4).alias(c) for c in numbers],
+        *[F.col(c).cast("int").alias(c) for c in indexes])
+
+
+def score_fixed_model(spark, sf_dir):
+    """Every applicant scored by a logistic regression of fixed coefficients
+    that was saved and loaded, with its level."""
+    apps = fx.applications(spark, sf_dir)
+    pre = scoring.fit_preprocessor(scoring.prepare_features(apps))
+    model = scoring.fixed_model(apps, pre, FIXED_COEFFICIENTS, FIXED_INTERCEPT)
+    with scratch_folder(spark, "lendlens-model") as path:
+        scoring.save_risk_model(spark, pre, model, path)
+        pre, model = scoring.load_risk_model(path)
+    scored = decisions.with_risk_level(scoring.score(fx.applicants(spark, sf_dir), pre, model))
+    return scored.select("SK_ID_CURR", F.round("risk_score", 6).alias("risk_score"), "prediction", "risk_level")
 
 
 def score_portfolio(spark, sf_dir):
-    """Load the saved preprocessing pipeline and model (fitting them first
-    when none is saved for this source) and score every applicant."""
-    path = _model_path(spark, sf_dir)
-    if scoring.risk_model_saved(spark, path):
+    """Fit, save, load and score every applicant (our own model: no oracle)."""
+    with scratch_folder(spark, "lendlens-model") as path:
+        scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
         pre, model = scoring.load_risk_model(path)
-    else:
-        pre, model, _ = scoring.fit_risk_model(
-            fx.applications(spark, sf_dir, spread_scan=True), path=path)
-    scored = scoring.score(fx.applicants(spark, sf_dir, spread_scan=True), pre, model)
+    scored = scoring.score(fx.applicants(spark, sf_dir), pre, model)
     return decisions.with_risk_level(scored).select(
         "SK_ID_CURR", "risk_score", "prediction", "risk_level")
 
 
+def _csv_round_trip(spark, view, read):
+    """A view as CSV, its integers written as a data frame with gaps writes
+    them (``1.0``), read back by name."""
+    with scratch_folder(spark, "lendlens-csv") as path:
+        text = [F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "integer"
+                else F.col(f.name) for f in reversed(view.schema.fields)]
+        view.select(*text).write.option("header", "true").csv(path)
+        return read(spark, path, "csv", rejected=True).checkpoint()
+
+
+def csv_applications(spark, sf_dir):
+    """The labelled portfolio written as CSV and read by the CSV reader."""
+    return _csv_round_trip(spark, fx.applications(spark, sf_dir), readers.read_applications)
+
+
+def csv_applicants(spark, sf_dir):
+    """The applicants written as CSV and read by the CSV reader."""
+    return _csv_round_trip(spark, fx.applicants(spark, sf_dir), readers.read_applicants)
+
+
+def contract_realty_matrix_all(spark, sf_dir):
+    """Cells of the ownership matrix where flags are unlisted or missing."""
+    return cohorts.matrix_cells(cohorts.contract_realty_matrix(fx.unusual_applications(spark, sf_dir)))
+
+
+def family_children_matrix_all(spark, sf_dir):
+    """Cells of the family matrix where statuses are unlisted or missing."""
+    cells = cohorts.matrix_cells(cohorts.family_children_matrix(fx.unusual_applications(spark, sf_dir)))
+    return cells.withColumn("CNT_CHILDREN", F.col("CNT_CHILDREN").cast("int"))
+
+
+def base_analyses(spark, sf_dir):
+    """Two analyses over one persisted base."""
+    base = readers.persist_base(filters.portfolio_filter(fx.applications(spark, sf_dir), **FILTER_EXAMPLE)
+                                .select("SK_ID_CURR", "TARGET", "DAYS_BIRTH", "NAME_INCOME_TYPE", "AMT_INCOME_TOTAL"))
+    try:
+        ages, incomes = cohorts.run_spec(cohorts.spec(1), base), cohorts.run_spec(cohorts.spec(3), base)
+        both = (ages.select(F.lit(1).alias("ANALYSIS"), F.col("AGE_GROUP").alias("KEY"), "CLIENT_COUNT", "DEFAULT_RATE")
+                .unionByName(incomes.select(F.lit(3).alias("ANALYSIS"), F.col("NAME_INCOME_TYPE").alias("KEY"),
+                                            "CLIENT_COUNT", "DEFAULT_RATE")))
+        return both.checkpoint()
+    finally:
+        base.unpersist()
+
+
 def fallback_score(spark, sf_dir):
     no_prob = fx.scored(spark, sf_dir).drop("risk_score")
     return scoring.with_risk_score(no_prob).select("SK_ID_CURR", "prediction", "risk_score")
 
 
 def score_report(spark, sf_dir):
-    return scoring.score_report(fx.scored(spark, sf_dir, spread_scan=True))
+    return scoring.score_report(fx.scored(spark, sf_dir))
 
 
 def recommend(spark, sf_dir):
@@ -126,7 +205,18 @@ def recommend(spark, sf_dir):
 
 
 def format_client(spark, sf_dir):
-    return decisions.format_client(scoring.score_report(fx.scored(spark, sf_dir, spread_scan=True)))
+    return decisions.format_client(scoring.score_report(fx.scored(spark, sf_dir)))
+
+
+def format_unusual_clients(spark, sf_dir):
+    """Display form over unlisted codes and tenures above 100 years."""
+    return decisions.format_client(scoring.score_report(fx.unusual_scored(spark, sf_dir)))
+
+
+def score_response(spark, sf_dir):
+    """The nested response of every client, flattened."""
+    nested = scoring.score_response(scoring.score_report(fx.scored(spark, sf_dir)))
+    return nested.select("client_id", "client_info.*", "prediction.*")
 
 
 def client_response(spark, sf_dir):
@@ -170,7 +260,7 @@ def feedback_levels(spark, sf_dir):
 def feedback_json(spark, sf_dir):
     """The same records as JSON bodies (nulls are absent keys in
     ``to_json``) parsed back by the JSON ingestion path."""
-    recs = fx.feedback_records(spark, sf_dir, spread_scan=True)
+    recs = fx.feedback_records(spark, sf_dir)
     bodies = recs.select("event_id", F.to_json(F.struct(
         "message", "custom_dimensions", "is_positive")).alias("value"))
     parsed = feedback.parse_feedback(bodies)
@@ -178,24 +268,28 @@ def feedback_json(spark, sf_dir):
                          F.try_element_at("custom_dimensions", F.lit("k")).alias("k"))
 
 
+def feedback_malformed(spark, sf_dir):
+    """Broken lines, absent keys, nulls and flags that aren't booleans."""
+    parsed = feedback.parse_feedback(fx.feedback_bodies(spark, sf_dir))
+    return parsed.select("event_id", "message", "is_positive", "level", "malformed", "_corrupt_record")
+
+
 def feedback_stream(spark, sf_dir):
     """End-to-end streaming ingestion: the feedback bodies are written as
     JSON lines into the shared checkpoint folder, a Structured Streaming job
-    (text source -> parse -> parquet sink partitioned by level, checkpointed,
+    (``read_feedback`` -> parquet sink partitioned by level, checkpointed,
     ``availableNow``) ingests them, and the sink's content is returned."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedback-{uuid.uuid4().hex}"
-    recs = fx.feedback_records(spark, sf_dir, spread_scan=True)
-    (recs.select(F.to_json(F.struct("event_id", "message", "custom_dimensions",
-                                    "is_positive")).alias("value"))
-         .write.text(f"{base}/incoming"))
-    raw = spark.readStream.format("text").load(f"{base}/incoming")
-    raw = raw.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("long"))
-    query = feedback.write_feedback(feedback.parse_feedback(raw), f"{base}/sink",
-                                    checkpoint=f"{base}/stream-checkpoint")
-    query.awaitTermination()
-    return (spark.read.parquet(f"{base}/sink")
-            .select("event_id", "message", "level", "malformed",
-                    F.try_element_at("custom_dimensions", F.lit("k")).alias("k")))
+    with scratch_folder(spark, "feedback") as base:
+        recs = fx.feedback_records(spark, sf_dir)
+        (recs.select(F.to_json(F.struct("event_id", "message", "custom_dimensions",
+                                        "is_positive")).alias("value"))
+             .write.text(f"{base}/incoming"))
+        records = feedback.read_feedback(spark, f"{base}/incoming", streaming=True, keys=("event_id",))
+        query = feedback.write_feedback(records, f"{base}/sink", checkpoint=f"{base}/stream-checkpoint")
+        query.awaitTermination()
+        return (spark.read.parquet(f"{base}/sink")
+                .select(F.col("event_id").cast("long").alias("event_id"), "message", "level", "malformed",
+                        F.try_element_at("custom_dimensions", F.lit("k")).alias("k")).checkpoint())
 
 
 QUERIES: dict[str, Query] = {
@@ -209,19 +303,31 @@ QUERIES: dict[str, Query] = {
     "enquiry_band": _analysis(5),
     "contract_realty": _analysis(6),
     "family_children": _analysis(7),
+    "family_children_filtered": _analysis(7, **FAMILY_FLOOR_EXAMPLE),
     "weekday": _analysis(8),
     "cohort_report": cohort_report,
     "age_band_records": age_band_records,
     "contract_realty_matrix": contract_realty_matrix,
     "family_children_matrix": family_children_matrix,
+    "contract_realty_matrix_all": contract_realty_matrix_all,
+    "family_children_matrix_all": family_children_matrix_all,
+    "base_analyses": base_analyses,
+    "csv_applications": csv_applications,
+    "csv_applicants": csv_applicants,
     "prepare_features": prepare_features,
+    "preprocess_features": preprocess_features,
     "client_lookup": client_lookup,
+    "client_lookup_batch": client_lookup_batch,
     "fit_risk_model": fit_risk_model,
+    "fit_check": fit_check,
+    "score_fixed_model": score_fixed_model,
     "score_portfolio": score_portfolio,
     "fallback_score": fallback_score,
     "score_report": score_report,
+    "score_response": score_response,
     "recommend": recommend,
     "format_client": format_client,
+    "format_unusual_clients": format_unusual_clients,
     "stamp": stamp,
     "client_response": client_response,
     "client_dossier": client_dossier,
@@ -229,5 +335,6 @@ QUERIES: dict[str, Query] = {
     "risk_level_summary": risk_level_summary,
     "feedback": feedback_levels,
     "feedback_json": feedback_json,
+    "feedback_malformed": feedback_malformed,
     "feedback_stream": feedback_stream,
 }

@@ -15,9 +15,11 @@ agreement with Spark:
 
 from __future__ import annotations
 
-from ..sources.fixtures import (duckdb_applications_cte, duckdb_feedback_cte,
-                                duckdb_identities_cte, duckdb_prepared_select,
-                                duckdb_scored_ctes)
+from ..schema import CATEGORICAL_COLS, NUMERIC_COLS
+from ..sources.fixtures import (duckdb_applications_cte, duckdb_bodies_cte,
+                                duckdb_feedback_cte, duckdb_identities_cte,
+                                duckdb_prepared_select, duckdb_scored_ctes,
+                                duckdb_unusual_cte)
 
 _APPS = "WITH " + duckdb_applications_cte()
 _SCORED = "WITH " + duckdb_scored_ctes()
@@ -304,28 +306,108 @@ a AS (
         FROM applications) x
 )
 SELECT 1 AS ANALYSIS, AGE_GROUP AS KEY1, CAST(NULL AS VARCHAR) AS KEY2, count(*) AS CLIENT_COUNT,
-       {rate}, CAST(NULL AS DOUBLE) AS AVG_INCOME, CAST(NULL AS DOUBLE) AS AVG_CREDIT
+       {rate}, CAST(NULL AS DOUBLE) AS AVG_INCOME, CAST(NULL AS DOUBLE) AS AVG_CREDIT,
+       CAST(NULL AS INTEGER) AS WEEKDAY_ORDER
 FROM a GROUP BY AGE_GROUP
 UNION ALL
-SELECT 3, NAME_INCOME_TYPE, NULL, count(*), {rate}, round(avg(AMT_INCOME_TOTAL), 0), NULL
+SELECT 3, NAME_INCOME_TYPE, NULL, count(*), {rate}, round(avg(AMT_INCOME_TOTAL), 0), NULL, NULL
 FROM a GROUP BY NAME_INCOME_TYPE HAVING count(*) > 100
 UNION ALL
-SELECT 4, EMPLOYMENT_LENGTH, NULL, count(*), {rate}, NULL, NULL FROM a GROUP BY EMPLOYMENT_LENGTH
+SELECT 4, EMPLOYMENT_LENGTH, NULL, count(*), {rate}, NULL, NULL, NULL FROM a GROUP BY EMPLOYMENT_LENGTH
 UNION ALL
-SELECT 5, ENQUIRY_GROUP, NULL, count(*), {rate}, NULL, NULL FROM a GROUP BY ENQUIRY_GROUP
+SELECT 5, ENQUIRY_GROUP, NULL, count(*), {rate}, NULL, NULL, NULL FROM a GROUP BY ENQUIRY_GROUP
 UNION ALL
 SELECT 6, NAME_CONTRACT_TYPE,
        CASE FLAG_OWN_REALTY WHEN 'Y' THEN 'Propriétaire' WHEN 'N' THEN 'Non propriétaire' END,
-       count(*), {rate}, NULL, round(avg(AMT_CREDIT), 0)
+       count(*), {rate}, NULL, round(avg(AMT_CREDIT), 0), NULL
 FROM a GROUP BY NAME_CONTRACT_TYPE, FLAG_OWN_REALTY
 UNION ALL
-SELECT 7, NAME_FAMILY_STATUS, CAST(CNT_CHILDREN AS VARCHAR), count(*), {rate}, NULL, NULL
+SELECT 7, NAME_FAMILY_STATUS, CAST(CNT_CHILDREN AS VARCHAR), count(*), {rate}, NULL, NULL, NULL
 FROM a GROUP BY NAME_FAMILY_STATUS, CNT_CHILDREN HAVING count(*) > 50
 UNION ALL
-SELECT 8, WEEKDAY_APPR_PROCESS_START, NULL, count(*), {rate}, NULL, round(avg(AMT_CREDIT), 0)
+SELECT 8, WEEKDAY_APPR_PROCESS_START, NULL, count(*), {rate}, NULL, round(avg(AMT_CREDIT), 0),
+       list_position(['MONDAY', 'TUESDAY', 'WEDNESDAY', 'THURSDAY', 'FRIDAY', 'SATURDAY', 'SUNDAY'],
+                     WEEKDAY_APPR_PROCESS_START) - 1
 FROM a GROUP BY WEEKDAY_APPR_PROCESS_START
 """
 
+# Chart cells over the unusual view: no status or flag is listed here.
+_CONTRACT_CELLS = """
+SELECT NAME_CONTRACT_TYPE,
+       coalesce(CASE FLAG_OWN_REALTY WHEN 'Y' THEN 'Propriétaire' WHEN 'N' THEN 'Non propriétaire'
+                ELSE FLAG_OWN_REALTY END, '(null)') AS LABEL,
+       round(avg(CASE WHEN TARGET = 1 THEN 1 ELSE 0 END) * 100, 2) AS VALUE
+FROM applications GROUP BY NAME_CONTRACT_TYPE, FLAG_OWN_REALTY
+"""
+
+_FAMILY_CELLS = """
+SELECT CNT_CHILDREN, coalesce(NAME_FAMILY_STATUS, '(null)') AS LABEL,
+       round(avg(CASE WHEN TARGET = 1 THEN 1 ELSE 0 END) * 100, 2) AS VALUE
+FROM applications GROUP BY CNT_CHILDREN, NAME_FAMILY_STATUS HAVING count(*) > 50
+"""
+
+_LOOKUP_BATCH = """
+SELECT i.SK_ID_CURR, a.SK_ID_CURR IS NOT NULL AS found, a.AMT_CREDIT, a.NAME_CONTRACT_TYPE
+FROM (SELECT c_custkey * 3 AS SK_ID_CURR FROM customer) i LEFT JOIN applications a USING (SK_ID_CURR)
+"""
+
+_FIT_CHECK = """
+SELECT count(*) AS CLIENT_COUNT, round(avg(TARGET), 3) AS DEFAULT_SHARE, round(avg(TARGET), 3) AS MEAN_SCORE
+FROM applications
+"""
+
+_FIXED_MODEL = """,
+z AS (
+  SELECT SK_ID_CURR, 0.625e0 - 1.25e0 * coalesce(EXT_SOURCE_1, avg(EXT_SOURCE_1) OVER ())
+         - 2e0 * coalesce(EXT_SOURCE_2, avg(EXT_SOURCE_2) OVER ())
+         + 0.75e0 * coalesce(EXT_SOURCE_3, avg(EXT_SOURCE_3) OVER ())
+         + 0.03125e0 * coalesce(OWN_CAR_AGE, avg(OWN_CAR_AGE) OVER ())
+         + coalesce(AMT_GOODS_PRICE, avg(AMT_GOODS_PRICE) OVER ()) / 1048576e0
+         + CASE FLAG_OWN_CAR WHEN 'Y' THEN 0.5e0 ELSE 0e0 END AS z
+  FROM applications
+),
+p AS (SELECT SK_ID_CURR, 1e0 / (1e0 + exp(-z)) AS p FROM z)
+SELECT SK_ID_CURR, round(p, 6) AS risk_score, CASE WHEN p > 0.5e0 THEN 1e0 ELSE 0e0 END AS prediction,
+       CASE WHEN p >= 0.70e0 THEN 'Élevé' WHEN p >= 0.40e0 THEN 'Moyen' ELSE 'Faible' END AS risk_level
+FROM p
+"""
+
+_BASE_ANALYSES = """,
+b AS (SELECT * FROM applications WHERE AMT_CREDIT >= 100000 AND AMT_CREDIT <= 300000)
+SELECT 1 AS ANALYSIS, CASE WHEN -DAYS_BIRTH / 365.25e0 < 25 THEN '< 25 ans'
+              WHEN -DAYS_BIRTH / 365.25e0 < 35 THEN '25-35 ans'
+              WHEN -DAYS_BIRTH / 365.25e0 < 45 THEN '35-45 ans'
+              WHEN -DAYS_BIRTH / 365.25e0 < 55 THEN '45-55 ans' ELSE '> 55 ans' END AS KEY,
+       count(*) AS CLIENT_COUNT, {rate}
+FROM b GROUP BY 2
+UNION ALL
+SELECT 3, NAME_INCOME_TYPE, count(*), {rate} FROM b GROUP BY NAME_INCOME_TYPE HAVING count(*) > 100
+"""
+
+_MALFORMED = """
+SELECT event_id,
+       CASE WHEN bad THEN NULL WHEN event_id % 19 = 0 OR event_id % 3 = 0 THEN 'Message vide'
+            WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS message,
+       CASE WHEN bad THEN NULL WHEN event_id % 19 = 0 THEN true
+            ELSE event_id % 16 NOT IN (2, 4, 5, 6, 8, 9, 11) END AS is_positive,
+       CASE WHEN bad THEN 'MALFORMED' WHEN event_id % 19 = 0 THEN 'INFO'
+            WHEN event_id % 16 IN (2, 4, 5, 6, 8, 9, 11) THEN 'ERROR' ELSE 'INFO' END AS level,
+       bad AS malformed, CASE WHEN bad THEN value END AS _corrupt_record
+FROM (SELECT *, event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 AS bad FROM bodies)
+"""
+
+
+def _preprocess() -> str:
+    """Mean imputation, and category indexes by falling frequency (ties by name)."""
+    ranks = ",\n".join(
+        f"r_{c} AS (SELECT {c} AS k, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i FROM p GROUP BY {c})"
+        for c in CATEGORICAL_COLS)
+    cols = [f"round(coalesce({c}, avg({c}) OVER ()), 4) AS {c}__imp" for c in NUMERIC_COLS]
+    cols += [f"CAST(r_{c}.i AS INTEGER) AS {c}__idx" for c in CATEGORICAL_COLS]
+    joins = "\n".join(f"JOIN r_{c} ON p.{c} = r_{c}.k" for c in CATEGORICAL_COLS)
+    return (f",\np AS ({duckdb_prepared_select()}),\n{ranks}\n"
+            f"SELECT p.SK_ID_CURR, {', '.join(cols)}\nFROM p\n{joins}")
+
 
 def _apps(body: str, **kw) -> str:
     return _APPS + "\n" + body.format(rate=_RATE, **kw)
@@ -347,6 +429,20 @@ def oracle_sql() -> dict[str, str]:
         "enquiry_band": _apps(_ENQUIRY),
         "contract_realty": _apps(_CONTRACT_GROUPS),
         "family_children": _apps(_FAMILY_GROUPS),
+        "family_children_filtered": _apps(_FAMILY_GROUPS.replace(
+            "FROM applications", "FROM applications WHERE AMT_CREDIT >= 460000")),
+        "contract_realty_matrix_all": "WITH " + duckdb_unusual_cte() + _CONTRACT_CELLS,
+        "family_children_matrix_all": "WITH " + duckdb_unusual_cte() + _FAMILY_CELLS,
+        "base_analyses": _apps(_BASE_ANALYSES),
+        "csv_applications": _APPS + "\nSELECT *, 0 AS _rejected FROM applications",
+        "csv_applicants": _APPS + "\nSELECT * EXCLUDE (TARGET), 0 AS _rejected FROM applications",
+        "preprocess_features": _APPS + _preprocess(),
+        "client_lookup_batch": _apps(_LOOKUP_BATCH),
+        "fit_check": _apps(_FIT_CHECK),
+        "score_fixed_model": _APPS + _FIXED_MODEL,
+        "score_response": _SCORED + f"\nSELECT {report} FROM scored",
+        "format_unusual_clients": "WITH " + duckdb_scored_ctes(duckdb_unusual_cte())
+            + _FORMAT.format(report=report),
         "weekday": _apps(_WEEKDAY),
         "cohort_report": _APPS + _REPORT.format(rate=_RATE),
         "age_band_records": _APPS + ",\nab AS (" + _AGE.format(rate=_RATE) + ")\n"
@@ -369,5 +465,6 @@ def oracle_sql() -> dict[str, str]:
         "risk_level_summary": _SCORED + "\n" + _SUMMARY.format(level=_LEVEL),
         "feedback": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK,
         "feedback_json": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK_JSON,
+        "feedback_malformed": "WITH " + duckdb_bodies_cte() + "\n" + _MALFORMED,
         "feedback_stream": "WITH " + duckdb_feedback_cte() + "\n" + _FEEDBACK_JSON,
     }

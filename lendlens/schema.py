@@ -39,13 +39,6 @@ BUREAU_COLS = (
     "AMT_REQ_CREDIT_BUREAU_QRT", "AMT_REQ_CREDIT_BUREAU_YEAR",
 )
 
-# Columns carried into the client report after scoring, in report order.
-REPORT_COLS = (
-    "SK_ID_CURR", "CODE_GENDER", "CNT_CHILDREN", "AMT_INCOME_TOTAL",
-    "AMT_CREDIT", "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE",
-    "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE", "DAYS_BIRTH",
-    "DAYS_EMPLOYED", "risk_score", "prediction",
-)
 # ---------------------------------------------------------------------------
 
 # Storage types of the numeric columns; integer day offsets and counts stay
@@ -71,9 +64,3 @@ def application_schema(with_label: bool = True) -> T.StructType:
 
 APPLICATION_SCHEMA = application_schema(True)
 APPLICANT_SCHEMA = application_schema(False)
-
-FEEDBACK_SCHEMA = T.StructType([
-    T.StructField("message", T.StringType(), True),
-    T.StructField("custom_dimensions", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("is_positive", T.BooleanType(), True),
-])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import (BUREAU_COLS, CATEGORICAL_COLS, FLAG_COLS, ID_COL,
                       NUMERIC_COLS)
-from .readers import spread
+from . import readers
 
 # --- Fixed values: fixture column expressions (see FIXTURES.md) -------------
 # name -> SQL expression over ``orders o JOIN customer c``; ``{weekday}`` is
@@ -83,9 +83,36 @@ _PREDICTION_EXPR = "CASE WHEN risk_score>=5e-1 THEN 1e0 ELSE 0e0 END"
 # Identity records exist for every application except one in ten.
 _IDENTITY_KEEP = "o.o_orderkey%10<>0"
 
+# The portfolio with values outside the usual ones: statuses, flags and codes
+# nobody listed, nulls, and tenures above 100 years.
+_UNUSUAL_EXPRS = {
+    "NAME_FAMILY_STATUS": "CASE WHEN SK_ID_CURR%23=0 THEN 'Unknown' WHEN SK_ID_CURR%29=0 THEN NULL ELSE NAME_FAMILY_STATUS END",
+    "FLAG_OWN_REALTY": "CASE WHEN SK_ID_CURR%19=0 THEN 'X' WHEN SK_ID_CURR%31=0 THEN NULL ELSE FLAG_OWN_REALTY END",
+    "DAYS_EMPLOYED": "CASE WHEN SK_ID_CURR%17=0 THEN CAST(-36600-(SK_ID_CURR%9000) AS INT) ELSE DAYS_EMPLOYED END",
+    "CODE_GENDER": "CASE WHEN SK_ID_CURR%13=0 THEN 'XNA' ELSE CODE_GENDER END",
+    "NAME_INCOME_TYPE": "CASE WHEN SK_ID_CURR%11=0 THEN 'Student' WHEN SK_ID_CURR%37=0 THEN 'Entrepreneur' ELSE NAME_INCOME_TYPE END",
+    "NAME_EDUCATION_TYPE": "CASE WHEN SK_ID_CURR%41=0 THEN 'Academic degree' WHEN SK_ID_CURR%43=0 THEN 'None' ELSE NAME_EDUCATION_TYPE END",
+    "NAME_HOUSING_TYPE": "CASE WHEN SK_ID_CURR%47=0 THEN 'Co-op apartment' WHEN SK_ID_CURR%53=0 THEN 'Office apartment' WHEN SK_ID_CURR%59=0 THEN 'Boat' ELSE NAME_HOUSING_TYPE END",
+    "WEEKDAY_APPR_PROCESS_START": "CASE WHEN SK_ID_CURR%61=0 THEN NULL ELSE WEEKDAY_APPR_PROCESS_START END",
+}
+
 # Ids asked for by the lookup example: five present at every scale, one absent.
 REQUESTED_IDS = (0, 1, 7, 97, 1499, -1)
 
+# Feedback bodies as people send them: broken lines, absent keys, nulls and
+# flags that aren't booleans. ``{id}`` and ``{type}`` are put in per dialect.
+_RAW_BODY = (
+    "CASE WHEN event_id%11=0 THEN '{{not json' WHEN event_id%13=0 THEN '[1]' WHEN event_id%17=0 THEN '' "
+    "WHEN event_id%19=0 THEN '{{}}' ELSE "
+    "concat('{{\"event_id\": ', {id}, CASE WHEN event_id%3=0 THEN '' WHEN event_id%7=0 THEN ', \"message\": null' "
+    "ELSE concat(', \"message\": \"', event_type, '\"') END, CASE event_id%16 WHEN 0 THEN '' "
+    "WHEN 1 THEN ', \"is_positive\": 1' WHEN 2 THEN ', \"is_positive\": 0' WHEN 3 THEN ', \"is_positive\": \"false\"' "
+    "WHEN 4 THEN ', \"is_positive\": \"\"' WHEN 5 THEN ', \"is_positive\": null' WHEN 6 THEN ', \"is_positive\": []' "
+    "WHEN 7 THEN ', \"is_positive\": [0]' WHEN 8 THEN ', \"is_positive\": {{}}' WHEN 9 THEN ', \"is_positive\": 0.0' "
+    "WHEN 10 THEN ', \"is_positive\": -2.5' WHEN 11 THEN ', \"is_positive\": false' WHEN 12 THEN ', \"is_positive\": \"0\"' "
+    "ELSE ', \"is_positive\": true' END, '}}') END"
+)
+
 # Feedback records derived from ``events``.
 _FEEDBACK_EXPRS = (
     ("event_id", "event_id"),
@@ -116,58 +143,74 @@ _TABLE_SCHEMAS = {
 }
 
 
-# Keys of the fact tables, used when a coarse scan is spread over the cores.
-_FACT_KEYS = {"orders": "o_orderkey", "events": "event_id"}
-
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table."""
+    return spark.read.schema(_TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-def _table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
-    """One driver table. With ``spread_scan`` a fact table whose scan is
-    coarser than the cluster is hash-partitioned by its key (checked on the
-    raw scan only; a no-op for a large table). Queries doing heavy per-row
-    work set it; light aggregations do not need it."""
-    df = spark.read.schema(_TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, _FACT_KEYS[name]) if spread_scan and name in _FACT_KEYS else df
 
-
-def _orders_customers(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
-    o = _table(spark, sf_dir, "orders", spread_scan).alias("o")
+def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders").alias("o")
     c = _table(spark, sf_dir, "customer").alias("c")
     return o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
 
 
-def applications(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled portfolio (44 columns), one row per order."""
-    return _orders_customers(spark, sf_dir, spread_scan).selectExpr(*application_exprs("spark"))
+    return _orders_customers(spark, sf_dir).selectExpr(*application_exprs("spark"))
 
 
-def applicants(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring input: the same rows without ``TARGET``."""
-    return _orders_customers(spark, sf_dir, spread_scan).selectExpr(
+    return _orders_customers(spark, sf_dir).selectExpr(
         *application_exprs("spark", with_label=False))
 
 
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identity records (id, name, photo) with one in ten applicants missing."""
-    return (_orders_customers(spark, sf_dir)
-            .where(_IDENTITY_KEEP)
-            .selectExpr("o.o_orderkey AS SK_ID_CURR", "c.c_name AS client_name",
-                        "CAST(NULL AS STRING) AS photo_url"))
+    known = _orders_customers(spark, sf_dir).where(_IDENTITY_KEEP)
+    return readers.identities(known.select("o_orderkey", "c_name"), "o_orderkey", "c_name")
 
 
-def feedback_records(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+def feedback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feedback bodies as typed records; ``custom_dimensions`` parsed from
     the JSON ``props`` text."""
-    ev = _table(spark, sf_dir, "events", spread_scan)
+    ev = _table(spark, sf_dir, "events")
     return ev.selectExpr(
         *[f"{e} AS {n}" for n, e in _FEEDBACK_EXPRS],
         "from_json(props, 'map<string,string>') AS custom_dimensions")
 
 
-def scored(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+def feedback_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feedback lines as text, broken ones included: (event_id, value)."""
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"{_RAW_BODY.format(id='CAST(event_id AS STRING)')} AS value")
+
+
+def unusual_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The portfolio with unlisted and missing values."""
+    apps = applications(spark, sf_dir)
+    return apps.selectExpr(*[f"{_UNUSUAL_EXPRS[c]} AS {c}" if c in _UNUSUAL_EXPRS else c for c in apps.columns])
+
+
+def requested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of ids to look up, some of which have no application."""
+    return _table(spark, sf_dir, "customer").selectExpr("c_custkey*3 AS SK_ID_CURR")
+
+
+def unusual_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored view over unlisted and missing values."""
+    return _scored(unusual_applications(spark, sf_dir))
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared applicants with a deterministic stand-in ``risk_score`` and
     ``prediction``, so decision rules can be checked without a model."""
+    return _scored(applications(spark, sf_dir))
+
+
+def _scored(apps: DataFrame) -> DataFrame:
     from ..operators.scoring import prepare_features
-    base = prepare_features(applications(spark, sf_dir, spread_scan))
+    base = prepare_features(apps)
     return (base.selectExpr("*", f"{_RISK_SCORE_EXPR} AS risk_score")
                 .selectExpr("*", f"{_PREDICTION_EXPR} AS prediction"))
 
@@ -191,8 +234,18 @@ def duckdb_prepared_select(source: str = "applications") -> str:
     return f"SELECT {', '.join(parts)} FROM {source}"
 
 
-def duckdb_scored_ctes() -> str:
-    return (duckdb_applications_cte() + ",\n"
+def duckdb_unusual_cte(source: str = "usual", name: str = "applications") -> str:
+    cols = ", ".join(f"{e} AS {n}" for n, e in _UNUSUAL_EXPRS.items())
+    return duckdb_applications_cte(source) + f",\n{name} AS (SELECT * REPLACE ({cols}) FROM {source})"
+
+
+def duckdb_bodies_cte(name: str = "bodies") -> str:
+    body = _RAW_BODY.format(id="CAST(event_id AS VARCHAR)")
+    return f"{name} AS (SELECT event_id, event_type, {body} AS value FROM events)"
+
+
+def duckdb_scored_ctes(apps: str | None = None) -> str:
+    return ((apps or duckdb_applications_cte()) + ",\n"
             f"prepared AS ({duckdb_prepared_select()}),\n"
             f"scored0 AS (SELECT *, {_RISK_SCORE_EXPR} AS risk_score FROM prepared),\n"
             f"scored AS (SELECT *, {_PREDICTION_EXPR} AS prediction FROM scored0)")

@@ -7,64 +7,71 @@ is the default at scale: filters and column selection reach the scan.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import APPLICANT_SCHEMA, APPLICATION_SCHEMA, ID_COL
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a scan that is coarser than the cluster.
+REJECTED = "_rejected"
 
-    A source of few, large, unsplittable files (one parquet row group, one
-    gzip CSV) scans as fewer tasks than there are cores, and every row-level
-    step before the first shuffle then runs on that many cores only. When
-    the scan has fewer partitions than ``defaultParallelism`` it is
-    hash-partitioned by ``keys`` (deterministic placement, safe to retry);
-    otherwise -- the normal case for a large table -- it is returned as is
-    and no shuffle is added. Streams are returned as they are.
 
-    Apply it to a source scan only: counting partitions plans the DataFrame,
-    and for a plan with joins or aggregations adaptive execution would run
-    its shuffle stages just to answer.
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A CSV value as ``kind``; null when it can't be read. Whole numbers
+    written as decimals (``1.0``, ``-9000.0``, as data frames with gaps write
+    integer columns) are integers."""
+    if not isinstance(kind, T.IntegralType):
+        return text.try_cast(kind)
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast(kind),
+                      F.when(number == F.floor(number), number.cast("decimal(38,0)").try_cast(kind)))
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, rejected: bool) -> DataFrame:
+    """CSV with a header: columns are taken by name (an application file has
+    its own column order and many more columns), read as text and typed.
+
+    All files of a folder must have the first file's header; another one
+    fails the read instead of shifting values. A missing column is a typed
+    null. A value that can't be read is null, and ``rejected`` adds the number
+    of such values per row as ``_rejected``; in a column that can't be null
+    (the client id) it fails the read. No schema-inference pass is made.
     """
-    if df.isStreaming:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def _read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """CSV with a header: columns are matched by name, not position (an
-    application file has its own column order and many more columns), read
-    as text and cast to the schema type. A malformed value becomes null, a
-    missing column a typed null. No schema-inference pass is made."""
-    raw = spark.read.option("header", "true").csv(path)
-    present = set(raw.columns)
-    return raw.select(*[
-        (F.col(f.name).try_cast(f.dataType) if f.name in present
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields])
-
-
-def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
+    raw = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
+    out, bad = [], F.lit(0)
+    for f in schema.fields:
+        if f.name not in raw.columns:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        text = F.col(f"`{f.name}`")
+        value = _typed(text, f.dataType)
+        if not f.nullable:
+            unreadable = F.concat(F.lit(f"unreadable {f.name}: "), F.coalesce(text, F.lit("(empty)")))
+            value = F.coalesce(value, F.raise_error(unreadable).cast(f.dataType))
+        bad = bad + F.when(value.isNull() & (F.trim(text) != ""), 1).otherwise(0)
+        out.append(value.alias(f.name))
+    return raw.select(*out, bad.alias(REJECTED)) if rejected else raw.select(*out)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, rejected: bool) -> DataFrame:
     if fmt == "csv":
-        df = _read_csv(spark, path, schema)
-    else:
-        df = spark.read.schema(schema).format(fmt).load(path)
-    return spread(df, ID_COL)
+        return _read_csv(spark, path, schema, rejected)
+    df = spark.read.schema(schema).format(fmt).load(path)
+    return df.withColumn(REJECTED, F.lit(0)) if rejected else df
 
 
-def read_applications(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Labelled loan applications (44 columns)."""
-    return _read(spark, path, APPLICATION_SCHEMA, fmt)
+def read_applications(spark: SparkSession, path: str, fmt: str = "parquet",
+                      rejected: bool = False) -> DataFrame:
+    """Labelled loan applications (44 columns), with ``rejected`` the number
+    of values of a row that couldn't be read (CSV)."""
+    return _read(spark, path, APPLICATION_SCHEMA, fmt, rejected)
 
 
-def read_applicants(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_applicants(spark: SparkSession, path: str, fmt: str = "parquet",
+                    rejected: bool = False) -> DataFrame:
     """Applications to score; ``TARGET`` is optional and ignored."""
-    return _read(spark, path, APPLICANT_SCHEMA, fmt)
+    return _read(spark, path, APPLICANT_SCHEMA, fmt, rejected)
 
 
 def identities(df: DataFrame, id_col: str = ID_COL, name_col: str = "client_name",

@@ -170,3 +170,24 @@ def test_dataviz_entry_point(spark, sf_dir):
     direct = cohorts.analyse(apps, 6, min_credit=100000, max_credit=400000)
     assert sorted(map(tuple, result.collect()), key=_nulls_first) == \
         sorted(map(tuple, direct.collect()), key=_nulls_first)
+
+
+def test_matrices_keep_unlisted_labels(spark, sf_dir):
+    rows = [(f"c{i}", s, k, f, 1 if f == "X" else 0) for i, (s, k, f) in enumerate(
+        [("Unknown", 0, "X")] * 60 + [(None, 1, None)] * 60 + [("Married", 1, "Y")] * 60)]
+    df = spark.createDataFrame(rows, "id string, NAME_FAMILY_STATUS string, CNT_CHILDREN int, "
+                                     "FLAG_OWN_REALTY string, TARGET int")
+    df = df.selectExpr("*", "1e0 AS AMT_CREDIT", "1e0 AS AMT_INCOME_TOTAL", "'Cash loans' AS NAME_CONTRACT_TYPE")
+    family = cohorts.family_children_matrix(df)
+    assert {tuple(r) for r in cohorts.matrix_cells(family).collect()} == {
+        (0, "Unknown", 100.0), (1, "(null)", 0.0), (1, "Married", 0.0)}
+    realty = cohorts.contract_realty_matrix(df)
+    assert {tuple(r) for r in cohorts.matrix_cells(realty).collect()} == {
+        ("Cash loans", "X", 100.0), ("Cash loans", "(null)", 0.0), ("Cash loans", "Propriétaire", 0.0)}
+
+
+def test_unknown_weekday_fails_analysis_and_report_alike(spark, sf_dir):
+    apps = fx.applications(spark, sf_dir).withColumn("WEEKDAY_APPR_PROCESS_START", F.lit("Someday"))
+    for result in (cohorts.analyse(apps, 8), cohorts.cohort_report(apps)):
+        with pytest.raises(Exception, match="unknown weekday"):
+            result.collect()

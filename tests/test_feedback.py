@@ -5,6 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from lendlens.sources import fixtures as fx
 from lendlens.streaming import feedback
 
@@ -41,6 +43,27 @@ def test_parse_defaults_and_nulls(spark, tmp_path):
     assert odd["level"] == "INFO" and odd["custom_dimensions"] is None
 
 
+def test_lines_that_are_no_feedback_are_kept_apart(spark, tmp_path):
+    src = str(tmp_path / "broken")
+    _write_lines(src, "a.json", ["{not json", "[1]", '"text"', "7", "null", '{"message": "fine"}'])
+    rows = feedback.read_feedback(spark, src).collect()
+    broken = [r for r in rows if r["malformed"]]
+    assert {r["_corrupt_record"] for r in broken} == {"{not json", "[1]", '"text"', "7", "null"}
+    assert {(r["level"], r["message"], r["is_positive"], r["custom_dimensions"]) for r in broken} == {
+        ("MALFORMED", None, None, None)}
+
+
+@pytest.mark.parametrize("flag,positive", [
+    ("true", True), ("false", False), ("null", False), ("0", False), ("0.0", False), ("-0.0", False),
+    ("1", True), ("-2.5", True), ('""', False), ('"false"', True), ('"0"', True), ("[]", False),
+    ("[0]", True), ("{}", False), ('{"a": null}', True)])
+def test_flags_count_by_their_truth(spark, tmp_path, flag, positive):
+    src = str(tmp_path / "flags")
+    _write_lines(src, "a.json", ['{"message": "m", "is_positive": %s}' % flag])
+    row = feedback.read_feedback(spark, src, keys=("message",)).first()
+    assert (row["is_positive"], row["level"]) == (positive, "INFO" if positive else "ERROR")
+
+
 def test_table_records(spark, sf_dir):
     norm = feedback.normalise_feedback(fx.feedback_records(spark, sf_dir))
     assert norm.where("message IS NULL OR level IS NULL").count() == 0
@@ -60,9 +83,9 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, sf_dir, tmp_path):
     streamed = spark.read.parquet(out)
     batch = feedback.read_feedback(spark, src)
     cols = ["message", "level", "malformed"]
-    assert sorted(streamed.select(cols).collect()) == sorted(batch.select(cols).collect())
+    assert sorted(map(repr, streamed.select(cols).collect())) == sorted(map(repr, batch.select(cols).collect()))
     assert streamed.where("malformed").count() == 1
-    assert sorted(os.listdir(out)) [:2] == ["_spark_metadata", "level=ERROR"]
+    assert sorted(os.listdir(out)) == ["_spark_metadata", "level=ERROR", "level=INFO", "level=MALFORMED"]
 
     q2 = feedback.write_feedback(feedback.read_feedback(spark, src, streaming=True), out, ck)
     q2.awaitTermination()

@@ -4,9 +4,11 @@ driver entry point."""
 import pytest
 
 import __spark_entry__ as E
+from lendlens.plans import catalog, oracle
 from oracle_compare import compare, duck
 
-SQL = E.oracle_sql()
+SQL = oracle.oracle_sql()
+QUERIES = catalog.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +18,12 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, sf_dir, con, name):
-    assert compare(E.queries()[name](spark, sf_dir), con, SQL[name]) == []
+    assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) == []
 
 
 def test_every_oracle_has_a_query():
-    assert set(SQL) <= set(E.queries())
-    assert set(E.queries()) - set(SQL) == {"fit_risk_model", "score_portfolio"}
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
+    assert set(QUERIES) - set(SQL) == {"fit_risk_model", "score_portfolio"}
 
 
 def test_entry(spark):
@@ -30,9 +32,14 @@ def test_entry(spark):
     assert df.count() == 5
 
 
-@pytest.mark.parametrize("name", ["fit_risk_model", "score_portfolio"])
-def test_model_queries_rows(spark, sf_dir, name):
-    df = E.queries()[name](spark, sf_dir)
+def test_fit_runs_to_convergence(spark, sf_dir):
+    rows = QUERIES["fit_risk_model"](spark, sf_dir).collect()
+    assert [r.position for r in rows] == list(range(len(rows))) and len(rows) > 50
+    assert 0 < rows[0].iterations < 100 and 0 < rows[0].loss < 0.7
+
+
+def test_score_portfolio_rows(spark, sf_dir):
+    df = QUERIES["score_portfolio"](spark, sf_dir)
     assert df.count() == 1500
     assert df.where("risk_score < 0 OR risk_score > 1 OR risk_score IS NULL").count() == 0
 
@@ -46,7 +53,7 @@ def test_results_do_not_depend_on_session_settings(spark, sf_dir, con, name):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        assert compare(E.queries()[name](spark, sf_dir), con, SQL[name]) == []
+        assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) == []
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)

@@ -1,4 +1,6 @@
-"""CSV/parquet readers with the explicit schema, identities, spreading."""
+"""CSV/parquet readers with the explicit schema, identities."""
+
+import pytest
 
 from lendlens.schema import APPLICATION_SCHEMA
 from lendlens.sources import fixtures as fx
@@ -25,12 +27,61 @@ def test_csv_malformed_value_is_null(spark, tmp_path):
     assert got == [(1, 12.5), (2, None)]
 
 
-def test_parquet_reader_and_spread(spark, sf_dir, tmp_path):
+def test_csv_whole_numbers_written_as_decimals(spark, tmp_path):
+    """A gap in an integer column makes data frames write 1.0; a value that
+    can't be read is counted, an empty one isn't."""
+    path = tmp_path / "gaps.csv"
+    path.write_text("SK_ID_CURR,TARGET,DAYS_BIRTH,CNT_CHILDREN,AMT_CREDIT\n"
+                    "1.0,1.0,-9000.0,,1e3\n2,0,-1.5,99999999999,x\n3,,1e2,2,\n")
+    rows = sorted(readers.read_applications(spark, str(path), fmt="csv", rejected=True).collect())
+    got = [(r.SK_ID_CURR, r.TARGET, r.DAYS_BIRTH, r.CNT_CHILDREN, r.AMT_CREDIT, r[readers.REJECTED]) for r in rows]
+    assert got == [(1, 1, -9000, None, 1000.0, 0), (2, 0, None, None, None, 3), (3, None, 100, 2, None, 0)]
+
+
+def test_csv_analysis_of_gappy_integers(spark, tmp_path):
+    from lendlens.operators import cohorts
+    path = tmp_path / "young.csv"
+    path.write_text("SK_ID_CURR,TARGET,DAYS_BIRTH\n" + "".join(f"{i},1.0,-9000.0\n" for i in range(5)))
+    row, = cohorts.analyse(readers.read_applications(spark, str(path), fmt="csv"), 1).collect()
+    assert (row.AGE_GROUP, row.CLIENT_COUNT, row.DEFAULT_RATE) == ("< 25 ans", 5, 100.0)
+
+
+def test_csv_unreadable_id_fails(spark, tmp_path):
+    path = tmp_path / "ids.csv"
+    path.write_text("SK_ID_CURR,AMT_CREDIT\nabc,1\n")
+    with pytest.raises(Exception, match="unreadable SK_ID_CURR: abc"):
+        readers.read_applicants(spark, str(path), fmt="csv").collect()
+
+
+def test_csv_files_of_other_headers_fail(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("SK_ID_CURR,AMT_CREDIT,AMT_INCOME_TOTAL\n1,10,20\n2,11,21\n")
+    (folder / "b.csv").write_text("SK_ID_CURR,AMT_INCOME_TOTAL,AMT_CREDIT\n3,20,10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_applicants(spark, str(folder), fmt="csv").collect()
+
+
+def test_stored_table_is_read_as_it_is(spark, sf_dir, tmp_path):
+    """No shuffle under an analysis but the one of its grouping."""
+    from lendlens.operators import cohorts
     path = str(tmp_path / "apps_pq")
-    fx.applicants(spark, sf_dir).coalesce(1).write.parquet(path)
-    df = readers.read_applicants(spark, path)
-    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    fx.applications(spark, sf_dir).coalesce(1).write.parquet(path)
+    df = readers.read_applications(spark, path)
     assert df.count() == 1500
+    plan = cohorts.analyse(df, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_scratch_folder_goes(spark):
+    import os
+
+    from lendlens.sources.scratch import scratch_folder
+    with scratch_folder(spark, "test-scratch") as uri:
+        spark.range(3).write.parquet(f"{uri}/t")
+        path = uri.removeprefix("file:")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
 
 
 def test_identities_conformed(spark):
@@ -73,16 +124,3 @@ def test_write_result_partitioned(spark, sf_dir, tmp_path):
     assert sorted(d for d in os.listdir(out) if d.startswith("ANALYSIS=")) == \
         [f"ANALYSIS={n}" for n in (1, 3, 4, 5, 6, 7, 8)]
     assert spark.read.parquet(out).count() == cohorts.cohort_report(fx.applications(spark, sf_dir)).count()
-
-
-def test_spread_leaves_parallel_scans_alone(spark, tmp_path):
-    path = str(tmp_path / "many")
-    spark.range(0, 4000, numPartitions=16).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert readers.spread(df, "id") is df          # already >= defaultParallelism tasks
-    one = str(tmp_path / "one")
-    spark.range(0, 4000, numPartitions=1).write.parquet(one)
-    coarse = spark.read.parquet(one)
-    spread = readers.spread(coarse, "id")
-    assert spread is not coarse
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
