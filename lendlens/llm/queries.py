@@ -162,7 +162,54 @@ def _licence_sql() -> str:
         FROM listed LEFT JOIN own USING (path) LEFT JOIN nearest USING (dir)"""
 
 
+_LOWER = f"translate(coalesce(text, ''), '{licences.UPPER}', '{licences.LOWER}')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_superkmer_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        win AS (SELECT doc_id, k, md5(array_to_string(ws[k:k + 34], ' ')) AS s
+                FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS k FROM w)),
+        again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS i FROM win JOIN again USING (s)),
+        words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+                 FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
+    "op8_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        b AS (SELECT item_id, ws, least(10, len(ws)) AS size FROM (SELECT item_id,
+              regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0),
+        bw AS (SELECT DISTINCT item_id, size, array_to_string(ws[k:k + size - 1], ' ') AS s
+               FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS k FROM b)),
+        sizes AS (SELECT DISTINCT size FROM b),
+        dw AS (SELECT doc_id, size, k, array_to_string(ws[k:k + size - 1], ' ') AS s
+               FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS k FROM d, sizes)),
+        hits AS (SELECT doc_id, k, size, item_id FROM dw JOIN bw USING (size, s)),
+        words AS (SELECT doc_id, count(*) AS n FROM (
+                  SELECT DISTINCT doc_id, unnest(range(k, k + size)) AS i FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+                  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
+               coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               words.n IS NOT NULL AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op9_minhash": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        sh AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[k:k + 4], ' ') AS s
+               FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1) + 1))) AS k FROM w)),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM sh x JOIN sh y
+                 ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+        links AS MATERIALIZED (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+                  WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+        reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION
+                  SELECT r.doc_id, CASE WHEN l.a = r.other THEN l.b ELSE l.a END
+                  FROM reach r JOIN links l ON l.a = r.other OR l.b = r.other),
+        c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)""",
     "op3_licence_scan": _licence_sql(),
     "op4_warc_revisits": """
         WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h,
