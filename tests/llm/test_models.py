@@ -1,0 +1,194 @@
+"""Personal data and quality: exact base spans, held-out accuracy, edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lendlens.llm import _trees, pii, quality
+
+from .texts import awkward, prose
+
+
+# -- personal data
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def brute_spans(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(d) <= 19 and luhn(d):
+            found.append((m.start(), 2, m.end()))
+    found += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+              if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(found)
+
+
+TOKENS = st.sampled_from(["a", "Z", "é", "@", ".", "-", "_", "%", "+", " ", "1", "23", "255", "256", "0", "(", ")",
+                          "4111 1111 1111 1111", "x@y.zz", "1.2.3.4", "+1 (337) 555-7349", "\n", "٣", "😀", "a.b-c"])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(TOKENS, max_size=20).map("".join))
+def test_base_spans_equal_the_formats(text):
+    got = sorted((s, k, e) for k, s, e, ok in pii.matches(text) if ok)
+    assert got == brute_spans(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "1." * 100_000, "@" * 100_000,
+                                  "a@" * 50_000, "+1" * 50_000, "1 " * 100_000, "a.b@c" * 30_000,
+                                  "[at]" * 20_000, "(at) " * 20_000, "token=" * 20_000, "x1-" * 60_000])
+def test_long_texts_take_linear_time(text):
+    found = list(pii.matches(text))
+    pii.proposals(text, found)
+
+
+def private(seed, n=400):
+    rng = random.Random(seed)
+    words = prose(rng, 400).split()
+    rows = awkward(seed)
+    for i in range(100, 100 + n):
+        secret = f'token = "{rng.randbytes(20).hex()}"'
+        card = "".join(str(rng.randrange(10)) for _ in range(15))
+        card += next(c for c in "0123456789" if luhn(card + c))
+        wrong = card[:-1] + str((int(card[-1]) + 3) % 10)
+        what = rng.choice([secret, secret, card, wrong, "ab.1@mail.example.com", "1.2.3.4", "1.2.3.400",
+                           "+1 (337) 555-7349", "12 34 56", "0123", "name (at) site dot org"])
+        at = rng.randrange(len(words))
+        rows.append((i, " ".join(words[at:at + 8] + [what] + words[:5])))
+    return rows
+
+
+def test_spans_and_digest(make_docs):
+    rows = private(3)
+    spotted = pii.spot(make_docs(rows)).cache()
+    judge = pii.fit(spotted)
+    got = sorted(pii.judged(spotted, judge).collect(), key=lambda r: (r.doc_id is not None, r.doc_id, r.base_sha256))
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(t)
+    for r in got:
+        base = brute_spans(texts[r.doc_id][0])
+        written = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(written).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, k, _ in base) for n in range(4)]
+        assert set(written) <= set(r.spans.split(",")) if written else True
+    assert len(got) == len(rows)
+    # secrets are added; cards that fail their check, versions and plain numbers aren't
+    by_id = {r.doc_id: r for r in got}
+    for i, t in rows:
+        if t and 'token = "' in t:
+            assert "secret:" in by_id[i].spans
+        elif t and i and i >= 100 and not brute_spans(t) and "(at)" not in t:
+            assert by_id[i].spans == "", t
+
+
+def test_redaction_and_pass_through(make_docs, spark):
+    df = make_docs([(1, "mail ab@c.de, card 4111 1111 1111 1111!"), (2, None), (3, "")])
+    out = pii.redact(df, pii.Judge(None, np.ones(5)))
+    assert out.columns == df.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "mail [EMAIL], card [CARD]!", 2: None, 3: ""}
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "nothing to see")], [(1, "x@y.zz")] * 3])
+def test_few_proposals_leave_base_spans(make_docs, rows):
+    spotted = pii.spot(make_docs(rows))
+    got = pii.judged(spotted, pii.fit(spotted)).collect()
+    assert sorted(r.spans for r in got) == sorted("email:0:6" if t == "x@y.zz" else "" for _, t in rows)
+
+
+def test_overlapping_proposals_keep_the_likelier():
+    trees = _trees.BoostedTrees(0.0, np.zeros((1, 1), int), np.array([[0.5]]), np.array([[1.0, 3.0]]))
+    judge = pii.Judge(trees, np.full(5, 0.6))
+    low = {"kind": 4, "start": 0, "end": 9, "x": [0.0]}
+    high = {"kind": 3, "start": 5, "end": 12, "x": [1.0]}
+    base = [{"kind": 1, "start": 12, "end": 20}]
+    assert judge.select(base, [low, high]) == [(5, 3, 12), (12, 1, 20)]
+
+
+def test_trees_learn_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.random((4000, 5))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 3] > 0.3)).astype(float)
+    trees = _trees.fit(x[:3000], y[:3000])
+    assert ((trees.probability(x[3000:]) > 0.5) == y[3000:]).mean() > 0.95
+
+
+# -- quality
+
+def graded(seed, n):
+    """Prose, and three kinds of junk."""
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        good = rng.random() < 0.7
+        words = prose(rng, rng.randint(30, 200)).split()
+        if not good:
+            kind = rng.randrange(3)
+            words = ([w.upper() + "!!" for w in words] if kind == 0 else
+                     [words[0]] * len(words) if kind == 1 else [w + rng.choice(["%%%", " |", "&&&"]) for w in words])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(good), 0))
+    return rows, labels
+
+
+def test_quality_separates_held_out_documents(make_docs, spark):
+    rows, known = graded(5, 600)
+    labels = spark.createDataFrame(known + [(2, None, 1), (3, 7, 0), (99_999, 0, 0)], "doc_id long, quality int, toxic int")
+    described = quality.describe(make_docs(rows + awkward(5)[:4]))
+    model = quality.fit(described, labels)
+    got = {r.doc_id: r.score for r in quality.score(described, model).collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0 and i > 20]
+    right = [(got[i] >= quality.THRESHOLD) == bool(known[i][1]) for i in held]
+    assert np.mean(right) >= 0.97 and all(0 <= s <= 1 for s in got.values())
+
+
+def test_labels_of_held_out_documents_are_never_learnt_from(make_docs, spark):
+    rows, known = graded(6, 200)
+    described = quality.describe(make_docs(rows)).cache()
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in known]
+    models = [quality.fit(described, spark.createDataFrame(x, "doc_id long, quality int, toxic int"))
+              for x in (known, flipped)]
+    assert np.allclose(models[0].means, models[1].means, rtol=1e-9)
+    assert abs(models[0].slope - models[1].slope) < 1e-6
+
+
+@pytest.mark.parametrize("labels,score", [([], 1.0), ([(1, 1, 0), (2, 1, 0)], 1.0), ([(1, 0, 0)], 0.0)])
+def test_one_class_or_none(make_docs, spark, labels, score):
+    described = quality.describe(make_docs([(1, "a b"), (2, None), (3, "c")]))
+    model = quality.fit(described, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert [r.score for r in quality.score(described, model).collect()] == [score] * 3
+
+
+def test_keep_good_equals_scores(make_docs, spark):
+    rows, known = graded(7, 300)
+    df = make_docs(rows)
+    described = quality.describe(df)
+    model = quality.fit(described, spark.createDataFrame(known, "doc_id long, quality int, toxic int"))
+    kept = quality.keep_good(df, model)
+    assert kept.columns == df.columns
+    good = {r.doc_id for r in quality.score(described, model).collect() if r.score >= quality.THRESHOLD}
+    assert {r.doc_id for r in kept.collect()} == good
+    assert quality.keep_good(make_docs([]), model).count() == 0
+
+
+def test_statistics_do_not_depend_on_the_block(make_docs):
+    from lendlens.llm import _bytes as B
+    import pyarrow as pa
+    texts = pa.array([t for _, t in awkward(8)], pa.string())
+    whole = np.concatenate([quality.statistics(d, o) for _, _, d, o in B.blocks(texts)])
+    single = np.concatenate([quality.statistics(d, o) for _, _, d, o in B.blocks(texts, limit=1)])
+    assert np.allclose(whole, single) and np.isfinite(whole).all()
