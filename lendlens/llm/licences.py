@@ -27,6 +27,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import _shared as S
+
 THRESHOLD = 0.6
 
 # Licence statements and the opening words of licence files.
@@ -124,7 +126,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     path = F.coalesce(F.col(path_col), F.lit(""))
     kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     files = files.select(*kept, path.alias("path"), F.col(text_col).alias("text"))
-    own = own_licences(files, threshold, templates)
+    own = S.materialised(own_licences(files, threshold, templates), "own-licences")  # used twice
     named = F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE)
     first = F.min(F.struct((-F.col("cosine")).alias("least"), "path", "licence"))
     declared = (own.where(named).groupBy(_directory(F.col("path")).alias("prefix")).agg(first.alias("f"))
