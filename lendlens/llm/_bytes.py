@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 3 << 20  # text bytes worked on at once (one longer text is a block of its own)
+BLOCK_BYTES = 1 << 20  # text bytes worked on at once (one longer text is a block of its own)
 
 _P = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -66,6 +66,7 @@ def blocks(array: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES
         end = min(max(end, first + 1), n)
         yield first, end, data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         first = end
+    pa.default_memory_pool().release_unused()
 
 
 def table(separators: bytes, lower: bool) -> np.ndarray:

@@ -231,20 +231,36 @@ def find_hits(df: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
     """``df`` with a column ``hits``: n_words, hit spans (word and byte
     positions, merged) and the ids of the items that occur. A column of that
     name in ``df`` is replaced."""
+    return _pass(df, items, text_col, item_id_col, item_text_col, window, item_words, lambda rows: rows)
+
+
+def _pass(df, items, text_col, item_id_col, item_text_col, window, item_words, finish) -> DataFrame:
+    """Scan with every block of items, then ``finish`` the Arrow batches (in
+    the same Python pass where one block holds all items)."""
     out = df.drop("hits")
     text_at = out.columns.index(text_col)
     spark = df.sparkSession
-    for n, block in enumerate(_item_blocks(items, item_id_col, item_text_col, item_words)):
+    blocks = _item_blocks(items, item_id_col, item_text_col, item_words)
+    block, n = next(blocks), 0
+    while block is not None:
+        following = next(blocks, None)
         automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+        alone = n == 0 and following is None
         source = out if n == 0 else S.materialised(out, "decontaminate").withColumnRenamed("hits", "earlier")
         schema = t.StructType([*source.schema.fields, t.StructField("hits", _HITS)])
-        out = source.mapInArrow(lambda it, auto=automaton: _scan(it, auto.value, text_at), schema)
+
+        def scan(rows, auto=automaton, last=alone):
+            found = _scan(rows, auto.value, text_at)
+            return finish(found) if last else found
+
+        out = source.mapInArrow(scan, schema)
         if n:
             out = out.withColumn("hits", F.struct(
                 F.col("hits.n_words").alias("n_words"),
                 _merged(F.concat("earlier.spans", "hits.spans")).alias("spans"),
                 F.array_sort(F.array_union("earlier.items", "hits.items")).alias("items"))).drop("earlier")
-    return out
+        block, n = following, n + 1
+    return out if alone else out.mapInArrow(finish, out.schema)
 
 
 def _merged(spans):
@@ -267,29 +283,31 @@ def n_hit():
                        lambda acc, x: acc + x["end_word"] - x["first_word"])
 
 
-def _cut(batches, text_at: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches, text_at: int, max_coverage: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hits = batch.column(batch.schema.get_field_index("hits")).field("spans")
-        texts = batch.column(text_at)
-        if pc.max(pc.list_value_length(hits)).as_py():
-            out = texts.to_pylist()
-            for i in np.flatnonzero(pc.list_value_length(hits).to_numpy(zero_copy_only=False)):
-                raw, at, kept = out[i].encode("utf-8"), 0, []
-                for span in hits[int(i)].as_py():
-                    kept.append(raw[at:span["start_byte"]])
-                    at = span["end_byte"]
-                out[i] = b"".join([*kept, raw[at:]]).decode("utf-8")
-            texts = pa.array(out, texts.type)
-        columns = list(batch.columns)
-        columns[text_at] = texts
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-
-def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text",
-                  max_coverage: float = MAX_COVERAGE, **options) -> DataFrame:
+        hits = batch.column(batch.schema.get_field_index("hits"))
+        spans, n_words = hits.field("spans"), hits.field("n_words").to_pylist()
+        columns, texts, keep = list(batch.columns), None, np.ones(batch.num_rows, bool)
+        for i in np.flatnonzero(pc.list_value_length(spans).to_numpy(zero_copy_only=False)).tolist():
+            texts = texts or columns[text_at].to_pylist()
+            own = spans[i].as_py()
+            keep[i] = sum(x["end_word"] - x["first_word"] for x in own) <= max_coverage * n_words[i]
+            raw, at, kept = texts[i].encode("utf-8"), 0, []
+            for span in own:
+                kept.append(raw[at:span["start_byte"]])
+                at = span["end_byte"]
+            texts[i] = b"".join([*kept, raw[at:]]).decode("utf-8")
+        if texts:
+            columns[text_at] = pa.array(texts, columns[text_at].type)
+        out = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+        yield out if keep.all() else out.filter(pa.array(keep))
+
+
+def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+                  item_text_col: str = "text", window: int = WINDOW, item_words: int = ITEM_WORDS,
+                  max_coverage: float = MAX_COVERAGE) -> DataFrame:
     """``df`` with hit spans cut out of the text; documents of whose words
     more than ``max_coverage`` are hit are dropped. Adds ``hits``."""
-    hits = find_hits(df, items, text_col, **options)
-    kept = hits.where(n_hit() <= F.col("hits.n_words") * max_coverage)
-    text_at = kept.columns.index(text_col)
-    return kept.mapInArrow(lambda it: _cut(it, text_at), kept.schema)
+    text_at = df.drop("hits").columns.index(text_col)
+    return _pass(df, items, text_col, item_id_col, item_text_col, window, item_words,
+                 lambda rows: _cut(rows, text_at, max_coverage))
