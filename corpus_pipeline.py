@@ -24,13 +24,15 @@ def keep_quality(spark, docs, sf_dir):
     docs = docs.select(*COLUMNS)
     described = _shared.materialised(quality.describe(docs), "quality-statistics")
     model = quality.fit(described, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    _shared.forget(described)
     return quality.keep_good(docs, model)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """One document of each near-duplicate group: the one with the smallest id."""
     docs = docs.select(*COLUMNS)
-    others = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    others = _shared.tidy(spark, "near-duplicates", lambda: (
+        minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()))
     # rows that repeat an id are one document
     named = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return named.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
@@ -45,7 +47,9 @@ def remove_benchmark(spark, docs, sf_dir):
 def redact_personal_data(spark, docs, sf_dir):
     """Personal data replaced by its kind."""
     docs = docs.select(*COLUMNS)
-    judge = pii.fit(_shared.materialised(pii.spot(docs), "pii-spotted"))
+    spotted = _shared.materialised(pii.spot(docs), "pii-spotted")
+    judge = pii.fit(spotted)
+    _shared.forget(spotted)
     return _columns(pii.redact(docs, judge))
 
 
@@ -64,11 +68,16 @@ STAGES = [
 
 
 def run(spark, sf_dir):
-    """All stages over documents, each written as Parquet and read again."""
+    """All stages over documents, each written as Parquet and read again; a
+    stage's output goes once the next is written."""
+    before = None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = _shared.materialised(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before is not None:
+            _shared.forget(before)
+        before = docs
+    return docs
 
 
 # The quality model, the MinHash index and the tokenizer have no SQL form.

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """URI of a new folder under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """URI of a new folder under the shared checkpoint folder (inside
+    ``tidy``: under its scratch folder)."""
+    base = _scratch.get() or ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -31,6 +38,27 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the table that ``materialised`` wrote for ``df``; nothing that
+    reads it may run any more."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        remove(folder)
+
+
+def tidy(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write the result of ``build`` as a table and read it back; the tables
+    and files that ``build`` wrote under the shared folder are removed."""
+    result, scratch = shared_folder(spark, name), shared_folder(spark, f"{name}-scratch")
+    token = _scratch.set(scratch)
+    try:
+        df = build()
+        df.write.parquet(result)
+        return spark.read.schema(df.schema).parquet(result)
+    finally:
+        _scratch.reset(token)
+        remove(scratch)
+
+
 @contextmanager
 def committed(filesystem_: fs.FileSystem, path: str):
     """A file that appears under ``path`` only when complete: each attempt of

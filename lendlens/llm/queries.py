@@ -12,18 +12,26 @@ from . import arrow_tokens, decontaminate, embedding_dedup, licences, minhash, p
 def op1_pii_boosting(spark, sf_dir):
     """Personal data in every document: base spans, and those the trees add."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    spotted = S.materialised(pii.spot(docs), "pii-spotted")
-    return pii.judged(spotted, pii.fit(spotted))
+
+    def build():
+        spotted = S.materialised(pii.spot(docs), "pii-spotted")
+        return pii.judged(spotted, pii.fit(spotted))
+
+    return S.tidy(spark, "pii", build)
 
 
 def op2_quality_qda(spark, sf_dir):
     """Quality score of every document; labels of a fifth of the ids are never learnt from."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    described = S.materialised(quality.describe(docs), "quality-statistics")
-    model = quality.fit(described, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(described, model).select(
-        "doc_id", quality.held_out().alias("held_out"), "score",
-        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+    def build():
+        described = S.materialised(quality.describe(docs), "quality-statistics")
+        model = quality.fit(described, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+        return quality.score(described, model).select(
+            "doc_id", quality.held_out().alias("held_out"), "score",
+            (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+    return S.tidy(spark, "quality", build)
 
 
 def _as_files(docs):
@@ -41,18 +49,19 @@ def _as_files(docs):
 def op3_licence_scan(spark, sf_dir):
     """Licence of every document in a file tree of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return licences.scan(_as_files(docs), keep=("doc_id",))
+    return S.tidy(spark, "licences", lambda: licences.scan(_as_files(docs), keep=("doc_id",)))
 
 
 def op4_warc_revisits(spark, sf_dir):
     """Every page as a WARC record, repeated payloads as revisits, read back.
     The archives go once their digests are written."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    uri = S.shared_folder(spark, "warc")
-    manifest = warc.write_archives(pages, uri)
-    out = S.materialised(warc.read_archives(manifest, with_payload=False).drop("url"), "warc-digests")
-    S.remove(uri)
-    return out
+
+    def build():
+        manifest = warc.write_archives(pages, S.shared_folder(spark, "warc"))
+        return warc.read_archives(manifest, with_payload=False).drop("url")
+
+    return S.tidy(spark, "warc", build)
 
 
 def op5_superkmer_dedup(spark, sf_dir):
@@ -64,7 +73,8 @@ def op5_superkmer_dedup(spark, sf_dir):
 
 def op6_pivot_embeddings(spark, sf_dir):
     """Near-duplicate classes of all embeddings of equal label."""
-    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return S.tidy(spark, "embeddings", lambda: embedding_dedup.near_duplicates(vectors))
 
 
 def op7_packing(spark, sf_dir):
@@ -88,18 +98,20 @@ def op8_decontaminate(spark, sf_dir):
 
 def op9_minhash(spark, sf_dir):
     """Near-duplicate classes of all documents."""
-    return minhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return S.tidy(spark, "minhash", lambda: minhash.near_duplicates(docs))
 
 
 def op10_arrow_tokens(spark, sf_dir):
     """Ids of all documents written as Arrow stream files and read back. The
     files go once their digests are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    uri = S.shared_folder(spark, "arrow-tokens")
-    manifest = arrow_tokens.write_tokens(docs, uri)
-    out = S.materialised(arrow_tokens.read_tokens(spark, uri, manifest), "arrow-digests")
-    S.remove(uri)
-    return out
+
+    def build():
+        uri = S.shared_folder(spark, "arrow-tokens")
+        return arrow_tokens.read_tokens(spark, uri, arrow_tokens.write_tokens(docs, uri))
+
+    return S.tidy(spark, "arrow-tokens", build)
 
 
 QUERIES = {

@@ -229,3 +229,15 @@ def test_pipeline_takes_odd_rows(spark, tmp_path, sf_dir):
     assert {4, 5} <= {p.doc_id for p in pieces} and 6 not in {p.doc_id for p in pieces}
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_scratch_tables_go(spark, sf_dir):
+    from lendlens.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    out = E.queries()["op9_minhash"](spark, sf_dir)
+    left = set(os.listdir(base)) - before
+    assert len(left) == 1 and out.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    table = S.materialised(spark.range(3), "test-forget")
+    S.forget(table)
+    assert not [f for f in set(os.listdir(base)) - before - left if f.startswith("test-forget")]
