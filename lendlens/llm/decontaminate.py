@@ -36,7 +36,7 @@ from . import _shared as S
 
 WINDOW = 10
 MAX_COVERAGE = 0.5  # a document of which more is hit is dropped whole
-ITEM_WORDS = 2_000_000
+ITEM_WORDS = 100_000  # about 150 MB as Python objects in each worker
 _LEVEL = 4  # words matched by table before the automaton is walked
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

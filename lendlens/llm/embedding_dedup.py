@@ -48,7 +48,11 @@ def _pivots(classes: DataFrame, most: int, per_pivot: int) -> dict[int, np.ndarr
     """Unit reference vectors of every vector length: a bounded sample."""
     n = classes.count()
     wanted = min(most, max(MIN_PIVOTS, -(-n // per_pivot)))
-    rows = classes.select(F.xxhash64("rep").alias("h"), "rep", "vector").orderBy("h", "rep").limit(wanted).collect()
+    # thinned by hash to about twice the wanted number in all, so that what
+    # tasks send on is bounded whatever their number
+    part = min(1 << 32, 2 * (wanted + 100) * (1 << 32) // max(n, 1))
+    rows = (classes.select(F.xxhash64("rep").alias("h"), "rep", "vector")
+            .where(F.pmod("h", F.lit(1 << 32)) < part).orderBy("h", "rep").limit(wanted).collect())
     by_size: dict[int, list] = {}
     for r in rows:
         by_size.setdefault(len(r["vector"]), []).append(r["vector"])
