@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from lendlens.plans import catalog  # noqa: E402
 from lendlens.session import local_session  # noqa: E402
 
 SKIP_EXECUTION = {"fit_risk_model", "score_portfolio"}
@@ -27,7 +27,7 @@ SCALE_REVIEW = """## Scale review (1000x the data, one key holding a third of th
 | --- | --- | --- | --- |
 | cohorts A1, A3-A8, risk summary | one, of partial-aggregate rows (groups x map tasks) | `customer` only while under `autoBroadcastJoinThreshold` (planner-checked; a shuffle join beyond it) | a third of the rows in one group is one partial row per map task |
 | `cohort_report` | one for seven analyses (Expand + partial aggregate map-side) | as above | as above |
-| quintile (ntile) | range exchange on the unique `(ratio, id)` key, then the slice-size aggregate | slice-offset table: one row per slice (a parameter) | a third of the rows on one ratio is split across slices by the id |
+| quintile (tiles) | partial sums per ratio bucket; then only rows of the buckets that hold a tile edge, per (ratio, id range) | tile edges: at most k - 1 rows | a third of the rows on one ratio is many id ranges; rows are numbered within one range of at most 2^20 ids |
 | matrices | the cohort shuffle plus one over the grouped rows | as cohorts | as cohorts |
 | lookup, client response | filter `IN` pushed into the scan; join of matching rows only | none hinted; AQE decides on measured sizes | ids are unique |
 | client file | shuffle join report x identities on the client id | none hinted | ids are unique; AQE skew join splits any skewed partition |
@@ -66,9 +66,9 @@ def main() -> None:
     print("# PLANS\n")
     print(f"Physical plans of the registered queries at `{sf_dir}` (local[*], 8 shuffle "
           "partitions), generated by `tools/plan_report.py`. `Scan ExistingRDD` is the "
-          "checkpointed, range-positioned rows of the distributed ntile.\n")
+          "checkpointed result of a query that removes its scratch folder.\n")
     print(SCALE_REVIEW)
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf_dir)
         initial = df._jdf.queryExecution().executedPlan().toString()
         print(f"## {name}\n")
