@@ -83,12 +83,17 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], tie_col: str,
 def ntile_from_rank(rn: str, total: str, k: int) -> Column:
     """Tile (1..k) of the row with 1-based rank column ``rn`` among ``total``
     rows, in exact integer arithmetic."""
+    return F.expr(tile_sql(rn, total, k))
+
+
+def tile_sql(rn: str, total: str, k: int) -> str:
+    """The same as SQL text."""
     q = f"({total} div {k})"                 # rows per small tile
     r = f"({total} % {k})"                   # tiles holding one extra row
     big = f"({r} * ({q} + 1))"               # rows covered by the larger tiles
     # q == 0 only when total < k, and then every row satisfies rn <= big; the
     # divisor is still kept non-zero so no branch can fail under ANSI mode.
-    return F.expr(
+    return (
         f"CAST(CASE WHEN {rn} <= {big} THEN ({rn} - 1) div ({q} + 1) + 1 "
         f"ELSE {r} + ({rn} - {big} - 1) div greatest({q}, 1) + 1 END AS INT)")
 

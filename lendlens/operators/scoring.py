@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import derive as D
 from ..functions.labels import UNKNOWN
-from ..schema import CATEGORICAL_COLS, FLAG_COLS, LABEL_COL, NUMERIC_COLS
+from ..schema import CATEGORICAL_COLS, FLAG_COLS, ID_COL, LABEL_COL, NUMERIC_COLS
 from ..session import checkpoint_dir
 
 FEATURES_COL = "features"
@@ -81,7 +81,7 @@ def preprocessed_columns(df: DataFrame) -> tuple[list[str], list[str]]:
 
 
 def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 100,
-                   reg_param: float = 0.01, tol: float = 1e-6
+                   reg_param: float = 0.01, tol: float = 1e-6, partitions: int | None = None
                    ) -> tuple[PipelineModel, LogisticRegressionModel, str]:
     """Fit the preprocessing pipeline and a logistic regression on a labelled
     portfolio and save both under ``path`` (default: a fresh folder in the
@@ -93,10 +93,13 @@ def fit_risk_model(train: DataFrame, path: str | None = None, max_iter: int = 10
     across partitions (tree aggregation), so no step collects the data.
     The training table, pruned to the model inputs, is persisted
     (memory, spilling to disk) for the duration of the fit only: the
-    pipeline stages and the optimiser pass over it several times. The
-    optimiser runs to convergence; reaching ``max_iter`` first is an error.
+    pipeline stages and the optimiser pass over it several times. With
+    ``partitions`` it is first dealt into that many parts by client id, for a
+    source of few large scan tasks. The optimiser runs to convergence; reaching ``max_iter`` first is an error.
     """
     inputs = [c for c in (*NUMERIC_COLS, *CATEGORICAL_COLS, *FLAG_COLS) if c in train.columns]
+    if partitions:
+        train = train.repartition(partitions, ID_COL)
     prepared = (prepare_features(train.select(*inputs, LABEL_COL))
                 .where(F.col(LABEL_COL).isNotNull())
                 .persist(StorageLevel.MEMORY_AND_DISK))
@@ -124,17 +127,18 @@ def save_risk_model(spark, preprocessor: PipelineModel, model: LogisticRegressio
     return path
 
 
-def fixed_model(train: DataFrame, preprocessor: PipelineModel, coefficients: dict[str, float],
+def fixed_model(df: DataFrame, preprocessor: PipelineModel, coefficients: dict[str, float],
                 intercept: float) -> LogisticRegressionModel:
     """A logistic regression with given coefficients per numeric or flag
-    column (0 for all others): its bounds leave the optimiser one point."""
-    prepared = prepare_features(train).where(F.col(LABEL_COL).isNotNull())
-    rows = preprocessor.transform(prepared).select(
-        F.col(FEATURES_COL), F.col(LABEL_COL).cast("double").alias("label"))
-    names = [c for c in (*NUMERIC_COLS, *FLAG_COLS) if c in train.columns]
-    size = rows.schema[FEATURES_COL].metadata["ml_attr"]["num_attrs"]
+    column of ``df`` (0 for all others). Bounds leave the optimiser one point,
+    so two made-up rows are enough to get a model of the right size."""
+    fields = preprocessor.transform(prepare_features(df)).schema
+    size = fields[FEATURES_COL].metadata["ml_attr"]["num_attrs"]
+    names = [c for c in (*NUMERIC_COLS, *FLAG_COLS) if c in df.columns]
     values = [coefficients.get(c, 0.0) for c in names] + [0.0] * (size - len(names))
     bound, level = Matrices.dense(1, size, values), Vectors.dense([intercept])
+    rows = df.sparkSession.createDataFrame(
+        [(0.0, Vectors.dense([0.0] * size)), (1.0, Vectors.dense([1.0] * size))], ["label", FEATURES_COL])
     return LogisticRegression(
         featuresCol=FEATURES_COL, labelCol="label", maxIter=1, standardization=False,
         lowerBoundsOnCoefficients=bound, upperBoundsOnCoefficients=bound,

@@ -19,20 +19,59 @@ again, share one shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
-from .ntile import ntile_from_rank
+from .ntile import tile_sql
 
 _STEPS = 512       # buckets per doubling of the value
 _OFFSET = 1 << 21  # above |log2| * _STEPS of any double
 _ID_BITS = 20      # ids of a range share all but these bits, so it has at most 2**20
 
 
-def _bucket(value: Column) -> Column:
-    steps = F.floor(F.log2(F.abs(value)) * _STEPS).cast("long")
-    return (F.when(value > 0, steps + _OFFSET).when(value < 0, -steps - _OFFSET)
-             .when(value == 0, F.lit(0).cast("long")))
+_PLAN = """
+WITH base AS (
+  SELECT id, v, a,
+         CASE WHEN v > 0 THEN CAST(floor(log2(abs(v)) * {steps}) AS BIGINT) + {offset}
+              WHEN v < 0 THEN -CAST(floor(log2(abs(v)) * {steps}) AS BIGINT) - {offset}
+              WHEN v = 0 THEN 0 END AS b
+  FROM {{rows}}),
+coarse AS (
+  SELECT b, count(id) AS n, count(v) AS m, coalesce(sum(v), 0D) AS s, sum(a) AS d FROM base GROUP BY b),
+placed AS (
+  SELECT *, upto - n + 1 AS first FROM (
+    SELECT *, sum(n) OVER (ORDER BY b NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto,
+           sum(n) OVER () AS total FROM coarse)),
+buckets AS (SELECT *, {tile_first} AS lo, {tile_upto} AS hi FROM placed),
+-- One row per bucket with an edge, at most k - 1. Naming the sums here too keeps
+-- both uses of the bucket table the same plan, so that it is made once.
+edges AS (
+  SELECT b AS eb, first - 1 AS before, total FROM buckets
+  WHERE lo < hi AND n >= 0 AND m >= 0 AND d >= 0 AND NOT isnan(s)),
+again AS (
+  SELECT /*+ REPARTITION(b, v, part) */ * FROM (
+    SELECT /*+ BROADCAST(edges) */ b, v, shiftright(id, {id_bits}) AS part, id, a, before, total
+    FROM base JOIN edges ON b <=> eb)),
+fine AS (
+  SELECT *, upto - n + 1 AS first FROM (
+    SELECT *, before + sum(n) OVER (PARTITION BY b ORDER BY v NULLS FIRST, part
+                                    ROWS UNBOUNDED PRECEDING) AS upto
+    FROM (SELECT b, v, part, count(id) AS n, sum(a) AS d, first(before) AS before, first(total) AS total
+          FROM again GROUP BY b, v, part))),
+ranges AS (SELECT *, {tile_first} AS lo, {tile_upto} AS hi FROM fine),
+-- as above, naming all columns lets both reads of these rows share one shuffle
+cut AS (SELECT b AS cb, v AS cv, part AS cp, first FROM ranges WHERE lo < hi AND d >= 0),
+numbered AS (
+  SELECT v, a, total, greatest(first - 1, before)
+         + row_number() OVER (PARTITION BY b, v, part ORDER BY id) AS rank
+  FROM (SELECT /*+ BROADCAST(cut) */ * FROM again JOIN cut ON b <=> cb AND v <=> cv AND part <=> cp)),
+parts AS (
+  SELECT lo AS tile, n, m, s, d FROM buckets WHERE lo = hi
+  UNION ALL
+  SELECT lo, n, if(v IS NULL, 0, n), coalesce(v * n, 0D), d FROM ranges WHERE lo = hi
+  UNION ALL
+  SELECT {tile_rank}, 1, if(v IS NULL, 0, 1), coalesce(v, 0D), a FROM numbered)
+SELECT tile, sum(n) AS n, sum(m) AS m, sum(s) AS s, sum(d) AS d FROM parts GROUP BY tile
+"""
 
 
 def tile_sums(df: DataFrame, k: int, value: Column, tie: Column, amount: Column) -> DataFrame:
@@ -41,57 +80,12 @@ def tile_sums(df: DataFrame, k: int, value: Column, tie: Column, amount: Column)
     ``amount`` (an integer column). ``tie`` is a unique long.
 
     Equals grouping by ``exact_ntile`` for any data, ties and nulls included.
+    One SQL statement, so that the plan is analysed once.
     """
     if k <= 0:
         raise ValueError("ntile needs a positive number of tiles")
-    base = df.select(tie.cast("long").alias("id"), value.cast("double").alias("v"),
+    rows = df.select(tie.cast("long").alias("id"), value.cast("double").alias("v"),
                      amount.cast("long").alias("a"))
-    base = base.withColumn("b", _bucket(F.col("v")))
-
-    coarse = base.groupBy("b").agg(
-        F.count("id").alias("n"), F.count("v").alias("m"),
-        F.coalesce(F.sum("v"), F.lit(0.0)).alias("s"), F.sum("a").alias("d"))
-    ordered = Window.orderBy(F.col("b").asc_nulls_first())
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (coarse.withColumns({"upto": F.sum("n").over(upto),
-                                  "total": F.sum("n").over(Window.partitionBy())})
-              .withColumn("first", F.col("upto") - F.col("n") + 1))
-    placed = placed.withColumns({"lo": ntile_from_rank("first", "total", k),
-                                 "hi": ntile_from_rank("upto", "total", k)})
-    sums = ("n", "m", "s", "d")
-    inside = placed.where("lo = hi").select(F.col("lo").alias("tile"), *sums)
-
-    # One row per bucket with an edge, at most k - 1. Naming the sums here too
-    # keeps both uses of the bucket table the same plan, so it is made once.
-    edges = F.broadcast(placed.where("lo < hi and n >= 0 and m >= 0 and d >= 0 and not isnan(s)")
-                        .select(F.col("b").alias("eb"), (F.col("first") - 1).alias("before"), "total"))
-    again = (base.join(edges, F.col("b").eqNullSafe(F.col("eb")))
-             .select("b", "v", F.shiftright("id", _ID_BITS).alias("part"), "id", "a", "before", "total")
-             .repartition("b", "v", "part"))
-    fine = again.groupBy("b", "v", "part").agg(
-        F.count("id").alias("n"), F.sum("a").alias("d"),
-        F.first("before").alias("before"), F.first("total").alias("total"))
-    within = Window.partitionBy("b").orderBy(F.col("v").asc_nulls_first(), "part")
-    fine = fine.withColumn("upto", F.col("before") + F.sum("n").over(
-        within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    fine = fine.withColumn("first", F.col("upto") - F.col("n") + 1)
-    fine = fine.withColumns({"lo": ntile_from_rank("first", "total", k),
-                             "hi": ntile_from_rank("upto", "total", k)})
-    valued = F.col("v").isNotNull()
-    ranges = fine.where("lo = hi").select(
-        F.col("lo").alias("tile"), "n", F.when(valued, F.col("n")).otherwise(0).alias("m"),
-        F.when(valued, F.col("v") * F.col("n")).otherwise(0.0).alias("s"), "d")
-
-    # as above, naming all columns lets both reads of these rows share one shuffle
-    cut = F.broadcast(fine.where("lo < hi and d >= 0").select(
-        F.col("b").alias("cb"), F.col("v").alias("cv"), F.col("part").alias("cp"), "first"))
-    rows = again.join(cut, F.col("b").eqNullSafe(F.col("cb")) & F.col("v").eqNullSafe(F.col("cv"))
-                      & F.col("part").eqNullSafe(F.col("cp")))
-    rows = rows.withColumn("rank", F.greatest(F.col("first") - 1, F.col("before")) + F.row_number().over(
-        Window.partitionBy("b", "v", "part").orderBy("id")))
-    single = rows.select(
-        ntile_from_rank("rank", "total", k).alias("tile"), F.lit(1).cast("long").alias("n"),
-        F.when(valued, 1).otherwise(0).cast("long").alias("m"),
-        F.coalesce("v", F.lit(0.0)).alias("s"), F.col("a").alias("d"))
-    return (inside.unionByName(ranges).unionByName(single)
-            .groupBy("tile").agg(*[F.sum(c).alias(c) for c in sums]))
+    return df.sparkSession.sql(_PLAN.format(
+        steps=_STEPS, offset=_OFFSET, id_bits=_ID_BITS, tile_first=tile_sql("first", "total", k),
+        tile_upto=tile_sql("upto", "total", k), tile_rank=tile_sql("rank", "total", k)), rows=rows)

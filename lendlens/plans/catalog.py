@@ -28,6 +28,8 @@ FAMILY_FLOOR_EXAMPLE = {"min_credit": 460000}
 FIXED_COEFFICIENTS = {"EXT_SOURCE_1": -1.25, "EXT_SOURCE_2": -2.0, "EXT_SOURCE_3": 0.75,
                       "OWN_CAR_AGE": 0.03125, "AMT_GOODS_PRICE": 2.0 ** -20, "FLAG_OWN_CAR": 0.5}
 FIXED_INTERCEPT = 0.625
+# the driver's orders table scans as one task, and fitting passes over it dozens of times
+FIT_PARTITIONS = 16
 SEGMENT_EXAMPLE = {"segment": "Working", "product": "Cash loans", "risk_levels": ["Élevé", "Moyen"]}
 RUN_TS = dt.datetime(2024, 6, 3, 14, 5, 0)
 
@@ -86,7 +88,7 @@ def fit_risk_model(spark, sf_dir):
     what was fitted and how long the optimiser took, per coefficient. The
     model is ours (no artefact ships), so this has no SQL oracle."""
     with scratch_folder(spark, "lendlens-model") as path:
-        _, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
+        _, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path, partitions=FIT_PARTITIONS)
     facts = model.summary
     rows = [(i, float(c), facts.totalIterations, float(facts.objectiveHistory[-1]))
             for i, c in enumerate([model.intercept, *model.coefficients])]
@@ -98,7 +100,7 @@ def fit_check(spark, sf_dir):
     intercept isn't penalised."""
     apps = fx.applications(spark, sf_dir)
     with scratch_folder(spark, "lendlens-model") as path:
-        pre, model, _ = scoring.fit_risk_model(apps, path=path)
+        pre, model, _ = scoring.fit_risk_model(apps, path=path, partitions=FIT_PARTITIONS)
     return scoring.score(apps, pre, model).agg(
         F.count(F.lit(1)).alias("CLIENT_COUNT"), F.round(F.avg("TARGET"), 3).alias("DEFAULT_SHARE"),
         F.round(F.avg("risk_score"), 3).alias("MEAN_SCORE"))
@@ -133,7 +135,7 @@ def score_fixed_model(spark, sf_dir):
 def score_portfolio(spark, sf_dir):
     """Fit, save, load and score every applicant (our own model: no oracle)."""
     with scratch_folder(spark, "lendlens-model") as path:
-        scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path)
+        scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path, partitions=FIT_PARTITIONS)
         pre, model = scoring.load_risk_model(path)
     scored = scoring.score(fx.applicants(spark, sf_dir), pre, model)
     return decisions.with_risk_level(scored).select(
