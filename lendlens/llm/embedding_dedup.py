@@ -1,11 +1,17 @@
 """Near-duplicate embeddings by a pivot-permutation index.
 
 Reference points (pivots) are a pseudo-random choice among the vectors, one
-for every ``VECTORS_PER_PIVOT`` vectors and at most ``MAX_PIVOTS``. A vector
-is described by its ``NEAREST`` nearest pivots in order; inverted lists hold,
-for each label and pivot, the vectors described by it. Two vectors are
-candidates when they share at least ``SHARED`` pivots at similar ranks;
-candidates are verified by their cosine in double precision.
+for every ``VECTORS_PER_PIVOT`` vectors and at most ``MAX_PIVOTS``, of which
+those at a cosine of ``SPREAD`` or more to another are dropped: a dense group,
+however large, has few pivots inside itself, so its members share them. A
+vector is described by its ``NEAREST`` nearest pivots; inverted lists hold, for
+each label and pivot, the vectors described by it. Vectors that share a list
+are compared by their cosine in double precision.
+
+A list is cut into blocks of about ``BLOCK`` vectors, and each pair of blocks is
+a group of its own, so no list is one task. A pair is counted in the list of the
+smallest pivot it shares. Pairs never leave the task: a group gives each vector's
+number of links and a spanning forest of them, at most two rows a vector.
 
 Equal vectors of a label are one class from the start and never meet in a
 list, so a vector that a third of all rows repeat costs one entry.
@@ -36,7 +42,8 @@ THRESHOLD = 0.93
 VECTORS_PER_PIVOT = 20
 MIN_PIVOTS, MAX_PIVOTS = 64, 8192
 NEAREST = 12
-SHARED = 2
+SPREAD = 0.85
+BLOCK = 4096
 
 
 def _usable(vector: Column) -> Column:
@@ -44,8 +51,25 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _pivots(classes: DataFrame, most: int, per_pivot: int) -> dict[int, np.ndarray]:
-    """Unit reference vectors of every vector length: a bounded sample."""
+def _spread(points: np.ndarray, near: float) -> np.ndarray:
+    """The points that are not near an earlier kept one."""
+    kept, n = np.empty_like(points), 0
+    for k in range(0, len(points), 256):
+        part = points[k:k + 256]
+        part = part[(part @ kept[:n].T < near).all(axis=1)]
+        own = part @ part.T < near
+        good = np.ones(len(part), bool)
+        for i in range(len(part)):
+            if good[i]:
+                good[i + 1:] &= own[i, i + 1:]
+        part = part[good]
+        kept[n:n + len(part)] = part
+        n += len(part)
+    return kept[:n]
+
+
+def _pivots(classes: DataFrame, most: int, per_pivot: int, spread: float) -> dict[int, np.ndarray]:
+    """Unit reference vectors of every vector length: a bounded sample, spread out."""
     n = classes.count()
     wanted = min(most, max(MIN_PIVOTS, -(-n // per_pivot)))
     # thinned by hash to about twice the wanted number in all, so that what
@@ -56,7 +80,7 @@ def _pivots(classes: DataFrame, most: int, per_pivot: int) -> dict[int, np.ndarr
     by_size: dict[int, list] = {}
     for r in rows:
         by_size.setdefault(len(r["vector"]), []).append(r["vector"])
-    return {k: _unit(np.array(v, float)) for k, v in by_size.items()}
+    return {k: _spread(_unit(np.array(v, float)), spread) for k, v in by_size.items()}
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -64,67 +88,141 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _matrix(vectors: pa.Array, size: int) -> np.ndarray:
+    return _unit(vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size))
+
+
 def _describe(batches, pivots: dict[int, np.ndarray], nearest: int) -> Iterator[pa.RecordBatch]:
+    """Each (rep, label, n, vector) with its size and nearest pivots."""
     for batch in batches:
         for k in range(0, batch.num_rows, 512):
             part = batch.slice(k, 512)
-            sizes = pc.list_value_length(part.column(2)).to_numpy(zero_copy_only=False)
+            sizes = pc.list_value_length(part.column(3)).to_numpy(zero_copy_only=False)
             for size in np.unique(sizes).tolist():
                 own = part.filter(pa.array(sizes == size))
                 points = pivots.get(size)
                 if points is None:  # no reference of this length: one list for all of it
-                    order = np.zeros((own.num_rows, 1), np.int64)
+                    best = np.zeros((own.num_rows, 1), np.int64)
                 else:
-                    x = _unit(own.column(2).flatten().to_numpy().astype(float).reshape(-1, size))
-                    near = x @ points.T
+                    near = _matrix(own.column(3), size) @ points.T
                     m = min(nearest, near.shape[1])
                     best = np.argpartition(-near, m - 1, axis=1)[:, :m]
-                    rank = np.argsort(-np.take_along_axis(near, best, 1), axis=1, kind="stable")
-                    order = np.take_along_axis(best, rank, 1)
-                m = order.shape[1]
+                offsets = np.arange(own.num_rows + 1, dtype=np.int32) * best.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(0).take(pa.array(np.repeat(np.arange(own.num_rows), m))),
-                     own.column(1).take(pa.array(np.repeat(np.arange(own.num_rows), m))),
-                     pa.array(np.full(order.size, size, np.int32)),
-                     pa.array(order.reshape(-1).astype(np.int32)),
-                     pa.array(np.tile(np.arange(m, dtype=np.int32), own.num_rows)),
-                     pa.array(np.full(order.size, m, np.int32))],
-                    names=["rep", "label", "size", "pivot", "place", "places"])
+                    [*own.columns, pa.array(np.full(own.num_rows, size, np.int32)),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(best.reshape(-1).astype(np.int32)))],
+                    names=["rep", "label", "n", "vector", "size", "pivots"])
+
+
+_CELL = ["label", "size", "pivot", "i", "j"]
 
 
-def _cosines(batches) -> Iterator[pa.RecordBatch]:
+def _groups(batches) -> Iterator[tuple[tuple, pa.Table]]:
+    """Rows of one cell after the other; batches come sorted by cell."""
+    key, parts = None, []
     for batch in batches:
-        for k in range(0, batch.num_rows, 2048):
-            part = batch.slice(k, 2048)
-            sizes = pc.list_value_length(part.column(2)).to_numpy(zero_copy_only=False)
-            for size in np.unique(sizes).tolist():
-                own = part.filter(pa.array(sizes == size))
-                a, b = (_unit(own.column(i).flatten().to_numpy().astype(float).reshape(-1, size))
-                        for i in (2, 3))
-                yield pa.RecordBatch.from_arrays(
-                    [own.column(0), own.column(1), pa.array(np.einsum("ij,ij->i", a, b))],
-                    names=["a", "b", "cosine"])
-
-
-def links(classes: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, shared: int = SHARED,
-          max_pivots: int = MAX_PIVOTS, per_pivot: int = VECTORS_PER_PIVOT) -> DataFrame:
-    """(a, b, cosine) of different classes (rep, label, vector) found similar."""
-    pivots = _pivots(classes, max_pivots, per_pivot)
-    lists = S.materialised(
-        classes.select("rep", "label", "vector")
-        .mapInArrow(lambda it: _describe(it, pivots, nearest),
-                    "rep long, label long, size int, pivot int, place int, places int"), "pivot-lists")
-    x, y = lists.alias("x"), lists.alias("y")
-    met = (x.join(y, (F.col("x.label") == F.col("y.label")) & (F.col("x.size") == F.col("y.size"))
-                  & (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.rep") < F.col("y.rep")))
-           .groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-           .agg(F.count(F.lit(1)).alias("n"), F.first("x.places").alias("places")))
-    candidates = met.where(F.col("n") >= F.least(F.lit(shared), "places")).select("a", "b")
-    vectors = classes.select("rep", "vector")
-    pairs = (candidates.join(vectors.select(F.col("rep").alias("a"), F.col("vector").alias("va")), "a")
-             .join(vectors.select(F.col("rep").alias("b"), F.col("vector").alias("vb")), "b")
-             .select("a", "b", "va", "vb"))
-    return pairs.mapInArrow(_cosines, "a long, b long, cosine double").where(F.col("cosine") >= threshold)
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(c).to_numpy() for c in _CELL])
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            now = tuple(keys[a].tolist())
+            if now != key and parts:
+                yield key, pa.Table.from_batches(parts)
+                parts = []
+            key = now
+            parts.append(batch.slice(a, b - a))
+    if parts:
+        yield key, pa.Table.from_batches(parts)
+
+
+def _marks(pivots: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Row by row, which of the sorted pivots ``of`` are among ``pivots``."""
+    at = np.minimum(np.searchsorted(of, pivots), len(of) - 1)
+    out = np.zeros((len(pivots), len(of)), np.float32)
+    row, column = np.nonzero(of[at] == pivots)
+    out[row, at[row, column]] = 1
+    return out
+
+
+def _forest(u: np.ndarray, v: np.ndarray, linked: np.ndarray, tree: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links (one of u, one of v) that join what ``tree`` (changed) holds apart."""
+    for i, row in zip(u.tolist(), linked):
+        others = v[row]
+        trees, first = np.unique(tree[others], return_index=True)
+        new = trees != tree[i]
+        if new.any():
+            yield from ((i, j) for j in others[first[new]].tolist())
+            tree[np.isin(tree, trees[new])] = tree[i]
+
+
+def _cell(key: tuple, rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, list]:
+    """(rep, number of linked rows, edges as positions) of two blocks of a list."""
+    _, size, pivot, i, j = key
+    rep, n, block = (rows.column(c).to_numpy() for c in ("rep", "n", "block"))
+    x = _matrix(pa.concat_arrays(rows.column("vector").chunks), size)
+    pivots = pa.concat_arrays(rows.column("pivots").chunks).flatten().to_numpy().reshape(len(rep), -1)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    counts, tree, edges = np.zeros(len(rep)), np.arange(len(rep)), []
+    for k in range(0, len(left), 512):
+        u, v = left[k:k + 512], right
+        linked = x[u] @ x[v].T >= threshold
+        if i == j:
+            linked &= rep[u][:, None] < rep[v]
+        u, v, linked = u[linked.any(axis=1)], v[linked.any(axis=0)], linked[linked.any(axis=1)][:, linked.any(axis=0)]
+        if not len(u):
+            continue
+        mine, theirs = pivots[u], pivots[v]
+        earlier = np.intersect1d(mine[mine < pivot], theirs[theirs < pivot])
+        if len(earlier):  # pairs of another list
+            linked &= _marks(mine, earlier) @ _marks(theirs, earlier).T == 0
+        weights = linked.astype(float)
+        counts[u] += weights @ n[v]
+        counts[v] += n[u] @ weights
+        edges += _forest(u, v, linked, tree)
+    return rep, counts.astype(np.int64), edges
+
+
+def _cells(batches, threshold: float) -> Iterator[pa.RecordBatch]:
+    for key, rows in _groups(batches):
+        if rows.num_rows < 2:
+            continue
+        rep, counts, edges = _cell(key, rows, threshold)
+        some = np.flatnonzero(counts)
+        if not len(some):
+            continue
+        a, b = np.array(edges, np.int64).reshape(-1, 2).T
+        ends = np.append(np.full(len(some), -1), rep[b])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(rep[some], rep[a])), pa.array(ends, mask=np.arange(len(ends)) < len(some)),
+             pa.array(np.append(counts[some], np.zeros(len(a), np.int64)))], names=["a", "b", "others"])
+
+
+def links(classes: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST,
+          max_pivots: int = MAX_PIVOTS, per_pivot: int = VECTORS_PER_PIVOT, spread: float = SPREAD,
+          block: int = BLOCK) -> DataFrame:
+    """(a, b, others) of classes (rep, label, vector, n) found similar: parts of
+    the number of rows that ``a`` links with (``b`` is null), and links that
+    connect what links connect."""
+    pivots = _pivots(classes, max_pivots, per_pivot, spread)
+    classes = classes.select("rep", "label", "n", "vector")
+    vector = classes.schema["vector"].dataType.simpleString()
+    described = S.materialised(
+        classes.mapInArrow(lambda it: _describe(it, pivots, nearest),
+                           f"rep long, label long, n long, vector {vector}, size int, pivots array<int>"),
+        "pivot-lists")
+    entries = described.withColumn("pivot", F.explode("pivots"))
+    long = S.materialised(entries.groupBy("label", "size", "pivot").agg(F.count(F.lit(1)).alias("blocks"))
+                          .where(F.col("blocks") > block)
+                          .withColumn("blocks", F.ceil(F.col("blocks") / block).cast("int")), "long-lists")
+    blocks = F.coalesce("blocks", F.lit(1))
+    cells = (entries.join(long, ["label", "size", "pivot"], "left")
+             .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("label", "size", "pivot", F.least("block", "other").alias("i"),
+                     F.greatest("block", "other").alias("j"), "block", "rep", "n", "vector", "pivots")
+             .repartition(*_CELL).sortWithinPartitions(*_CELL))
+    return cells.mapInArrow(lambda it: _cells(it, threshold), "a long, b long, others long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -144,10 +242,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                              .dropDuplicates(["rep", "h1", "h2"]).select("rep", "label", "vector", "n"),
                              "vector-classes")
     found = S.materialised(links(classes, **options), "vector-links")
-    both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = grouped.select(F.col("rep").alias("b"), "n")
-    counts = both.join(sizes, "b").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    component = G.components(found).withColumnRenamed("node", "rep")
+    counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("others").alias("others"))
+    component = G.components(found.where("b is not null")).withColumnRenamed("node", "rep")
     described = (grouped.join(counts, "rep", "left").join(component, "rep", "left")
                  .select("h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
                          F.coalesce("component", "rep").alias("component")))

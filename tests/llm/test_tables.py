@@ -177,6 +177,31 @@ def test_embeddings_empty_and_null_ids(spark):
     assert got == [(4, 1, 4, True), (4, 1, 4, True), (None, 0, None, True)]
 
 
+def noisy_group(n, seed=5, size=64):
+    """A third of n vectors are noisy copies of one centre, the others unrelated."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, size))
+    centre = rng.normal(size=size)
+    k = n // 3
+    x[:k] = centre / np.linalg.norm(centre) + rng.normal(0, 0.175 / size ** 0.5, (k, size))
+    x = x[rng.permutation(n)]
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("n,block", [(3000, 4096), (9000, 4096), (9000, 700)])
+def test_large_noisy_groups_keep_their_links(spark, n, block):
+    x = noisy_group(n).astype("f4").astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())],
+                               "vec_id long, embedding array<float>, label int")
+    got = embedding_dedup.near_duplicates(df, block=block).orderBy("vec_id").collect()
+    counts = np.array([r.n_links for r in got])
+    assert (counts <= true).all() and counts.sum() >= 0.995 * true.sum()
+    linked = np.flatnonzero(true > n // 10)
+    assert {got[i].component_id for i in linked} == {got[linked[0]].component_id}
+
+
 # -- registered queries and pipeline
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
