@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -56,6 +57,23 @@ def test_long_texts_take_linear_time(text):
     pii.proposals(text, found)
 
 
+@pytest.mark.parametrize("size", [256, 257, 5_000])
+@pytest.mark.parametrize("before,after", [("token=", " x"), ('token = "', '" x'), ("see ", ", x")])
+def test_secrets_of_any_length_are_proposed_whole(size, before, after):
+    value = random.Random(size).randbytes(size).hex()[:size - 1] + "7"
+    text = before + value + after
+    spans = {(s, e) for k, s, e, _ in pii.proposals(text, list(pii.matches(text))) if k == 4}
+    assert spans == {(len(before), len(before) + size)}
+
+
+@pytest.mark.parametrize("text", ['token="' * 30_000, 'token="' + "a1" * 100_000, "token='token=" * 15_000,
+                                  "a/" * 100_000, ("a" * 300 + " ") * 600])
+def test_open_ended_secrets_take_linear_time(text):
+    started = time.process_time()
+    pii.proposals(text, [])
+    assert time.process_time() - started < 20
+
+
 def private(seed, n=400):
     rng = random.Random(seed)
     words = prose(rng, 400).split()
