@@ -114,6 +114,46 @@ def test_spans_and_digest(make_docs):
             assert by_id[i].spans == "", t
 
 
+def ambiguous(seed, n=900):
+    """Numbers, addresses and keys with words that tell what they are, some
+    numbers and digests that are neither, and plain prose."""
+    rng = random.Random(seed)
+    words = prose(rng, 400).split()
+    rows = []
+    for i in range(n):
+        number = f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+        key = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16))
+        what = rng.choice([f"phone {number}", f"call {number.replace('-', ' ')}", f"invoice {number}",
+                           f"mail john{i} (at) example.com", f"seen AKIA{key}", f"bearer {key}{key.lower()}7",
+                           f"commit {rng.randbytes(20).hex()}", f"read some-words/of-a-path/in-2020-{i}-there"])
+        at = rng.randrange(len(words) - 8)
+        rows.append((i, " ".join(words[at:at + 8] + [what] + words[:5])))
+    return rows
+
+
+def test_plain_numbers_spelled_addresses_and_free_keys_are_redacted(make_docs):
+    rows = ambiguous(4)
+    df = make_docs(rows, extra=False)
+    judge = pii.fit(pii.spot(df).cache())
+    out = {r.doc_id: r.text for r in pii.redact(df, judge).collect()}
+    marks = {"phone ": "[PHONE]", "call ": "[PHONE]", "(at)": "[EMAIL]", "AKIA": "[SECRET]", "bearer": "[SECRET]"}
+    for word, mark in marks.items():
+        own = [out[i] for i, t in rows if word in t]
+        assert np.mean([mark in t for t in own]) > 0.95, word
+    for word in ("invoice", "commit", "a-path"):
+        own = [out[i] == t for i, t in rows if word in t]
+        assert np.mean(own) > 0.95, word
+
+
+def test_ambiguous_proposals_have_no_label():
+    def rules(text):
+        return [r for *_, r in pii.proposals(text, list(pii.matches(text)))]
+    assert pii.UNLABELLED in rules("seen 555-123-4567 there")
+    assert rules("seen john (at) example.com") == [pii.UNLABELLED]
+    assert rules("mail john (at) example.com") == [1]
+    assert rules("seen a8Kd03jfLq92mZx71Bv4 there") == [pii.UNLABELLED]
+
+
 def test_redaction_and_pass_through(make_docs, spark):
     df = make_docs([(1, "mail ab@c.de, card 4111 1111 1111 1111!"), (2, None), (3, "")])
     out = pii.redact(df, pii.Judge(None, np.ones(5)))
