@@ -2,13 +2,15 @@
 
 DataFrame functions only. Whole texts are cut into sentences; those with a
 licensing word become sparse TF-IDF vectors and meet an inverted index of the
-template sentences (a fixed small table, so it is broadcast). The template of
-the highest cosine at or above ``THRESHOLD`` gives a file its own licence. A
+template sentences (a fixed small table, so it is broadcast). Beside them whole
+texts of licence files (by name) and paragraphs (comment marks and line breaks
+taken out) with a licensing word meet an index of published licence files,
+header paragraphs and titles. The template of the highest cosine at or above ``THRESHOLD`` gives a file its own licence. A
 file without one inherits from the nearest ancestor directory that holds a
 licence file (by name) with a recognised licence: directories are resolved
 once each against their prefixes, then files join their directory.
 
-Only sentences with a licensing word are shuffled, and aggregated map-side; a
+Only units with a licensing word are shuffled, and aggregated map-side; a
 directory with a third of all files is one row until the final join, whose
 large side Spark can split.
 
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _shared as S
+from ._licence_texts import WHOLES
 
 THRESHOLD = 0.6
 
@@ -66,6 +69,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENTENCE_END = r"([.!?;|])[ \t\r]+"
 LICENSING = r"licen[sc]|copyright|spdx|creative commons|cc[ -]by|public domain|redistribut|permission is hereby"
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
+COMMENT = r"(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|;+|--+|%+|dnl\b|rem\b)[ \t]?"
+BLANK_LINES = r"\n[ \t\r]*\n\s*"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicense)([.-].*)?$"
 
 
@@ -88,28 +93,43 @@ def template_index(templates=TEMPLATES) -> tuple[list[tuple], dict[str, float],
     return rows, idf, math.log(1 + n) + 1
 
 
-def own_licences(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """(path, licence, cosine) of the files (path, text) with a licence statement."""
-    spark = files.sparkSession
+def _named(path: Column) -> Column:
+    return F.regexp_extract(path, r"[^/]*$", 0).rlike(LICENCE_FILE)
+
+
+def _cosines(units: DataFrame, threshold: float, templates) -> DataFrame:
+    """(path, licence, cosine) of the units (path, pos, col) at or above the threshold."""
+    spark = units.sparkSession
     rows, idf, other = template_index(templates)
-    # fixed tables: a few hundred rows from the templates, whatever the input
+    # fixed tables: a few thousand rows from the templates, whatever the input
     index = F.broadcast(spark.createDataFrame(rows, "token string, template int, licence string, w double"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "token string, idf double"))
-    lower = F.translate("text", UPPER, LOWER)
-    units = (files.where(lower.rlike(LICENSING))
-             .select("path", F.posexplode(F.split(F.regexp_replace(lower, SENTENCE_END, "$1\n"), "\n")))
-             .where(F.col("col").rlike(LICENSING)))
     tokens = units.select("path", "pos", F.explode(F.regexp_extract_all("col", F.lit(TOKEN), F.lit(0))).alias("token"))
     weighted = (tokens.groupBy("path", "pos", "token").agg(F.count(F.lit(1)).alias("tf"))
                 .join(known, "token", "left")
                 .select("path", "pos", "token", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("w")))
     vectors = weighted.groupBy("path", "pos").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
                                                   F.collect_list(F.struct("token", "w")).alias("terms"))
-    cosines = (vectors.select("path", "pos", "norm", F.inline("terms").alias("token", "q"))
-               .join(index, "token").groupBy("path", "pos", "norm", "template", "licence")
-               .agg(F.sum(F.col("q") * F.col("w")).alias("dot"))
-               .select("path", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
-               .where(F.col("cosine") >= threshold))
+    return (vectors.select("path", "pos", "norm", F.inline("terms").alias("token", "q"))
+            .join(index, "token").groupBy("path", "pos", "norm", "template", "licence")
+            .agg(F.sum(F.col("q") * F.col("w")).alias("dot"))
+            .select("path", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
+            .where(F.col("cosine") >= threshold))
+
+
+def own_licences(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, wholes=WHOLES) -> DataFrame:
+    """(path, licence, cosine) of the files (path, text) with a licence statement."""
+    lower = F.translate("text", UPPER, LOWER)
+    files = files.where(lower.rlike(LICENSING))
+    plain = F.regexp_replace(lower, COMMENT, "")
+    sentences = (files.select("path", F.posexplode(F.split(F.regexp_replace(lower, SENTENCE_END, "$1\n"), "\n")))
+                 .where(F.col("col").rlike(LICENSING)))
+    paragraphs = (files.select("path", F.posexplode(F.split(plain, BLANK_LINES))).where(F.col("col").rlike(LICENSING)))
+    # rows that repeat a path are texts of their own
+    whole = files.where(_named(F.col("path"))).select("path", (-1 - F.pmod(F.xxhash64("text"), F.lit(1 << 30))).cast("int").alias("pos"),
+                                                      plain.alias("col")).distinct()
+    cosines = (_cosines(sentences, threshold, templates)
+               .unionByName(_cosines(paragraphs.unionByName(whole), threshold, wholes)))
     best = F.min(F.struct((-F.col("cosine")).alias("least"), "licence"))
     return (cosines.groupBy("path").agg(best.alias("b"))
             .select("path", F.col("b.licence").alias("licence"), (-F.col("b.least")).alias("cosine")))
@@ -127,7 +147,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     files = files.select(*kept, path.alias("path"), F.col(text_col).alias("text"))
     own = S.materialised(own_licences(files, threshold, templates), "own-licences")  # used twice
-    named = F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE)
+    named = _named(F.col("path"))
     first = F.min(F.struct((-F.col("cosine")).alias("least"), "path", "licence"))
     declared = (own.where(named).groupBy(_directory(F.col("path")).alias("prefix")).agg(first.alias("f"))
                 .select("prefix", F.col("f.licence").alias("inherited")))

@@ -111,6 +111,42 @@ def test_every_template_finds_its_licence(spark, licence, text):
     assert (row.own_licence, row.cosine >= 0.95) == (licence, True)
 
 
+GNU_HEADER = """/* prog.c
+ *
+ * This {what} is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {name} as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * You should have received a copy of the GNU {name}
+ * along with this {what}.  If not, see <https://www.gnu.org/licenses/>.
+ */
+int main;
+"""
+MPL_HEADER = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at https://mozilla.org/MPL/2.0/.
+
+import os
+"""
+
+
+def test_published_licence_files_and_headers(spark):
+    texts = dict(licences.WHOLES[::-1])  # the files, which come first
+    rows = [("gpl.c", GNU_HEADER.format(name="General Public License", what="program"), "GPL-3.0"),
+            ("lgpl.c", GNU_HEADER.format(name="Lesser General Public License", what="library"), "LGPL-3.0"),
+            ("agpl.c", GNU_HEADER.format(name="Affero General Public License", what="program"), "AGPL-3.0"),
+            ("mpl.py", MPL_HEADER, "MPL-2.0"), ("t/LICENSE", "Mozilla Public License\nVersion 2.0\n", "MPL-2.0")]
+    for licence in ("BSD-2-Clause", "BSD-3-Clause", "MIT", "ISC", "GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "LGPL-2.1",
+                    "Apache-2.0", "MPL-2.0", "CC0-1.0", "Unlicense"):
+        words = texts[licence].split()
+        wrapped = "\n".join(" ".join(words[k:k + 11]) for k in range(0, len(words), 11))
+        rows += [(f"{licence}/LICENSE", f"Copyright 2020 Jo Doe\n\n{wrapped}", licence)]
+    files = spark.createDataFrame([r[:2] for r in rows], "path string, text string")
+    got = {r.path: r.own_licence for r in licences.scan(files).collect()}
+    assert got == {path: licence for path, _, licence in rows}
+
+
 def test_licence_scan_stays_in_the_jvm(spark, sf_dir):
     plan = queries.op3_licence_scan(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
