@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import _shared as S
-from . import arrow_tokens, decontaminate, embedding_dedup, licences, minhash, packing, pii, quality, substring_dedup, warc
+from . import (arrow_tokens, conversation_trie, decontaminate, embedding_dedup, licences, minhash, packing, pii,
+               quality, substring_dedup, topk_search, warc, whitening)
 
 
 def op1_pii_boosting(spark, sf_dir):
@@ -114,6 +115,29 @@ def op10_arrow_tokens(spark, sf_dir):
     return S.tidy(spark, "arrow-tokens", build)
 
 
+def op11_gkl_whitening(spark, sf_dir):
+    """All embeddings on their 16 leading components, whitened."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+    def build():
+        rows, wide = whitening.prepare(vectors)
+        return whitening.whiten(rows, wide, whitening.fit(rows, wide))
+
+    return S.tidy(spark, "whitening", build)
+
+
+def op12_conversation_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return S.tidy(spark, "trie", lambda: conversation_trie.trie(conversation_trie.rebuilt(turns)))
+
+
+def op13_topk_search(spark, sf_dir):
+    """The five vectors that score highest for every fiftieth id."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return S.tidy(spark, "search", lambda: topk_search.search(vectors, F.col("vec_id") % 50 == 0))
+
+
 QUERIES = {
     "op1_pii_boosting": op1_pii_boosting,
     "op2_quality_qda": op2_quality_qda,
@@ -125,6 +149,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_minhash": op9_minhash,
     "op10_arrow_tokens": op10_arrow_tokens,
+    "op11_gkl_whitening": op11_gkl_whitening,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_topk_search": op13_topk_search,
 }
 
 def _licence_sql() -> str:
@@ -222,6 +249,52 @@ ORACLE_SQL: dict[str, str] = {
         c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
         FROM c LEFT JOIN n USING (doc_id)""",
+    "op12_conversation_trie": r"""
+        WITH ordered AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                 sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+               FROM conversations WHERE conv_id IS NOT NULL),
+        crc_table(i, v) AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, _:
+               CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FROM range(256) t(i)),
+        crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM crc_table),
+        convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base,
+               xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''),
+                 lambda ch: ascii(ch)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 6 AS h
+               FROM (SELECT DISTINCT conv_id FROM ordered), crc),
+        turns AS (SELECT c.conv_id, o.role, o.text, o.k, 0 AS own FROM convs c JOIN ordered o
+                    ON o.conv_id = c.base AND o.k <= c.h
+                  UNION ALL SELECT c.conv_id, o.role, o.text, o.k, 1 FROM convs c JOIN ordered o
+                    ON o.conv_id = c.conv_id AND o.k > c.h),
+        numbered AS (SELECT conv_id, length(text) AS size, row_number() OVER w AS depth,
+                  string_agg(length(role) || ':' || length(text) || ':' || role || text, '') OVER w AS path
+                  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY own, k)),
+        prefixes AS MATERIALIZED (SELECT conv_id, depth::BIGINT AS depth, size, md5(path) AS node,
+                  coalesce(lag(md5(path)) OVER (PARTITION BY conv_id ORDER BY depth), '') AS parent FROM numbered
+                  UNION ALL SELECT conv_id, 0, 0, '', NULL FROM convs),
+        nodes AS MATERIALIZED (SELECT node, depth, any_value(parent) AS parent, any_value(size) AS size,
+                  min(conv_id) AS conv_id, count(*) AS n_convs FROM prefixes GROUP BY node, depth),
+        children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+        known AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+        below AS (SELECT p.node, sum((t.n_children = 0)::INT) AS n_leaves, sum((t.n_convs - 1) * t.size) AS saved
+                  FROM known t JOIN prefixes p ON p.conv_id = t.conv_id AND p.depth <= t.depth GROUP BY p.node),
+        ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+                 FROM (SELECT * FROM prefixes QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1)
+                 GROUP BY node)
+        SELECT k.conv_id, k.depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves::BIGINT AS n_leaves,
+               saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM known k JOIN below USING (node) LEFT JOIN ends USING (node) LEFT JOIN nodes up ON up.node = k.parent""",
+    "op13_topk_search": """
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c AS (SELECT r, vec_id, unnest(range(1, len(e) + 1)) AS i, floor(256 * unnest(e)::DOUBLE)::BIGINT AS x FROM v),
+        p AS (SELECT r, vec_id FROM v),
+        s AS (SELECT q.r AS qr, d.r AS r, sum(q.x * d.x)::BIGINT AS score
+              FROM c q JOIN c d USING (i) WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+        pairs AS (SELECT q.r AS qr, q.vec_id AS query_id, d.vec_id, coalesce(score, 0) AS score
+              FROM p q JOIN p d ON q.r <> d.r LEFT JOIN s ON s.qr = q.r AND s.r = d.r WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT query_id, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id NULLS LAST)::INT
+                   AS rank, vec_id, score FROM pairs)
+        SELECT * FROM ranked WHERE rank <= 5""",
     "op3_licence_scan": _licence_sql(),
     "op4_warc_revisits": """
         WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h,
