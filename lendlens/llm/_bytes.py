@@ -15,25 +15,9 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20  # text bytes worked on at once (one longer text is a block of its own)
 
-_P = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
+_P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(base: np.uint64, n: int, name: str) -> np.ndarray:
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        size = max(n, BLOCK_BYTES + (1 << 16))
-        table = np.empty(size, np.uint64)
-        table[0] = 1
-        table[1:] = base
-        have = np.cumprod(table, dtype=np.uint64)
-        if n <= 2 * BLOCK_BYTES:  # tables for rare very long texts aren't kept
-            _powers[name] = have
-    return have[:n]
-
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every output bit depends on all input bits."""
@@ -42,6 +26,30 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the codes (at most 511) in each of the sorted, disjoint runs.
+
+    A run's hash adds up a scrambled number for each pair of code and place in
+    the run. There is no polynomial in it, so no family of words is known to
+    collide; what must not rest on a hash at all compares bytes as well.
+    """
+    n = len(codes)
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    place = np.arange(n, dtype=np.uint64)
+    place[starts[0]:] -= np.repeat(starts, np.diff(np.append(starts, n))).astype(np.uint64)
+    place <<= np.uint64(9)
+    place += codes.astype(np.uint64)
+    place *= _P
+    place ^= place >> np.uint64(29)
+    place *= _Q
+    place ^= place >> np.uint64(32)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(place, out=sums[1:])
+    return mix(sums[ends] - sums[starts])
+
+
 def blocks(array: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES
            ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of rows of at most ``limit`` bytes.
@@ -101,11 +109,7 @@ def words(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray
     begin[cuts] = inside[cuts]
     stop[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(c.astype(np.uint64) * _power(_P, n, "p"), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _power(_P_INV, n, "pi")[starts])
-    return starts, ends, hashes, np.searchsorted(starts, offsets)
+    return starts, ends, run_hashes(c, starts, ends), np.searchsorted(starts, offsets)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
 
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import AddedToken, Tokenizer
 
 from lendlens.llm import _bytes as B
 from lendlens.llm import _shared as S
@@ -17,8 +19,13 @@ from lendlens.llm import arrow_tokens, packing
 from .texts import awkward, prose
 
 
+@functools.cache
+def library():
+    return Tokenizer.from_file(T.default_tokenizer())
+
+
 def library_ids(text):
-    return T.encoder(T.default_tokenizer()).tokenizer.encode(text or "", add_special_tokens=False).ids
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 def crc(ids):
@@ -44,6 +51,69 @@ def test_pieces_give_the_librarys_ids(texts):
     assert encoded(texts) == [library_ids(t) for t in texts]
 
 
+SPECIAL = st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", "|>", " ", "  ", "a", "the", "\n", ".", "é"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(SPECIAL, max_size=12).map("".join), min_size=1, max_size=5))
+def test_special_strings_are_the_librarys_tokens(texts):
+    assert encoded(texts) == [library_ids(t) for t in texts]
+
+
+def test_special_string_beside_words():
+    assert encoded(["hello <|endoftext|> world"]) == [[31373, 220, 50256, 995]]
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}])
+def test_other_added_tokens(tmp_path, flags):
+    """Tokens that reach beyond their string, and ones that begin alike."""
+    tokenizer = Tokenizer.from_file(T.default_tokenizer())
+    tokenizer.add_tokens([AddedToken("<x>", **flags), AddedToken("<x><y>", **flags), AddedToken("ab", **flags)])
+    path = str(tmp_path / "tokenizer.json")
+    tokenizer.save(path)
+    texts = ["go <x> on", "<x><y><x>", "cab ab abab", "  <x>  ", "ab", "plain text here", "<x", "><y>", ""]
+    enc, got = T.PieceEncoder(path), []
+    for _, _, data, offsets in B.blocks(pa.array(texts), limit=20):
+        ids, counts = enc.encode(data, offsets)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_of_a_family_that_polynomials_confuse():
+    a = thue_morse(2048)
+    b = a.translate(str.maketrans("ab", "ba"))
+    assert encoded([a, b, f"x {b} {a}"]) == [library_ids(t) for t in (a, b, f"x {b} {a}")]
+    data = np.frombuffer(f"{a} {b}".encode(), np.uint8)
+    hashes = B.words(data, np.array([0, len(data)]), B.table(B.SPACE, lower=False))[2]
+    assert len(set(hashes.tolist())) == 2
+
+
+def test_colliding_hashes_cost_no_ids(monkeypatch):
+    """With a hash of three values every piece's bytes still decide."""
+    real = B.run_hashes
+    monkeypatch.setattr(B, "run_hashes", lambda *a: real(*a) % np.uint64(3))
+    rng = random.Random(5)
+    texts = [prose(rng, 40) for _ in range(12)] + ["", "a <|endoftext|> b", "x" * 300]
+    enc, got = T.PieceEncoder(T.default_tokenizer()), []
+    for _, _, data, offsets in B.blocks(pa.array(texts), limit=400):
+        ids, counts = enc.encode(data, offsets)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [library_ids(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab \x00é", max_size=30), min_size=1, max_size=4))
+def test_run_hashes_tell_words_apart(texts):
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    starts, ends, hashes, _ = B.words(data, np.array([0, len(data)]), B.table(B.SPACE, lower=False))
+    words = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    assert len(set(words)) == len(set(hashes.tolist())) == len(set(zip(words, hashes.tolist())))
+
+
 def expected(rows):
     return {i: [*library_ids(t), 0] for i, t in rows}
 
