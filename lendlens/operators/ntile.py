@@ -1,5 +1,7 @@
 """Exact global ``ntile`` / row number without a single-partition window.
 
+The tile of every row under one numeric order column needs no ranks
+(``tiles.with_tile``). Row numbers, and tiles under other orders, do:
 ``ntile(k).over(Window.orderBy(x))`` has no partition key, so Spark moves the
 whole table into one task. Here the same numbers come from a distributed plan:
 
@@ -31,11 +33,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..session import checkpoint_dir
+from .tiles import tile_sql, with_tile
 
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 _POS_MASK = (1 << _POS_BITS) - 1
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 def _sort_key(c: str | Column) -> Column:
@@ -86,24 +91,21 @@ def ntile_from_rank(rn: str, total: str, k: int) -> Column:
     return F.expr(tile_sql(rn, total, k))
 
 
-def tile_sql(rn: str, total: str, k: int) -> str:
-    """The same as SQL text."""
-    q = f"({total} div {k})"                 # rows per small tile
-    r = f"({total} % {k})"                   # tiles holding one extra row
-    big = f"({r} * ({q} + 1))"               # rows covered by the larger tiles
-    # q == 0 only when total < k, and then every row satisfies rn <= big; the
-    # divisor is still kept non-zero so no branch can fail under ANSI mode.
-    return (
-        f"CAST(CASE WHEN {rn} <= {big} THEN ({rn} - 1) div ({q} + 1) + 1 "
-        f"ELSE {r} + ({rn} - {big} - 1) div greatest({q}, 1) + 1 END AS INT)")
-
-
 def exact_ntile(df: DataFrame, k: int, order_cols: Sequence[str], tie_col: str,
                 out_col: str = "ntile", num_slices: int | None = None) -> DataFrame:
     """``ntile(k)`` over the whole table ordered by ``order_cols`` then
-    ``tie_col`` (unique), computed without a single-partition window."""
+    ``tie_col`` (unique), computed without a single-partition window.
+
+    One numeric order column with an integer tie takes the edges' keys and
+    compares (``tiles.with_tile``): no sort, no checkpoint, no job before the
+    action. Other orders, or an explicit number of slices, rank the table.
+    """
     if k <= 0:
         raise ValueError("ntile needs a positive number of tiles")
+    kinds = dict(df.dtypes)
+    if (num_slices is None and len(order_cols) == 1 and kinds.get(tie_col) in _INTEGERS
+            and isinstance(df.schema[order_cols[0]].dataType, NumericType)):
+        return with_tile(df, k, F.col(order_cols[0]), F.col(tie_col), out_col)
     ranked = global_row_number(df, order_cols, tie_col, out_col="_ln_rn",
                                total_col="_ln_n", num_slices=num_slices)
     return (ranked.withColumn(out_col, ntile_from_rank("_ln_rn", "_ln_n", k))

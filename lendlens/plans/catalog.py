@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import derive
 from ..operators import cohorts, decisions, filters, scoring
+from ..operators.ntile import exact_ntile
+from ..operators.tiles import tile_sums
 from ..sources import fixtures as fx
 from ..sources import readers
 from ..sources.scratch import scratch_folder
@@ -21,6 +24,7 @@ from ..streaming import feedback
 
 # Fixed parameters of the example queries.
 FILTER_EXAMPLE = {"min_credit": 100000, "max_credit": 300000, "min_income": 0}
+QUINTILE_COLUMNS = ("SK_ID_CURR", "AMT_CREDIT", "AMT_INCOME_TOTAL", "TARGET")
 FLOOR_EXAMPLE = {"min_credit": 484000}
 QUINTILE_FILTER_EXAMPLE = {"min_credit": 50000, "min_income": 20000}
 # credit floor under which some family groups fall below the size floor of 50
@@ -28,21 +32,45 @@ FAMILY_FLOOR_EXAMPLE = {"min_credit": 460000}
 FIXED_COEFFICIENTS = {"EXT_SOURCE_1": -1.25, "EXT_SOURCE_2": -2.0, "EXT_SOURCE_3": 0.75,
                       "OWN_CAR_AGE": 0.03125, "AMT_GOODS_PRICE": 2.0 ** -20, "FLAG_OWN_CAR": 0.5}
 FIXED_INTERCEPT = 0.625
-# the driver's orders table scans as one task, and fitting passes over it dozens of times
-FIT_PARTITIONS = 16
 SEGMENT_EXAMPLE = {"segment": "Working", "product": "Cash loans", "risk_levels": ["Élevé", "Moyen"]}
 RUN_TS = dt.datetime(2024, 6, 3, 14, 5, 0)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _analysis(number: int, **flt) -> Query:
+def _spread(spark: SparkSession) -> int:
+    """Parts for a fit whose source scans as few tasks: as many as the session's shuffles."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _analysis(number: int, columns: tuple[str, ...] | None = None, **flt) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return cohorts.analyse(fx.applications(spark, sf_dir), number, **flt)
+        return cohorts.analyse(fx.applications(spark, sf_dir, columns), number, **flt)
     run.__name__ = f"analysis_{number}"
     return run
 
 
+def credit_income_tiles(spark, sf_dir):
+    """Quintile of the credit/income ratio of every application."""
+    apps = fx.applications(spark, sf_dir, QUINTILE_COLUMNS).withColumn(
+        "CREDIT_INCOME_RATIO", derive.credit_income_ratio())
+    return exact_ntile(apps, 5, ["CREDIT_INCOME_RATIO"], "SK_ID_CURR", "RATIO_CATEGORY").select(
+        "SK_ID_CURR", "CREDIT_INCOME_RATIO", "RATIO_CATEGORY")
+
+
+def odd_amount_tiles(spark, sf_dir):
+    """Seventh of every application by credit, NaN, infinite and missing ones among them."""
+    return exact_ntile(fx.odd_amounts(spark, sf_dir), 7, ["AMT_CREDIT"], "SK_ID_CURR", "TILE").select(
+        "SK_ID_CURR", "TILE")
+
+
+def odd_amount_sums(spark, sf_dir):
+    """Rows, credits and defaults per seventh of the same, without ranking."""
+    sums = tile_sums(fx.odd_amounts(spark, sf_dir), 7, F.col("AMT_CREDIT"), F.col("SK_ID_CURR"), F.col("TARGET"))
+    return sums.select(F.col("tile").alias("TILE"), F.col("n").alias("COUNT"), F.col("m").alias("CREDITS"),
+                       F.col("d").alias("DEFAULTS"))
+
+
 def portfolio_filter(spark, sf_dir):
     apps = fx.applications(spark, sf_dir)
     return (filters.portfolio_filter(apps, **FILTER_EXAMPLE)
@@ -88,7 +116,7 @@ def fit_risk_model(spark, sf_dir):
     what was fitted and how long the optimiser took, per coefficient. The
     model is ours (no artefact ships), so this has no SQL oracle."""
     with scratch_folder(spark, "lendlens-model") as path:
-        _, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path, partitions=FIT_PARTITIONS)
+        _, model, _ = scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path, partitions=_spread(spark))
     facts = model.summary
     rows = [(i, float(c), facts.totalIterations, float(facts.objectiveHistory[-1]))
             for i, c in enumerate([model.intercept, *model.coefficients])]
@@ -100,7 +128,7 @@ def fit_check(spark, sf_dir):
     intercept isn't penalised."""
     apps = fx.applications(spark, sf_dir)
     with scratch_folder(spark, "lendlens-model") as path:
-        pre, model, _ = scoring.fit_risk_model(apps, path=path, partitions=FIT_PARTITIONS)
+        pre, model, _ = scoring.fit_risk_model(apps, path=path, partitions=_spread(spark))
     return scoring.score(apps, pre, model).agg(
         F.count(F.lit(1)).alias("CLIENT_COUNT"), F.round(F.avg("TARGET"), 3).alias("DEFAULT_SHARE"),
         F.round(F.avg("risk_score"), 3).alias("MEAN_SCORE"))
@@ -135,7 +163,7 @@ def score_fixed_model(spark, sf_dir):
 def score_portfolio(spark, sf_dir):
     """Fit, save, load and score every applicant (our own model: no oracle)."""
     with scratch_folder(spark, "lendlens-model") as path:
-        scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path, partitions=FIT_PARTITIONS)
+        scoring.fit_risk_model(fx.applications(spark, sf_dir), path=path, partitions=_spread(spark))
         pre, model = scoring.load_risk_model(path)
     scored = scoring.score(fx.applicants(spark, sf_dir), pre, model)
     return decisions.with_risk_level(scored).select(
@@ -297,8 +325,11 @@ def feedback_stream(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "portfolio_filter": portfolio_filter,
     "age_band": _analysis(1),
-    "credit_income_quintile": _analysis(2),
-    "credit_income_quintile_filtered": _analysis(2, **QUINTILE_FILTER_EXAMPLE),
+    "credit_income_quintile": _analysis(2, QUINTILE_COLUMNS),
+    "credit_income_quintile_filtered": _analysis(2, QUINTILE_COLUMNS, **QUINTILE_FILTER_EXAMPLE),
+    "credit_income_tiles": credit_income_tiles,
+    "odd_amount_tiles": odd_amount_tiles,
+    "odd_amount_sums": odd_amount_sums,
     "income_type": _analysis(3),
     "income_type_filtered": _analysis(3, **FLOOR_EXAMPLE),
     "employment_band": _analysis(4),

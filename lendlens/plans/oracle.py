@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from ..schema import CATEGORICAL_COLS, NUMERIC_COLS
 from ..sources.fixtures import (duckdb_applications_cte, duckdb_bodies_cte,
-                                duckdb_feedback_cte, duckdb_identities_cte,
+                                duckdb_feedback_cte, duckdb_identities_cte, duckdb_odd_amounts,
                                 duckdb_prepared_select, duckdb_scored_ctes,
                                 duckdb_unusual_cte)
 
@@ -39,6 +39,17 @@ FROM (
 GROUP BY AGE_GROUP
 """
 
+_TILES = """
+SELECT SK_ID_CURR, round(AMT_CREDIT / NULLIF(AMT_INCOME_TOTAL, 0), 2) AS CREDIT_INCOME_RATIO,
+       CAST(ntile(5) OVER (ORDER BY round(AMT_CREDIT / NULLIF(AMT_INCOME_TOTAL, 0), 2) ASC NULLS FIRST,
+                           SK_ID_CURR ASC) AS INTEGER) AS RATIO_CATEGORY
+FROM applications
+"""
+_ODD_TILES = """,
+odd AS ({odd}),
+tiles AS (SELECT *, CAST(ntile(7) OVER (ORDER BY AMT_CREDIT ASC NULLS FIRST, SK_ID_CURR ASC) AS INTEGER) AS TILE FROM odd)
+"""
+
 _QUINTILE = """,
 base AS (
   SELECT SK_ID_CURR, TARGET,
@@ -423,6 +434,11 @@ def oracle_sql() -> dict[str, str]:
         "credit_income_quintile": _apps(_QUINTILE, where=""),
         "credit_income_quintile_filtered": _apps(
             _QUINTILE, where="WHERE AMT_CREDIT >= 50000 AND AMT_INCOME_TOTAL >= 20000"),
+        "credit_income_tiles": _apps(_TILES),
+        "odd_amount_tiles": _apps(_ODD_TILES + "SELECT SK_ID_CURR, TILE FROM tiles", odd=duckdb_odd_amounts()),
+        "odd_amount_sums": _apps(_ODD_TILES + "SELECT TILE, count(*) AS COUNT, count(AMT_CREDIT) AS CREDITS, "
+                                 "CAST(sum(TARGET) AS BIGINT) AS DEFAULTS FROM tiles GROUP BY TILE",
+                                 odd=duckdb_odd_amounts()),
         "income_type": _apps(_INCOME, where=""),
         "income_type_filtered": _apps(_INCOME, where="WHERE AMT_CREDIT >= 484000"),
         "employment_band": _apps(_EMPLOYMENT),

@@ -15,6 +15,8 @@ threshold, otherwise the join is a shuffle join).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import (BUREAU_COLS, CATEGORICAL_COLS, FLAG_COLS, ID_COL,
@@ -154,9 +156,27 @@ def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
 
 
-def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled portfolio (44 columns), one row per order."""
-    return _orders_customers(spark, sf_dir).selectExpr(*application_exprs("spark"))
+def applications(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Labelled portfolio (44 columns, or those named), one row per order."""
+    names = [name for name, _ in _APPLICATION_EXPRS]
+    return _orders_customers(spark, sf_dir).selectExpr(
+        *[e for name, e in zip(names, application_exprs("spark")) if columns is None or name in columns])
+
+
+# NaN, infinities and nulls among the credits
+_ODD_CREDIT = ("CASE SK_ID_CURR % 11 WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 4 THEN CAST('Infinity' AS DOUBLE) "
+               "WHEN 5 THEN CAST('-Infinity' AS DOUBLE) WHEN 8 THEN NULL ELSE AMT_CREDIT END")
+
+
+def odd_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applications (SK_ID_CURR, AMT_CREDIT, TARGET) with NaN, infinite and missing credits."""
+    return applications(spark, sf_dir, ("SK_ID_CURR", "AMT_CREDIT", "TARGET")).selectExpr(
+        "SK_ID_CURR", f"{_ODD_CREDIT} AS AMT_CREDIT", "TARGET")
+
+
+def duckdb_odd_amounts() -> str:
+    """The same over a DuckDB relation ``applications``."""
+    return f"SELECT SK_ID_CURR, {_ODD_CREDIT} AS AMT_CREDIT, TARGET FROM applications"
 
 
 def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
