@@ -326,6 +326,8 @@ def trie(conversations: DataFrame) -> DataFrame:
     n_children, n_leaves, saved_tokens and ends_sha256."""
     keyed = conversations.select(
         "conv_id", F.unhex(F.array_join("turns.key", "")).alias("key"), F.col("turns.size").alias("sizes"))
+    # written once: dealing by range reads the keys twice
+    keyed = S.materialised(keyed, "trie-sequences")
     ranged = (keyed.repartitionByRange("key", "conv_id").withColumn("part", F.spark_partition_id())
               .sortWithinPartitions("key", "conv_id"))
     found = S.materialised(ranged.select("part", "conv_id", "key", "sizes").mapInArrow(_nodes, _SCHEMA),

@@ -16,7 +16,8 @@ task holds is bounded whatever the benchmark's size.
 Defined cases: null or empty texts have no words, no hits and stay as they
 are; items without words never occur; equal items occur together; rows
 that repeat an id get a row each; hits of an item without id count as hits
-but name no item; an empty benchmark hits nothing.
+but name no item; an empty benchmark hits nothing; item ids that aren't whole
+numbers are taken as texts.
 """
 
 from __future__ import annotations
@@ -173,21 +174,26 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-_HITS = t.StructType([
-    t.StructField("n_words", t.LongType()),
-    t.StructField("spans", t.ArrayType(t.StructType([
-        t.StructField("first_word", t.LongType()), t.StructField("end_word", t.LongType()),
-        t.StructField("start_byte", t.LongType()), t.StructField("end_byte", t.LongType())]))),
-    t.StructField("items", t.ArrayType(t.LongType()))])
-_ARROW_HITS = pa.struct([
-    ("n_words", pa.int64()),
-    ("spans", pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()),
-                                  ("start_byte", pa.int64()), ("end_byte", pa.int64())]))),
-    ("items", pa.list_(pa.int64()))])
+_SPANS = t.ArrayType(t.StructType([
+    t.StructField("first_word", t.LongType()), t.StructField("end_word", t.LongType()),
+    t.StructField("start_byte", t.LongType()), t.StructField("end_byte", t.LongType())]))
+_ARROW_SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()),
+                                   ("start_byte", pa.int64()), ("end_byte", pa.int64())]))
 
 
-def _scan(batches, automaton: SuffixAutomaton, text_at: int) -> Iterator[pa.RecordBatch]:
+def _hits(item_type: t.DataType) -> t.StructType:
+    return t.StructType([t.StructField("n_words", t.LongType()), t.StructField("spans", _SPANS),
+                         t.StructField("items", t.ArrayType(item_type))])
+
+
+def _item_type(items: DataFrame, id_col: str) -> t.DataType:
+    """Whole numbers stay numbers, any other id is its text."""
+    return t.LongType() if isinstance(items.schema[id_col].dataType, t.IntegralType) else t.StringType()
+
+
+def _scan(batches, automaton: SuffixAutomaton, text_at: int, item_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     codes = B.table(B.NON_ALNUM, lower=True)
+    kind = pa.struct([("n_words", pa.int64()), ("spans", _ARROW_SPANS), ("items", pa.list_(item_type))])
     for batch in batches:
         for a, b, data, offsets in B.blocks(batch.column(text_at)):
             starts, ends, hashes, first = B.words(data, offsets, codes)
@@ -210,13 +216,13 @@ def _scan(batches, automaton: SuffixAutomaton, text_at: int) -> Iterator[pa.Reco
                 rows[i] = {"n_words": counts[i], "spans": hit, "items": named}
             part = batch.slice(a, b - a)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(rows, _ARROW_HITS)], names=[*part.schema.names, "hits"])
+                [*part.columns, pa.array(rows, kind)], names=[*part.schema.names, "hits"])
 
 
 def _item_blocks(items: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list]:
     """Items in blocks of at most ``most`` words, streamed through the driver."""
     block, size = [], 0
-    for item, text in items.select(F.col(id_col).cast("long"), text_col).toLocalIterator():
+    for item, text in items.select(F.col(id_col).cast(_item_type(items, id_col)), text_col).toLocalIterator():
         words = _normal((text or "").encode("utf-8"))
         if block and size + len(words) > most:
             yield block
@@ -241,16 +247,17 @@ def _pass(df, items, text_col, item_id_col, item_text_col, window, item_words, f
     text_at = out.columns.index(text_col)
     spark = df.sparkSession
     blocks = _item_blocks(items, item_id_col, item_text_col, item_words)
-    block, n = next(blocks), 0
+    block, n, item_type = next(blocks), 0, _item_type(items, item_id_col)
+    arrow_type = pa.int64() if isinstance(item_type, t.LongType) else pa.string()
     while block is not None:
         following = next(blocks, None)
         automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         alone = n == 0 and following is None
         source = out if n == 0 else S.materialised(out, "decontaminate").withColumnRenamed("hits", "earlier")
-        schema = t.StructType([*source.schema.fields, t.StructField("hits", _HITS)])
+        schema = t.StructType([*source.schema.fields, t.StructField("hits", _hits(item_type))])
 
         def scan(rows, auto=automaton, last=alone):
-            found = _scan(rows, auto.value, text_at)
+            found = _scan(rows, auto.value, text_at, arrow_type)
             return finish(found) if last else found
 
         out = source.mapInArrow(scan, schema)

@@ -68,8 +68,8 @@ def op4_warc_revisits(spark, sf_dir):
 def op5_superkmer_dedup(spark, sf_dir):
     """Passages of 35 words that occur elsewhere, removed from all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return substring_dedup.remove_repeated(docs).select(
-        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return S.tidy(spark, "superkmers", lambda: substring_dedup.remove_repeated(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")))
 
 
 def op6_pivot_embeddings(spark, sf_dir):
@@ -81,20 +81,19 @@ def op6_pivot_embeddings(spark, sf_dir):
 def op7_packing(spark, sf_dir):
     """Pieces of all documents packed into windows of 1024 ids."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return packing.pack(docs, keep_ids=False)
+    return S.tidy(spark, "packed", lambda: packing.pack(docs, keep_ids=False))
 
 
 def op8_decontaminate(spark, sf_dir):
     """Words of all documents that occur in windows of benchmark items."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = decontaminate.find_hits(docs, items)
     names = F.array_sort(F.transform("hits.items", lambda x: x.cast("string")))
-    return hits.select(
+    return S.tidy(spark, "decontaminated", lambda: decontaminate.find_hits(docs, items).select(
         "doc_id", F.col("hits.n_words").alias("n_words"), decontaminate.n_hit().alias("n_hit"),
         F.size("hits.items").cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
-        (F.size("hits.spans") > 0).alias("contaminated"))
+        (F.size("hits.spans") > 0).alias("contaminated")))
 
 
 def op9_minhash(spark, sf_dir):

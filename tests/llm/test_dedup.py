@@ -204,3 +204,14 @@ def test_empty_benchmark(make_docs, spark):
     got = decontaminate.find_hits(make_docs([(1, "a b"), (2, None)]), benchmark)
     assert sorted(map(tuple, got.select("doc_id", "hits.n_words", F.size("hits.spans")).collect())) == [(1, 2, 0), (2, 0, 0)]
     assert decontaminate.find_hits(make_docs([]), benchmark).count() == 0
+
+
+def test_items_named_by_text(spark, make_docs):
+    """Ids such as gsm-1 are kept as they are, in one block of items and in several."""
+    items = spark.createDataFrame([("gsm-1", "a b c d e f g h i j k"), ("gsm-10", "x y"), (None, "q r s")],
+                                  "item_id string, text string")
+    docs = make_docs([(1, "z a b c d e f g h i j z"), (2, "x y q r s"), (3, None)])
+    for words in (100_000, 5):
+        got = {r.doc_id: r.hits for r in decontaminate.find_hits(docs, items, item_words=words).collect()}
+        assert got[1]["items"] == ["gsm-1"] and got[2]["items"] == ["gsm-10"] and got[3]["items"] == []
+        assert [s["end_word"] - s["first_word"] for s in got[2]["spans"]] in ([5], [2, 3])
