@@ -16,7 +16,7 @@ large side Spark can split.
 
 Defined cases: null and empty texts have no licence of their own; a null path
 is the empty path in the root directory; rows that repeat a path get a row
-each and share what any of them says; ties go to the licence first in the
+each, with the licence of their own text; ties go to the licence first in the
 alphabet, among licence files of a directory to the higher cosine, then the
 smaller path; an empty table gives no rows; other columns are ignored.
 """
@@ -97,42 +97,52 @@ def _named(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/]*$", 0).rlike(LICENCE_FILE)
 
 
+# A row is its path and its text: rows that repeat both have the same licence,
+# rows that share only a path (null paths too) are kept apart.
+_ROW = ("path", "h1", "h2")
+
+
+def _rows(files: DataFrame) -> DataFrame:
+    return files.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+
+
 def _cosines(units: DataFrame, threshold: float, templates) -> DataFrame:
-    """(path, licence, cosine) of the units (path, pos, col) at or above the threshold."""
+    """(row, licence, cosine) of the units (row, pos, col) at or above the threshold."""
     spark = units.sparkSession
     rows, idf, other = template_index(templates)
+    unit = (*_ROW, "pos")
     # fixed tables: a few thousand rows from the templates, whatever the input
     index = F.broadcast(spark.createDataFrame(rows, "token string, template int, licence string, w double"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "token string, idf double"))
-    tokens = units.select("path", "pos", F.explode(F.regexp_extract_all("col", F.lit(TOKEN), F.lit(0))).alias("token"))
-    weighted = (tokens.groupBy("path", "pos", "token").agg(F.count(F.lit(1)).alias("tf"))
+    tokens = units.select(*unit, F.explode(F.regexp_extract_all("col", F.lit(TOKEN), F.lit(0))).alias("token"))
+    weighted = (tokens.groupBy(*unit, "token").agg(F.count(F.lit(1)).alias("tf"))
                 .join(known, "token", "left")
-                .select("path", "pos", "token", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("w")))
-    vectors = weighted.groupBy("path", "pos").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-                                                  F.collect_list(F.struct("token", "w")).alias("terms"))
-    return (vectors.select("path", "pos", "norm", F.inline("terms").alias("token", "q"))
-            .join(index, "token").groupBy("path", "pos", "norm", "template", "licence")
+                .select(*unit, "token", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("w")))
+    vectors = weighted.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+                                          F.collect_list(F.struct("token", "w")).alias("terms"))
+    return (vectors.select(*unit, "norm", F.inline("terms").alias("token", "q"))
+            .join(index, "token").groupBy(*unit, "norm", "template", "licence")
             .agg(F.sum(F.col("q") * F.col("w")).alias("dot"))
-            .select("path", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
+            .select(*_ROW, "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
             .where(F.col("cosine") >= threshold))
 
 
 def own_licences(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, wholes=WHOLES) -> DataFrame:
-    """(path, licence, cosine) of the files (path, text) with a licence statement."""
+    """(path, h1, h2, licence, cosine) of the files (path, text) with a licence
+    statement; h1 and h2 are hashes of the text."""
     lower = F.translate("text", UPPER, LOWER)
-    files = files.where(lower.rlike(LICENSING))
+    # rows that repeat path and text are looked at once
+    files = _rows(files.where(lower.rlike(LICENSING))).dropDuplicates(list(_ROW))
     plain = F.regexp_replace(lower, COMMENT, "")
-    sentences = (files.select("path", F.posexplode(F.split(F.regexp_replace(lower, SENTENCE_END, "$1\n"), "\n")))
+    sentences = (files.select(*_ROW, F.posexplode(F.split(F.regexp_replace(lower, SENTENCE_END, "$1\n"), "\n")))
                  .where(F.col("col").rlike(LICENSING)))
-    paragraphs = (files.select("path", F.posexplode(F.split(plain, BLANK_LINES))).where(F.col("col").rlike(LICENSING)))
-    # rows that repeat a path are texts of their own
-    whole = files.where(_named(F.col("path"))).select("path", (-1 - F.pmod(F.xxhash64("text"), F.lit(1 << 30))).cast("int").alias("pos"),
-                                                      plain.alias("col")).distinct()
+    paragraphs = (files.select(*_ROW, F.posexplode(F.split(plain, BLANK_LINES))).where(F.col("col").rlike(LICENSING)))
+    whole = files.where(_named(F.col("path"))).select(*_ROW, F.lit(-1).alias("pos"), plain.alias("col"))
     cosines = (_cosines(sentences, threshold, templates)
                .unionByName(_cosines(paragraphs.unionByName(whole), threshold, wholes)))
     best = F.min(F.struct((-F.col("cosine")).alias("least"), "licence"))
-    return (cosines.groupBy("path").agg(best.alias("b"))
-            .select("path", F.col("b.licence").alias("licence"), (-F.col("b.least")).alias("cosine")))
+    return (cosines.groupBy(*_ROW).agg(best.alias("b"))
+            .select(*_ROW, F.col("b.licence").alias("licence"), (-F.col("b.least")).alias("cosine")))
 
 
 def _directory(path: Column) -> Column:
@@ -151,7 +161,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     first = F.min(F.struct((-F.col("cosine")).alias("least"), "path", "licence"))
     declared = (own.where(named).groupBy(_directory(F.col("path")).alias("prefix")).agg(first.alias("f"))
                 .select("prefix", F.col("f.licence").alias("inherited")))
-    listed = files.select(*(f"kept_{i}" for i in range(len(keep))), "path", _directory(F.col("path")).alias("dir"))
+    listed = _rows(files).select(*(f"kept_{i}" for i in range(len(keep))), *_ROW, _directory(F.col("path")).alias("dir"))
     parts = F.split("dir", "/")
     steps = F.when(F.col("dir") == "", F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size(parts)))
     prefixes = (listed.select("dir").distinct().select("dir", F.explode(steps).alias("depth"))
@@ -159,9 +169,9 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     nearest = (prefixes.join(declared, "prefix").groupBy("dir")
                .agg(F.max(F.struct("depth", "prefix", "inherited")).alias("n"))
                .select("dir", F.col("n.prefix").alias("prefix"), F.col("n.inherited").alias("inherited")))
-    own = own.select("path", F.col("licence").alias("own_licence"), "cosine")
+    own = own.select(*_ROW, F.col("licence").alias("own_licence"), "cosine")
     from_dir = F.col("own_licence").isNull() & F.col("inherited").isNotNull()
-    return (listed.join(own, "path", "left").join(nearest, "dir", "left")
+    return (listed.join(own, list(_ROW), "left").join(nearest, "dir", "left")
             .select(*(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)),
                     "path", "own_licence", "cosine", F.coalesce("own_licence", "inherited").alias("licence"),
                     F.when(F.col("own_licence").isNotNull(), "own").when(from_dir, "inherited")

@@ -148,8 +148,22 @@ def test_published_licence_files_and_headers(spark):
 
 
 def test_licence_scan_stays_in_the_jvm(spark, sf_dir):
-    plan = queries.op3_licence_scan(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    """Both plans that run: the files' own licences, and the rest over them."""
+    files = queries._as_files(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for df in (licences.own_licences(files.select("path", "text")), licences.scan(files, keep=("doc_id",))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "ExternalRDD")), plan
+
+
+def test_rows_that_share_a_path_keep_their_own_licences(spark):
+    long = "This paragraph speaks of licensing " + "and of many other things in many words " * 30
+    rows = [("a/x.txt", "Released under the MIT License."), ("a/x.txt", long), ("a/x.txt", "Released under the ISC License."),
+            ("a/x.txt", "nothing"), ("a/x.txt", "Released under the MIT License."), (None, "Released under the MIT License."),
+            (None, long), ("a/x.txt", None), ("LICENSE", long), ("b/LICENSE", "Released under the ISC License.")]
+    files = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, path string, text string")
+    got = {r.id: r.own_licence for r in licences.scan(files, keep=("id",)).collect()}
+    assert got == {0: "MIT", 1: None, 2: "ISC", 3: None, 4: "MIT", 5: "MIT", 6: None, 7: None, 8: None, 9: "ISC"}
 
 
 # -- embeddings
