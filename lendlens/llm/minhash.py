@@ -24,8 +24,8 @@ is never lost.
 
 Defined cases: null, empty and blank texts have the empty set and link with
 nothing; fewer than five words are one shingle; rows with equal texts are one
-class, kept by the smallest id; rows that repeat an id get a row each; a null
-id is its own component (null) and kept; other columns are ignored.
+class, kept by the smallest id; rows that repeat an id get a row each, and where
+their texts differ each has its text's own links; a null id is its own component (null) and kept; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,13 +103,13 @@ def signatures(values: np.ndarray, first: np.ndarray, bins: int) -> tuple[np.nda
     return texts, matrix.reshape(len(texts), bins)
 
 
-_SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
+_SIGNED = "doc_id long, text_key long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
 def _sign(batches, shingle: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     codes = B.table(B.SPACE, lower=True)
     for batch in batches:
-        for a, b, data, offsets in _small_blocks(batch.column(1)):
+        for a, b, data, offsets in _small_blocks(batch.column(2)):
             values, first = shingle_sets(data, offsets, codes, shingle)
             counts = np.diff(first)
             texts, matrix = signatures(values, first, bands * rows)
@@ -127,9 +127,9 @@ def _sign(batches, shingle: int, bands: int, rows: int) -> Iterator[pa.RecordBat
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)),
                                              pa.array(keys.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(counts.astype(np.int64)),
+                [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(counts.astype(np.int64)),
                  pa.array(prints[0]), pa.array(prints[1]), lists],
-                names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
+                names=["doc_id", "text_key", "n_shingles", "fp1", "fp2", "bands"])
 
 
 def _sets(batches, shingle: int) -> Iterator[pa.RecordBatch]:
@@ -200,15 +200,46 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     percent: int = THRESHOLD_PERCENT, shingle: int = SHINGLE,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``df``."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return (near_duplicate_classes(df, id_col, text_col, percent, shingle, bands, rows)
+            .select("doc_id", "n_shingles", "component_id",
+                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def text_key(text: Column) -> Column:
+    """Tells the texts of rows that repeat an id apart."""
+    return F.xxhash64(text)
+
+
+def _numbered(classes: DataFrame) -> DataFrame:
+    """``classes`` with a ``node`` of each: the smallest id in it, or where that
+    is another class's too (a repeated id with different texts) a number of its own."""
+    shared = (classes.groupBy("rep").agg(F.count(F.lit(1)).alias("often"),
+                                         F.min(F.struct("fp1", "fp2")).alias("named")).where("often > 1"))
+    placed = classes.join(shared.drop("often"), "rep", "left")
+    own = F.coalesce(F.struct("fp1", "fp2") == F.col("named"), F.lit(True))
+    placed = S.materialised(placed.withColumn("node", F.when(own, F.col("rep"))).drop("named"), "minhash-classes")
+    # numbers are fixed by being written; ids as high as these don't occur
+    others = S.materialised(placed.where("node is null").withColumn(
+        "node", F.lit((1 << 63) - 1) - F.monotonically_increasing_id()), "minhash-classes")
+    return placed.where("node is not null").unionByName(others)
+
+
+def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                           percent: int = THRESHOLD_PERCENT, shingle: int = SHINGLE,
+                           bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and lead for every row of
+    ``df``: whether it is the first row (by id, then text_key) of its component."""
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
+                     F.col(text_col).alias("text"))
     signed = S.materialised(docs.mapInArrow(lambda it: _sign(it, shingle, bands, rows), _SIGNED),
                             "minhash-signatures")
-    classes = S.materialised(
+    classes = _numbered(
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("fp1", "fp2")
-        .agg(F.min("doc_id").alias("rep")), "minhash-classes")
-    leads = (signed.where("n_shingles > 0").join(classes.withColumnRenamed("rep", "doc_id"),
-                                                 ["fp1", "fp2", "doc_id"])
-             .select(F.col("doc_id").alias("rep"), "bands").distinct())
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        .select("fp1", "fp2", F.col("first.doc_id").alias("rep"), F.col("first.text_key").alias("rep_key")))
+    first = classes.select("fp1", "fp2", F.col("rep").alias("doc_id"), F.col("rep_key").alias("text_key"), "node")
+    leads = (signed.where("n_shingles > 0").join(first, ["fp1", "fp2", "doc_id", "text_key"])
+             .select(F.col("node").alias("rep"), "bands").distinct())
     banded = leads.select(F.explode("bands").alias("bucket"), "rep")
     shared = S.materialised(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
                             .where("size > 1"), "minhash-buckets")
@@ -218,7 +249,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .agg(F.max(F.struct("met", (-F.col("rep")).alias("rep"))).alias("h"))
             .select("bucket", (-F.col("h.rep")).alias("a")))
     sets = S.materialised(
-        docs.join(met.select("rep").hint("merge"), docs.doc_id == F.col("rep")).select("rep", "text")
+        docs.join(first.join(met.select(F.col("rep").alias("node")), "node").hint("merge"), ["doc_id", "text_key"])
+        .select(F.col("node").alias("rep"), "text")
         .mapInArrow(lambda it: _sets(it, shingle), "rep long, set array<long>")
         .dropDuplicates(["rep"]), "minhash-sets")
     stars = (members.join(hubs, "bucket").where(F.col("rep") != F.col("a"))
@@ -236,9 +268,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         _confirm(_past_the_hub(placed.join(apart, "a"), sets, percent), sets, percent), "minhash-further")
     if not further.where("linked").isEmpty():
         found = G.components(linked.unionByName(further.where("linked").select("a", "b")))
-    return (signed.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"], "left")
-            .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component_id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
-                                               F.coalesce("component", "rep")).otherwise(F.col("doc_id")))
-            .select("doc_id", "n_shingles", "component_id",
-                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+    # a component is named by its smallest id, and led by that id's text
+    members = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    leaders = members.groupBy("component").agg(F.min(F.struct("rep", "rep_key")).alias("leader"))
+    named = (members.select("fp1", "fp2", "component").join(leaders, "component")
+             .select("fp1", "fp2", F.col("leader.rep").alias("leader_id"), F.col("leader.rep_key").alias("leader_key")))
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    return (signed.drop("bands").join(named, ["fp1", "fp2"], "left")
+            .select("doc_id", "text_key", "n_shingles",
+                    F.when(linked, F.col("leader_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    (~linked | (F.col("leader_id") == F.col("doc_id")) & (F.col("leader_key") == F.col("text_key")))
+                    .alias("lead")))

@@ -215,3 +215,25 @@ def test_items_named_by_text(spark, make_docs):
         got = {r.doc_id: r.hits for r in decontaminate.find_hits(docs, items, item_words=words).collect()}
         assert got[1]["items"] == ["gsm-1"] and got[2]["items"] == ["gsm-10"] and got[3]["items"] == []
         assert [s["end_word"] - s["first_word"] for s in got[2]["spans"]] in ([5], [2, 3])
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (1, 0, 2), (2, 1, 0)])
+def test_repeated_ids_keep_their_own_links(spark, order):
+    """An id with two unrelated texts: neither borrows the other's links, and
+    none is lost to the pipeline, whatever the order of rows."""
+    import corpus_pipeline
+    rng = random.Random(8)
+    a, b = prose(rng, 200), prose(rng, 200)
+    rows = [(5, a), (5, b), (1, b + " word"), ]
+    rows = [rows[i] for i in order] + [(9, a), (5, a), (7, ""), (7, None), (7, ""), (None, a)]
+    for parts in (1, 4):
+        df = (spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+              .selectExpr("*", "'en' AS lang", "'s' AS source", "0L AS n_chars"))
+        got = {(r.doc_id, r.n_shingles > 0, r.text_key, r.component_id, r.lead)
+               for r in minhash.near_duplicate_classes(df).collect()}
+        by_text = {t: {(x[0], x[3], x[4]) for x in got if x[1] and x[2] == k}
+                   for t, k in df.selectExpr("text", "xxhash64(text)").distinct().collect() if t}
+        assert by_text == {a: {(5, 5, True), (9, 5, False), (None, None, True)}, b: {(5, 1, False)},
+                           b + " word": {(1, 1, True)}}
+        kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()), key=str)
+        assert kept == sorted([(5, a), (1, b + " word"), (7, ""), (7, None), (None, a)], key=str)
