@@ -29,12 +29,13 @@ def keep_quality(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each near-duplicate group: the one with the smallest id."""
+    """One document of each near-duplicate group: the one with the smallest id.
+    Rows that repeat an id are one document only where their texts are equal."""
     docs = docs.select(*COLUMNS)
     others = _shared.tidy(spark, "near-duplicates", lambda: (
-        minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()))
-    # rows that repeat an id are one document
-    named = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+        minhash.near_duplicate_classes(docs).where(~F.col("lead")).select("doc_id", "text_key").distinct()))
+    named = docs.where("doc_id is not null").withColumn("text_key", minhash.text_key(F.col("text")))
+    named = named.join(others, ["doc_id", "text_key"], "left_anti").dropDuplicates(["doc_id", "text_key"])
     return named.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
@@ -73,7 +74,7 @@ def run(spark, sf_dir):
     before = None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = _shared.materialised(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = _shared.tidy(spark, f"pipeline-{name}", lambda: stage(spark, docs, sf_dir))
         if before is not None:
             _shared.forget(before)
         before = docs
