@@ -8,6 +8,7 @@ import hashlib
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
@@ -252,6 +253,43 @@ def test_large_noisy_groups_keep_their_links(spark, n, block):
     assert {got[i].component_id for i in linked} == {got[linked[0]].component_id}
 
 
+def cone(n, seed=3, size=64, mean=0.9):
+    """Vectors around one direction, as text embeddings often lie, in small groups of near copies."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=size)
+    x = centre / np.linalg.norm(centre) * mean ** 0.5 + rng.normal(0, ((1 - mean) / size) ** 0.5, (n, size))
+    x[n // 2:] = x[rng.integers(0, n // 2, n - n // 2)] + rng.normal(0, 0.15 / size ** 0.5, (n - n // 2, size))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("n", [2000, 6000])
+def test_recall_in_a_cone(spark, n):
+    x = cone(n).astype("f4").astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())],
+                               "vec_id long, embedding array<float>, label int")
+    counts = np.array([r.n_links for r in embedding_dedup.near_duplicates(df).orderBy("vec_id").collect()])
+    assert (counts <= true).all() and counts.sum() >= 0.95 * true.sum()
+
+
+def test_candidates_share_enough_pivots():
+    """A cell takes the pairs that share ``shared`` of their first ``prefix`` pivots, each in its first shared list."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(60, 8))
+    orders = np.array([rng.permutation(12)[:6] for _ in range(60)])
+    pairs = {}
+    for pivot in range(12):
+        own = np.flatnonzero((orders[:, :4] == pivot).any(axis=1))
+        rows = pa.table({"rep": own, "n": np.ones(len(own), np.int64), "block": np.zeros(len(own), np.int32),
+                         "vector": pa.array(x[own].tolist()), "pivots": pa.array(orders[own].tolist(), pa.list_(pa.int32()))})
+        rep, counts, _ = embedding_dedup._cell((1, 8, pivot, 0, 0), rows, -2.0, 4, 2)
+        for r, c in zip(rep.tolist(), counts.tolist()):
+            pairs[r] = pairs.get(r, 0) + c
+    shared = np.array([[len(set(a) & set(b)) for b in orders[:, :4]] for a in orders[:, :4]])
+    assert pairs == dict(enumerate(((shared >= 2).sum(axis=1) - 1).tolist()))
+
+
 # -- registered queries and pipeline
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
