@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from lendlens.llm import _bytes as B
 from lendlens.llm import _trees, pii, quality
 
 from .texts import awkward, prose
@@ -277,6 +281,70 @@ def test_trees_learn_an_interaction():
 
 # -- quality
 
+def restated(x, y):
+    """Scores' parts by the textbook: shrunk covariances, determinants, solved systems, no Cholesky factors."""
+    groups = [x[y == k] for k in (0, 1)]
+    own = [np.cov(g.T, bias=False) for g in groups]
+    pooled = sum(c * (len(g) - 1) for c, g in zip(own, groups)) / (len(x) - 2)
+    density = []
+    for c, g in zip(own, groups):
+        c = (1 - quality.SHRINK_TO_POOLED) * c + quality.SHRINK_TO_POOLED * pooled
+        c = (1 - quality.SHRINK_TO_DIAGONAL) * c + quality.SHRINK_TO_DIAGONAL * np.diag(np.diag(c))
+        c = c + 1e-3 * np.eye(len(c))
+        density.append((g.mean(axis=0), c))
+
+    def difference(v):
+        out = [-0.5 * ((v - m) @ np.linalg.solve(c, v - m) + np.linalg.slogdet(c)[1]) for m, c in density]
+        return (out[1] - out[0]) / len(v)
+
+    return difference
+
+
+def test_scores_equal_a_plain_restatement(make_docs, spark):
+    rng = random.Random(11)
+    vocabulary = [prose(rng, 1) for _ in range(60)]
+    rows, known = [], []
+    for i in range(500):
+        good = rng.random() < 0.5
+        text = prose(rng, rng.randint(5, 80), None if good else vocabulary[:rng.randint(2, 40)])
+        rows.append((i, text + (" !!! 123" if rng.random() < (0.2 if good else 0.5) else "")))
+        known.append((i, int(good if rng.random() < 0.9 else not good), 0))
+    described = quality.describe(make_docs(rows)).cache()
+    model = quality.fit(described, spark.createDataFrame(known, "doc_id long, quality int, toxic int"))
+    x = {r.doc_id: np.array(r.x) for r in described.collect()}
+    got = {r.doc_id: r.score for r in quality.score(described, model).collect()}
+    learnt = [i for i, _, _ in known if zlib.crc32(str(i).encode()) % 5]
+    y = np.array([known[i][1] for i in learnt], float)
+    difference = restated(np.array([x[i] for i in learnt]), y)
+    d = {i: difference(x[i]) for i in x}
+    squashed = {i: math.copysign(math.log1p(abs(v)), v) for i, v in d.items()}
+    # the curve's slope and offset are where its penalised likelihood is flat
+    binned = np.array([round(squashed[i] * 64) / 64 for i in learnt])
+    p = 1 / (1 + np.exp(-(model.slope * binned + model.offset)))
+    assert abs(((y - p) * binned).sum() - model.slope) < 1e-6 and abs((y - p).sum() - 0.01 * model.offset) < 1e-6
+    for i in x:
+        want = 1 / (1 + math.exp(-(model.slope * squashed[i] + model.offset)))
+        assert math.isclose(got[i], want, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_statistics_equal_counting():
+    texts = ["Ab ab ab. cd\nAb ab", "", "one", "x x x x", "A1 b2\n\nA1 b2"]
+    (_, _, data, offsets), = B.blocks(pa.array(texts))
+    got = dict(zip(quality.FEATURES, quality.statistics(data, offsets).T))
+    for i, text in enumerate(texts):
+        words = text.split()
+        n, many = max(len(words), 1), Counter(words)
+        odds = lambda v: math.log((v + 0.003) / (1 - v + 0.003))
+        row = [values[i] for values in got.values()]
+        assert math.isclose(row[0], math.log1p(len(words)))
+        assert math.isclose(row[1], math.log1p(sum(len(w) for w in words) / n))
+        assert math.isclose(row[11], odds(len(many) / n))
+        assert math.isclose(row[12], odds(max(many.values(), default=0) / n))
+        assert math.isclose(row[13], odds(sum(a == b for a, b in zip(words, words[1:])) / n))
+        assert math.isclose(row[18], odds(sum(c == 1 for c in many.values()) / n))
+        assert math.isclose(row[19], math.log(n) - sum(c * math.log(c) for c in many.values()) / n, abs_tol=1e-12)
+
+
 def graded(seed, n):
     """Prose, and three kinds of junk."""
     rng = random.Random(seed)
@@ -334,7 +402,6 @@ def test_keep_good_equals_scores(make_docs, spark):
 
 
 def test_statistics_do_not_depend_on_the_block(make_docs):
-    from lendlens.llm import _bytes as B
     import pyarrow as pa
     texts = pa.array([t for _, t in awkward(8)], pa.string())
     whole = np.concatenate([quality.statistics(d, o) for _, _, d, o in B.blocks(texts)])
