@@ -192,13 +192,20 @@ def metadata(analysis: int | str, filters: Mapping | None = None) -> dict:
 NULL_LABEL = "(null)"
 
 
+def _quoted(label: Column, taken) -> Column:
+    """A label that would be mistaken for one of ``taken`` stands in quotes."""
+    return F.when(label.isin(list(taken)), F.concat(F.lit('"'), label, F.lit('"'))).otherwise(label)
+
+
 def _matrix(grouped: DataFrame, row: str, label: Column, value: Column, known) -> DataFrame:
     """Chart shape of a grouped result: one row per ``row``, one column per
     label. The columns are the known labels and, sorted after them, every
-    other label in the result; a null label has the column ``(null)``. The
+    other label in the result; a null label has the column ``(null)``, and a
+    label of that text stands in quotes. The
     other labels are read from the grouped result (a row per group), which
     takes a job when the matrix is built."""
-    named = grouped.select(row, F.coalesce(label, F.lit(NULL_LABEL)).alias("_label"), value.alias("_value"))
+    named = grouped.select(row, F.coalesce(_quoted(label, [NULL_LABEL]), F.lit(NULL_LABEL)).alias("_label"),
+                           value.alias("_value"))
     others = [r[0] for r in named.select("_label").distinct().collect() if r[0] not in known]
     return (named.groupBy(row).pivot("_label", [*known, *sorted(others)]).agg(F.sum("_value")))
 
@@ -209,7 +216,7 @@ def contract_realty_matrix(df: DataFrame, **filters) -> DataFrame:
     label, so no group hides another."""
     bare = replace(spec(6), after=())
     grouped = run_spec(bare, portfolio_filter(df, **filters))
-    label = F.coalesce(D.realty_label(), F.col("FLAG_OWN_REALTY"))
+    label = F.coalesce(D.realty_label(), _quoted(F.col("FLAG_OWN_REALTY"), L.REALTY_LABELS.values()))
     return _matrix(grouped, "NAME_CONTRACT_TYPE", label, F.col("DEFAULT_RATE"),
                    list(L.REALTY_LABELS.values()))
 

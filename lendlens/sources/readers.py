@@ -20,12 +20,14 @@ REJECTED = "_rejected"
 def _typed(text: Column, kind: T.DataType) -> Column:
     """A CSV value as ``kind``; null when it can't be read. Whole numbers
     written as decimals (``1.0``, ``-9000.0``, as data frames with gaps write
-    integer columns) are integers."""
+    integer columns) are integers, exactly; so are whole numbers in exponent
+    form as far as a double holds them."""
     if not isinstance(kind, T.IntegralType):
         return text.try_cast(kind)
     number = text.try_cast("double")
-    return F.coalesce(text.try_cast(kind),
-                      F.when(number == F.floor(number), number.cast("decimal(38,0)").try_cast(kind)))
+    return (F.when(F.trim(text).rlike(r"^[+-]?[0-9]+\.0*$"), F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast(kind))
+            .otherwise(F.coalesce(text.try_cast(kind),
+                                  F.when(number == F.floor(number), number.cast("decimal(38,0)").try_cast(kind)))))
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, rejected: bool) -> DataFrame:

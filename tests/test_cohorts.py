@@ -191,3 +191,15 @@ def test_unknown_weekday_fails_analysis_and_report_alike(spark, sf_dir):
     for result in (cohorts.analyse(apps, 8), cohorts.cohort_report(apps)):
         with pytest.raises(Exception, match="unknown weekday"):
             result.collect()
+
+
+def test_labels_that_look_like_others_stay_apart(spark):
+    """A literal (null), or a flag that spells a known label, is never summed with what it looks like."""
+    rows = [(s, f, t) for s, f, rates in ((None, "Y", 10), ("(null)", "Propriétaire", 30)) for t in [1] * rates + [0] * (100 - rates)]
+    df = spark.createDataFrame(rows, "NAME_FAMILY_STATUS string, FLAG_OWN_REALTY string, TARGET int").selectExpr(
+        "*", "monotonically_increasing_id() AS id", "0 AS CNT_CHILDREN", "1e0 AS AMT_CREDIT", "1e0 AS AMT_INCOME_TOTAL",
+        "'Cash loans' AS NAME_CONTRACT_TYPE")
+    cells = {tuple(r)[1:] for r in cohorts.matrix_cells(cohorts.family_children_matrix(df)).collect()}
+    assert cells == {("(null)", 10.0), ('"(null)"', 30.0)}
+    cells = {tuple(r)[1:] for r in cohorts.matrix_cells(cohorts.contract_realty_matrix(df)).collect()}
+    assert cells == {("Propriétaire", 10.0), ('"Propriétaire"', 30.0)}

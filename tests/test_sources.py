@@ -124,3 +124,10 @@ def test_write_result_partitioned(spark, sf_dir, tmp_path):
     assert sorted(d for d in os.listdir(out) if d.startswith("ANALYSIS=")) == \
         [f"ANALYSIS={n}" for n in (1, 3, 4, 5, 6, 7, 8)]
     assert spark.read.parquet(out).count() == cohorts.cohort_report(fx.applications(spark, sf_dir)).count()
+
+
+def test_csv_large_ids_written_as_decimals_stay_exact(spark, tmp_path):
+    path = tmp_path / "large.csv"
+    path.write_text("SK_ID_CURR,AMT_CREDIT\n9007199254740993.0,1\n-9007199254740995.00,1\n9223372036854775807.,1\n +12.0 ,1\n4e3,1\n")
+    df = readers.read_applicants(spark, str(path), fmt="csv")
+    assert sorted(r.SK_ID_CURR for r in df.collect()) == [-9007199254740995, 12, 4000, 9007199254740993, (1 << 63) - 1]
