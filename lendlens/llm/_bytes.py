@@ -26,8 +26,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the codes (at most 511) in each of the sorted, disjoint runs.
+def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """64-bit hash of the codes (at most 511) in each of the sorted, disjoint
+    runs; another ``salt`` gives an independent one.
 
     A run's hash adds up a scrambled number for each pair of code and place in
     the run. There is no polynomial in it, so no family of words is known to
@@ -40,6 +41,7 @@ def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     place[starts[0]:] -= np.repeat(starts, np.diff(np.append(starts, n))).astype(np.uint64)
     place <<= np.uint64(9)
     place += codes.astype(np.uint64)
+    place ^= np.uint64(salt)
     place *= _P
     place ^= place >> np.uint64(29)
     place *= _Q

@@ -1,7 +1,12 @@
 """Repeated passages: exact windows by super-k-mer partitioning.
 
 A window is ``WINDOW`` consecutive words of one document; its minimiser is
-the smallest hash among its ``MINIMISER``-word sequences. Consecutive windows
+the first of its ``MINIMISER``-word sequences in an order by hash that has the
+common ones last. Common are those that would be the minimiser of more than an
+average bucket in a bounded sample of ``SAMPLE`` documents: a phrase that many
+texts hold between words of their own is a minimiser only of windows that hold
+nothing rarer. The order depends on a window's words alone, so equal windows
+meet whatever the sample says; it only spreads them. Consecutive windows
 that share a minimiser (a super-k-mer) travel as one packed string to the
 bucket of that minimiser, so equal windows always meet, at about three times
 the text instead of 35 times. In its bucket every window is counted exactly:
@@ -12,7 +17,8 @@ Windows that repeat there are known to be repeated, and only their first
 occurrence is sent on, so a passage that a third of all documents hold
 arrives once per block and not once per document. A bucket that still
 exceeds ``BUCKET_BYTES`` isn't held: its windows go on, one row each, to a
-count by 128-bit window fingerprint that Spark aggregates map-side.
+count by 128-bit window fingerprint (two independent hashes of the words) that
+Spark aggregates map-side.
 
 Packed strings are sent in one compressed record per block and bucket.
 
@@ -41,6 +47,9 @@ WINDOW = 35
 MINIMISER = 5
 BUCKETS_PER_PARTITION = 8
 BUCKET_BYTES = 64 << 20
+SAMPLE = 16_384    # documents looked at for common minimisers
+SEEN = 16          # times a minimiser must be seen there to count as common
+_OTHER_HASH = 0x632BE59BD9B4E019
 
 _RUNS = np.dtype([("doc_id", "<i8"), ("key", "<i8"), ("start", "<i8"), ("windows", "<i4"),
                   ("bytes", "<i4"), ("null_id", "?")])
@@ -112,7 +121,46 @@ def _minimum(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def _pack(batches, window: int, minimiser: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _minimisers(hashes: np.ndarray, window: int, minimiser: int, common: np.ndarray) -> np.ndarray:
+    """Minimiser of the window at each word: its sequences by hash, those whose
+    hash is in the sorted ``common`` after all others."""
+    order = B.mix(B.grams(hashes, minimiser)) >> np.uint64(1)
+    if len(common):
+        spot = np.minimum(np.searchsorted(common, order), len(common) - 1)
+        order |= (common[spot] == order).astype(np.uint64) << np.uint64(63)
+    return _minimum(order, window - minimiser + 1)
+
+
+def _common(keyed: DataFrame, window: int, minimiser: int, buckets: int, sample: int) -> np.ndarray:
+    """Sorted minimisers that more super-k-mers of the sample share than an
+    average bucket holds (at most as many as there are buckets)."""
+    n = keyed.count()
+    part = min(1 << 32, sample * (1 << 32) // max(n, 1))
+    chosen = keyed.where(F.pmod(F.xxhash64("doc_id", "key"), F.lit(1 << 32)) < part).select("text")
+    nothing = np.empty(0, np.uint64)
+
+    def count(batches):
+        codes = B.table(B.SPACE, lower=False)
+        for batch in batches:
+            for a, b, data, offsets in B.blocks(batch.column(0)):
+                _, _, hashes, first = B.words(data, offsets, codes)
+                at, text = B.within(first, window)
+                if not len(at):
+                    continue
+                least = _minimisers(hashes, window, minimiser, nothing)[at]
+                begin, _ = _runs(at, text, least)
+                values, many = np.unique(least[begin], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(many)], names=["m", "many"])
+
+    counts = chosen.mapInArrow(count, "m long, many long").groupBy("m").agg(F.sum("many").alias("many"))
+    # what is seen often enough is few rows, at most the sample's super-k-mers / SEEN
+    often = S.materialised(counts, "minimisers")
+    all_ = often.agg(F.coalesce(F.sum("many"), F.lit(0))).first()[0]
+    rows = often.where((F.col("many") >= SEEN) & (F.col("many") * buckets > all_)).select("m").collect()
+    return np.sort(np.array([r["m"] for r in rows], np.int64).view(np.uint64))
+
+
+def _pack(batches, window: int, minimiser: int, buckets: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
     codes = B.table(B.SPACE, lower=False)
     squeeze = zstandard.ZstdCompressor(level=3)
     turn = TaskContext.get().partitionId() * 7919
@@ -128,7 +176,7 @@ def _pack(batches, window: int, minimiser: int, buckets: int) -> Iterator[pa.Rec
             packed, byte_at = _normalised(data, starts, ends)
             lead = _first_equal(_word_ids(packed, byte_at), at, window)
             own = lead == np.arange(len(at))
-            least = _minimum(B.mix(B.grams(hashes, minimiser)), window - minimiser + 1)[at]
+            least = _minimisers(hashes, window, minimiser, common)[at]
 
             def runs(begin, end, start, text):
                 out = np.zeros(len(begin), _RUNS)
@@ -174,14 +222,15 @@ def _found(runs: np.ndarray, start: np.ndarray, end: np.ndarray, win=None) -> pa
         names=["doc_id", "key", "start", "end", "win1", "win2"])
 
 
-def _windows(runs: np.ndarray, text: bytes, window: int):
-    """Words of packed runs: (bytes, word positions in them, hashes, index of
-    each window's first word, run of each window, window's number in its run)."""
+def _windows(runs: np.ndarray, text: bytes, window: int, twice: bool = False):
+    """Words of packed runs: (bytes, word positions in them, hashes (and with
+    ``twice`` independent second ones), index of each window's first word, run of each window, window's number in its run)."""
     data = np.frombuffer(text, np.uint8)
     borders = np.append(0, np.cumsum(runs["bytes"], dtype=np.int64))
     starts, ends, hashes, first = B.words(data, borders, B.table(B.SPACE, lower=False))
     at, run = B.within(first, window)
-    return data, np.append(starts, len(data)), hashes, at, run, at - first[run]
+    other = B.run_hashes(B.table(B.SPACE, lower=False)[data], starts, ends, _OTHER_HASH) if twice else None
+    return data, np.append(starts, len(data)), (hashes, other), at, run, at - first[run]
 
 
 def _count(runs: np.ndarray, text: bytes, window: int) -> pa.RecordBatch:
@@ -200,10 +249,10 @@ def _count(runs: np.ndarray, text: bytes, window: int) -> pa.RecordBatch:
 
 def _spill(runs: np.ndarray, text: bytes, window: int) -> pa.RecordBatch:
     """One row per window, with a 128-bit fingerprint of its words."""
-    _, _, hashes, at, run, number = _windows(runs, text, window)
+    _, _, hashes, at, run, number = _windows(runs, text, window, twice=True)
     out = runs[run]
     start = out["start"] + number
-    win = [B.mix(B.grams(h, window))[at] for h in (hashes, B.mix(hashes + np.uint64(0x632BE59BD9B4E019)))]
+    win = [B.mix(B.grams(h, window))[at] for h in hashes]
     return _found(out, start, start + window, win)
 
 
@@ -264,14 +313,15 @@ def _remove(batches) -> Iterator[pa.RecordBatch]:
 
 def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, minimiser: int = MINIMISER, buckets: int | None = None,
-                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                    bucket_bytes: int = BUCKET_BYTES, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_words, n_removed and text (kept words joined by one space)
     for every row. ``buckets`` defaults to eight per shuffle partition."""
     parts = S.partitions(df.sparkSession)
     buckets = buckets or BUCKETS_PER_PARTITION * parts
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    packed = keyed.mapInArrow(lambda it: _pack(it, window, minimiser, buckets), _PACKED)
+    common = _common(keyed, window, minimiser, buckets, sample)
+    packed = keyed.mapInArrow(lambda it: _pack(it, window, minimiser, buckets, common), _PACKED)
     found = S.materialised(
         packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
         .mapInArrow(lambda it: _reduce(it, window, bucket_bytes), _FOUND), "repeated-windows")

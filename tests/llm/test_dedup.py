@@ -73,6 +73,38 @@ def test_equal_hashes_are_told_apart_by_words(monkeypatch):
     assert substring_dedup._first_equal(ids, np.arange(7), 3).tolist() == [0, 1, 2, 3, 4, 5, 0]
 
 
+def test_a_phrase_in_every_text_is_no_bucket(spark, make_docs):
+    """One phrase, everywhere and first by hash, between each text's own words."""
+    import numpy as np
+    rng = random.Random(3)
+    grams = {}
+    for _ in range(4000):
+        phrase = prose(rng, 5).split()
+        if len(phrase) == 5:
+            raw = " ".join(phrase).encode()
+            hashes = substring_dedup.B.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]),
+                                             substring_dedup.B.table(substring_dedup.B.SPACE, False))[2]
+            grams[int(substring_dedup.B.mix(substring_dedup.B.grams(hashes, 5))[0])] = " ".join(phrase)
+    phrase = grams[min(grams)]
+    word = lambda: rng.randbytes(4).hex()
+    rows = [(i, " ".join([word() for _ in range(30)] + [phrase] + [word() for _ in range(30)])) for i in range(300)]
+    keyed = make_docs(rows, extra=False).selectExpr("doc_id", "xxhash64(text) AS key", "text")
+    common = substring_dedup._common(keyed, 35, 5, 64, 1000)
+    assert len(common) >= 1
+
+    def windows(common):
+        packed = keyed.mapInArrow(lambda it: substring_dedup._pack(it, 35, 5, 64, common), substring_dedup._PACKED)
+        per = collections.Counter()
+        for r in packed.collect():
+            per[r.bucket] += int(np.frombuffer(r.runs, substring_dedup._RUNS)["windows"].sum())
+        return max(per.values()) / sum(per.values())
+
+    assert windows(np.empty(0, np.uint64)) > 0.3 and windows(common) < 0.06
+    rows += [(1000, rows[0][1]), (1001, "a " + rows[1][1])]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeated(make_docs(rows), sample=1000).collect()}
+    assert {i for i, n in got.items() if n} == {0, 1, 1000, 1001} and got[0] == 65
+
+
 # -- near duplicates
 
 def brute_classes(rows, percent, n=5):
