@@ -6,12 +6,17 @@ overlapping spans: what fails a base check, numbers written without a plus, spel
 values assigned to a name that speaks of a secret, private keys and random
 strings, all of any length.
 Boosted trees score each proposal from features of its format and of the text
-around it. They are fitted on at most ``SAMPLE`` labelled proposals of the
-corpus (a fixed pseudo-random choice); a third of the sample is held out. There
-each kind's scores are calibrated (isotonic regression), and its threshold is the
-lowest score that is ``PRECISION`` precise together with all above it and whose
-own calibrated probability is at least ``CALIBRATED``. Proposals at or above their kind's threshold are redacted, the likelier one
-where two overlap.
+around it. They are fitted on all labelled proposals of the corpus, but for every
+third in the order of a hash, which is held out. There each kind's scores are
+calibrated (isotonic regression), and its threshold is the lowest score, in steps
+of ``1 / SCORES``, that is ``PRECISION`` precise together with all above it and
+whose own calibrated probability is at least ``CALIBRATED``. Proposals at or above
+their kind's threshold are redacted, the likelier one where two overlap.
+
+Spark counts each feature's values (rounded to ``DIGITS`` binary digits, so they
+are few) and the trees' cuts are quantiles of these counts; proposals of equal
+bins become one row with counts. Each level of each tree is one pass over these
+rows, and a last one counts the held-out labels by kind and score.
 
 Base matches are labelled by their checks. Other proposals are labelled by
 evidence beside the format: the name a value is assigned to, words before the
@@ -43,7 +48,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _bytes as B
@@ -58,9 +63,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-SAMPLE = 20_000
 PRECISION = 0.98
 CALIBRATED = 0.9
+DIGITS = 12  # binary digits of the values that cuts are chosen from
+SCORES = 1 << 14  # steps of the scores that thresholds are chosen from
+SLICES = 12  # bits of a hash, whose slices are ranked one by one
 
 _LOCAL_SET = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _AT = re.compile(r"[(\[]\s?at\s?[)\]]|(?<=\s)at(?=\s)", re.I)
@@ -392,60 +399,114 @@ class Judge:
         return sorted(taken)
 
 
-def _calibrated(scores: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Probability of each of the falling scores: the closest one to the labels
-    that falls with the score and is the same for equal scores."""
-    blocks: list[list[float]] = []  # [sum, rows], means falling
-    _, sizes = np.unique(-scores, return_counts=True)
-    at = 0
-    for n in sizes.tolist():
-        blocks.append([float(right[at:at + n].sum()), n])
-        at += n
+def _calibrated(right: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Probability of each of the falling scores, met by ``rows`` proposals,
+    ``right`` of them right: the closest one to the labels that falls with the
+    score."""
+    blocks: list[list[float]] = []  # [sum, rows, scores], means falling
+    for total, n in zip(right.tolist(), rows.tolist()):
+        blocks.append([total, n, 1])
         while len(blocks) > 1 and blocks[-1][0] * blocks[-2][1] >= blocks[-2][0] * blocks[-1][1]:
-            total, rows = blocks.pop()
-            blocks[-1][0] += total
-            blocks[-1][1] += rows
-    return np.repeat([total / n for total, n in blocks], [n for _, n in blocks])
-
-
-def fit(spotted: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Judge:
-    """Fit on a fixed pseudo-random choice of at most ``sample`` labelled proposals.
-
-    Proposals are first thinned by their hash to about twice the sample in
-    all, so that what tasks send on is bounded whatever their number.
-    """
-    spotted = spotted.select("doc_id", F.filter("proposals", lambda p: p["rule"] != UNLABELLED).alias("proposals"))
-    n = spotted.agg(F.sum(F.size("proposals"))).first()[0] or 0
-    part = min(1 << 32, 2 * sample * (1 << 32) // max(n, 1))
-    rows = (spotted.select("doc_id", F.explode("proposals").alias("p"))
-            .select(F.xxhash64("doc_id", "p.start", "p.kind").alias("h"), "p.kind", "p.rule", "p.x")
-            .where(F.pmod("h", F.lit(1 << 32)) < part)
-            .orderBy("h", "kind", "rule").limit(sample).collect())
-    kinds = np.array([r["kind"] for r in rows], int)
-    rules = np.array([r["rule"] for r in rows], int)
-    y = np.minimum(rules, 1).astype(float)
-    x = np.array([r["x"] for r in rows])
-    held = np.arange(len(rows)) % 3 == 0
-    if not len(rows) or len(set(y[~held])) < 2:
-        return Judge(None, np.ones(len(KINDS)))
-    alone = x.copy()  # on the same side of the split as the whole features
+            for i, part in enumerate(blocks.pop()):
+                blocks[-1][i] += part
+    return np.repeat([total / n for total, n, _ in blocks], [scores for *_, scores in blocks])
+
+
+def _shown(x: np.ndarray, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of labelled proposals and, after them, of those shown a second
+    time without the text around; the row of each."""
+    alone = x.copy()
     alone[:, -_CONTEXT_FEATURES:] = 0
     more = np.flatnonzero((x != alone).any(axis=1) & (rules != BY_WORDS))
-    x, y, kinds, held = (np.concatenate(p) for p in ((x, alone[more]), (y, y[more]), (kinds, kinds[more]), (held, held[more])))
-    trees = _trees.fit(x[~held], y[~held])
-    p = trees.probability(x)
+    return np.concatenate([x, alone[more]]), np.append(np.arange(len(x)), more)
+
+
+def _labelled(spotted: DataFrame) -> DataFrame:
+    """(kind, rule, x, n, held): different labelled proposals, how many there
+    are, and how many of these are held out: every third in the order of a hash.
+    Ranks are counted within slices of the hash, after the counts of those before."""
+    rows = (spotted.select("doc_id", F.explode(F.filter("proposals", lambda p: p["rule"] != UNLABELLED)).alias("p"))
+            .select(F.xxhash64("doc_id", "p.start", "p.kind").alias("h"), "p.kind", "p.rule", "p.x")
+            .withColumn("slice", F.shiftright("h", 64 - SLICES)))
+    rows = rows.groupBy("slice", "h", "kind", "rule", "x").agg(F.count("*").alias("n"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (rows.groupBy("slice").agg(F.sum("n").alias("all")).withColumn(
+        "first", F.coalesce(F.sum("all").over(before.orderBy("slice")), F.lit(0))).select("slice", "first"))
+    place = F.coalesce(F.sum("n").over(before.partitionBy("slice").orderBy("h", "kind", "rule", "x")), F.lit(0))
+    rows = rows.withColumn("place", place).join(F.broadcast(firsts), "slice")
+    start = F.col("place") + F.col("first")
+    held = F.expr("(start + n + 2) div 3 - (start + 2) div 3")
+    return rows.withColumn("start", start).select("kind", "rule", "x", "n", held.alias("held"))
+
+
+def _batches(batches) -> Iterator[tuple[np.ndarray, ...]]:
+    """(kind, label, x, n, held) of the proposals as they are shown, by batch of ``_labelled``."""
+    for batch in batches:
+        if batch.num_rows:
+            kinds, rules, n, held = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
+            x, row = _shown(batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1), rules)
+            yield kinds[row], np.minimum(rules, 1)[row], x, n[row], held[row]
+
+
+def _values(batches) -> Iterator[pa.RecordBatch]:
+    """(feature, value, n) of proposals that aren't held out, values rounded to
+    ``DIGITS`` binary digits; the label counts as feature -1."""
+    for _, y, x, n, held in _batches(batches):
+        part, power = np.frexp(x)
+        columns = [y.astype(float), *np.ldexp(np.rint(np.ldexp(part, DIGITS)), power - DIGITS).T]
+        for i, column in enumerate(columns):
+            values, at = np.unique(column, return_inverse=True)
+            total = np.bincount(at, n - held).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(total), i - 1, np.int32)), pa.array(values), pa.array(total)],
+                names=["feature", "value", "n"])
+
+
+def fit(spotted: DataFrame, precision: float = PRECISION) -> Judge:
+    """Fit on all labelled proposals; sums over them, none of them, come to the driver."""
+    labelled = S.materialised(_labelled(spotted), "pii-labelled")
+    counts = (labelled.mapInArrow(_values, "feature int, value double, n long").where("n > 0")
+              .groupBy("feature", "value").agg(F.sum("n").alias("n")).orderBy("feature", "value").toArrow())
+    feature, value, n = (counts[name].to_numpy() for name in ("feature", "value", "n"))
+    by_label = n[feature == -1]
+    if len(by_label) < 2:
+        S.forget(labelled)
+        return Judge(None, np.ones(len(KINDS)))
+    cuts = [_trees.quantile_cuts(value[feature == i], n[feature == i]) for i in range(feature[-1] + 1)]
+
+    def bins(batches) -> Iterator[pa.RecordBatch]:
+        for kinds, y, x, n, held in _batches(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kinds), _trees.bin_column(x, cuts), *(pa.array(c.astype(np.int64)) for c in (
+                    n - held, (n - held) * y, held, held * y))],
+                names=["kind", "bins", "n", "ones", "held", "held_ones"])
+
+    counted = S.materialised(
+        labelled.mapInArrow(bins, "kind int, bins binary, n long, ones long, held long, held_ones long")
+        .groupBy("kind", "bins").agg(*(F.sum(c).alias(c) for c in ("n", "ones", "held", "held_ones"))), "pii-counted")
+    S.forget(labelled)
+    trees = _trees.fit_counted(counted.where("n > 0"), int(by_label.sum()), int(by_label[1]), cuts)
+
+    def scores(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = trees.probability(_trees.unpacked(batch.column(1), len(cuts)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array((p * SCORES).astype(np.int32)), *batch.columns[2:]],
+                names=["kind", "score", "n", "ones"])
+
+    judged_by = (counted.where("held > 0").select("kind", "bins", "held", "held_ones")
+                 .mapInArrow(scores, "kind int, score int, n long, ones long").groupBy("kind", "score")
+                 .agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")).orderBy("kind", F.desc("score")).toArrow())
+    S.forget(counted)
+    kind, score, n, ones = (judged_by[name].to_numpy() for name in ("kind", "score", "n", "ones"))
     thresholds = np.full(len(KINDS), 2.0)  # a kind never seen right is never added
     for k in range(len(KINDS)):
-        own = held & (kinds == k)
-        order = np.argsort(-p[own], kind="stable")
-        scores, right = p[own][order], y[own][order]
-        level = np.cumsum(right) / np.arange(1, len(right) + 1)
-        own_level = _calibrated(scores, right)
-        last = np.append(scores[1:] != scores[:-1], True)[:len(scores)]  # whole ties only
-        fine = np.flatnonzero((level >= precision) & (own_level >= CALIBRATED) & last)
+        right, rows = ones[kind == k], n[kind == k]
+        level = np.cumsum(right) / np.cumsum(rows)
+        fine = np.flatnonzero((level >= precision) & (_calibrated(right, rows) >= CALIBRATED))
         if len(fine):
-            thresholds[k] = max(0.5, scores[fine[-1]])
-    return Judge(trees, thresholds)
+            thresholds[k] = max(0.5, score[kind == k][fine[-1]] / SCORES)
+    return Judge(trees.on_values(cuts), thresholds)
 
 
 def _written(spans: list[tuple[int, int, int]]) -> str:

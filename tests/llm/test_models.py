@@ -239,6 +239,76 @@ def test_plain_numbers_spelled_addresses_and_free_keys_are_redacted(make_docs):
         assert np.mean(own) > 0.95, word
 
 
+@pytest.fixture(scope="module")
+def many_labelled(spark):
+    """60,000 labelled proposals, three of them of a kind of its own, and a
+    few without a label."""
+    def x(i):
+        return ", ".join(f"double(kind = {k})" for k in range(5)) + "".join(
+            f", double(pmod(xxhash64({i}, {f}), {f + 2}))" for f in range(len(pii.features("ab", 4, 0, 2)) - 5))
+    rows = spark.range(60_000, numPartitions=5).selectExpr("id", "if(id < 3, 1, if(id % 5 = 0, 3, 4)) AS kind").selectExpr(
+        "id", "kind", f"array({x('id')}) AS x")
+    rows = rows.selectExpr("id AS doc_id", """array(named_struct('kind', kind, 'start', 0L, 'end', 9L, 'rule',
+        if(id % 1000 = 7, -1, int(kind = 1 OR x[20] + x[21] > 12 + pmod(xxhash64(id), 3))), 'x', x)) AS proposals""")
+    return rows.cache()
+
+
+def test_trees_and_thresholds_come_from_every_labelled_proposal(many_labelled):
+    judge = pii.fit(many_labelled)
+    rows = many_labelled.selectExpr("xxhash64(doc_id, proposals[0].start, proposals[0].kind) AS h", "proposals[0] AS p")
+    rows = sorted((r for r in rows.collect() if r.p.rule >= 0), key=lambda r: (r.h, r.p.kind, r.p.rule, r.p.x))
+    held = np.arange(len(rows)) % 3 == 0
+    kind, y = (np.array(c) for c in zip(*((r.p.kind, r.p.rule) for r in rows)))
+    x = np.array([r.p.x for r in rows])
+    alone = x.copy()
+    alone[:, -pii._CONTEXT_FEATURES:] = 0
+    more = (x != alone).any(axis=1)
+    x, held, kind, y = (np.concatenate(p) for p in ((x, alone[more]), (held, held[more]), (kind, kind[more]), (y, y[more])))
+    assert len(y) > 100_000
+    trees = _trees.fit(x[~held], y[~held].astype(float))
+    assert judge.trees.base == trees.base
+    for got, expected in ((judge.trees.features, trees.features), (judge.trees.cuts, trees.cuts),
+                          (judge.trees.leaves, trees.leaves)):
+        assert np.array_equal(got, expected)
+    p = np.floor(trees.probability(x) * pii.SCORES) / pii.SCORES
+    for k in range(len(pii.KINDS)):  # the lowest score that is precise with all above it
+        own = held & (kind == k)
+        precise = [t for t in np.unique(p[own]) if y[own & (p >= t)].mean() >= pii.PRECISION]
+        if k in (3, 4):
+            assert max(0.5, precise[0]) <= judge.thresholds[k] < 1
+        else:
+            assert judge.thresholds[k] == (max(0.5, precise[0]) if precise else 2)
+
+
+def test_fit_does_not_depend_on_partitions(many_labelled, monkeypatch):
+    rows = many_labelled.where("doc_id < 9000")
+    one = pii.fit(rows.coalesce(1))
+    monkeypatch.setattr(_trees, "TASK_ROWS", 1000)
+    other = pii.fit(rows.repartition(7, "proposals"))
+    assert np.array_equal(one.thresholds, other.thresholds) and one.trees.base == other.trees.base
+    assert np.array_equal(one.trees.cuts, other.trees.cuts) and np.array_equal(one.trees.leaves, other.trees.leaves)
+
+
+def test_calibration_is_the_closest_falling_curve():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        rows = rng.integers(1, 9, 12)
+        right = rng.binomial(rows, np.linspace(0.9, 0.2, 12))
+        got = pii._calibrated(right, rows)
+        rate = right / rows  # max-min form of isotonic regression
+        for i in range(12):
+            assert got[i] == pytest.approx(min(max(np.average(rate[a:b + 1], weights=rows[a:b + 1]) for b in range(i, 12))
+                                               for a in range(i + 1)))
+
+
+def test_quantile_cuts_equal_quantiles_of_repeated_values():
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 5, 400):
+        values, counts = np.unique(rng.integers(0, size, size), return_counts=True)
+        expected = np.unique(np.quantile(np.repeat(values, counts), np.linspace(0, 1, 33)[1:-1]))
+        assert np.allclose(_trees.quantile_cuts(values, counts), expected)
+
+
 def test_ambiguous_proposals_have_no_label():
     def rules(text):
         return [r for *_, r in pii.proposals(text, list(pii.matches(text)))]
