@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import os
 
 import numpy as np
@@ -14,7 +15,7 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline
 from lendlens.llm import _shared as S
-from lendlens.llm import embedding_dedup, licences, queries, warc
+from lendlens.llm import embedding_dedup, licences, pii, queries, warc
 from oracle_compare import compare, duck
 
 from .texts import awkward
@@ -332,6 +333,26 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(kept)
 
 
+def test_personal_data_stage_learns_from_every_proposal(make_docs, sf_dir, monkeypatch):
+    """More than 20,000 proposals, right in half the documents and wrong in the
+    others: the trees start from the odds of all that aren't held out."""
+    judges = []
+    redact = pii.redact
+    monkeypatch.setattr(pii, "redact", lambda df, judge: judges.append(judge) or redact(df, judge))
+    rows = [(i, " ".join(f"{j}.{i % 250}.1.{1 if i % 2 else 700 + j}," for j in range(25 + 25 * (i % 2)))) for i in range(600)]
+    docs = make_docs(rows, extra=False).selectExpr("*", "'en' AS lang", "'web' AS source", "0L AS n_chars")
+    out = corpus_pipeline.redact_personal_data(docs.sparkSession, docs, sf_dir)
+    found = pii.spot(docs).selectExpr("doc_id", "explode(proposals) AS p").selectExpr(
+        "xxhash64(doc_id, p.start, p.kind) AS h", "p.kind", "p.rule", "p.x").collect()
+    assert len(found) > 21_000 and all(r.rule in (0, 1) for r in found)
+    right = wrong = 0
+    for i, r in enumerate(sorted(found)):
+        shown = 1 + any(r.x[-pii._CONTEXT_FEATURES:])
+        right, wrong = right + (i % 3 > 0) * shown * r.rule, wrong + (i % 3 > 0) * shown * (1 - r.rule)
+    assert judges[0].trees.base == pytest.approx(math.log(right / wrong), rel=1e-12)
+    assert {r.doc_id for r in out.where("text like '%[IP]%'").collect()} == {i for i, _ in rows if i % 2}
+
+
 def test_pipeline_takes_odd_rows(spark, tmp_path, sf_dir):
     rows = [(i, t, "en", None, None) for i, t in awkward(9) if i != 8] + [(None, None, None, None, None)]
     for table in ("labels", "benchmark"):
