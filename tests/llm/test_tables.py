@@ -299,7 +299,7 @@ def test_query_matches_oracle(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
